@@ -1,0 +1,6 @@
+"""All registered queries."""
+
+from millrace.plans import tables  # noqa: F401
+from millrace.plans.registry import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

@@ -10,11 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.functions.text import java_split, norm_null
-from millrace.operators.counts import value_count, words
+from millrace.operators.counts import match_counts, value_count, words
 from millrace.operators.joins import union_many
 from millrace.operators.offsets import offset_ranges
 from millrace.runtime import lookup_join
-from millrace.sinks.ledger import put_batch
+from millrace.sinks.ledger import BATCH, put_batch
 
 BatchWork = Callable[[DataFrame, int], None]
 
@@ -131,7 +131,7 @@ def code_name_join(
         fields = java_split("value", " ")
         names = (
             batch.filter(F.col("kind") == "name")
-            .filter(F.size(fields) == 2)
+            .filter(F.size(fields) >= 2)
             .select(F.get(fields, F.lit(0)).alias("word"), F.get(fields, F.lit(1)).alias("name"))
         )
         counts = value_count(words(batch.filter(F.col("kind") == "code")), "word")
@@ -190,23 +190,20 @@ def lookup_stream(
     return start(codes, to_ledger(out, per_batch), checkpoint)
 
 
-def lookup_totals(stored: DataFrame) -> DataFrame:
-    """Matched and unmatched rows over all batches."""
-    return stored.agg(
-        F.coalesce(F.sum(F.when(F.col("name").isNotNull(), F.col("n"))), F.lit(0)).alias("matched"),
-        F.coalesce(F.sum(F.when(F.col("name").isNull(), F.col("n"))), F.lit(0)).alias("unmatched"),
-    )
+def lookup_counters(stored: DataFrame) -> DataFrame:
+    """Codes with and without a name, per batch."""
+    return match_counts(stored, F.col("name").isNotNull(), [BATCH])
 
 
 def document_sink(lines: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Lines of two words as documents {course, tname}, stored as JSON per batch."""
+    """The first two words of a line as a document {course, tname}, stored as JSON per batch."""
 
     def store(batch: DataFrame, batch_id: int) -> None:
         fields = java_split("value", " ")
-        docs = batch.filter(F.size(fields) == 2).select(
+        docs = batch.filter(F.size(fields) >= 2).select(
             F.get(fields, F.lit(0)).alias("course"), F.get(fields, F.lit(1)).alias("tname")
         )
-        docs.write.mode("overwrite").json(f"{out}/batch_id={batch_id}")
+        docs.write.mode("overwrite").json(f"{out}/{BATCH}={batch_id}")
 
     return start(lines, store, checkpoint)
 
@@ -218,18 +215,22 @@ def hourly_append(
     hour: Callable[[], str],
     writers: int | None = 2,
 ) -> StreamingQuery:
-    """Counts of each batch under hour=yyyyMMddHH/batch_id=n; a replay replaces its folder.
+    """Counts of each batch under batch_id=n/hour=yyyyMMddHH.
 
+    The batch's folder is replaced as a whole, so a replay in a later hour leaves no copy.
     The counts are small after aggregation, so few writers keep the file count low.
     """
-    hours: dict[int, str] = {}
 
     def store(batch: DataFrame, batch_id: int) -> None:
         counted = value_count(words(batch), "word")
         if writers is not None:
             counted = counted.repartition(writers)
-        at = hours.setdefault(batch_id, hour())
-        counted.write.mode("overwrite").parquet(f"{out}/hour={at}/batch_id={batch_id}")
+        (
+            counted.withColumn("hour", F.lit(hour()))
+            .write.mode("overwrite")
+            .partitionBy("hour")
+            .parquet(f"{out}/{BATCH}={batch_id}")
+        )
 
     return start(lines, store, checkpoint)
 
