@@ -98,7 +98,7 @@ class Tree:
         self.counted_len = 0
         self.ends_in_space = True
         self.stack: list[int] = []
-        self.formatting: list[tuple[str, str, str, int]] = []
+        self.formatting: list[tuple[str, str, str, str, int]] = []  # tag, id, class, raw, node
         self.head = self.body = -1
         self.open("html", "", "")
         self.head = self.open("head", "", "")
@@ -167,11 +167,18 @@ class Tree:
             return
         open_now = set(self.stack)
         at = len(self.formatting)
-        while at and self.formatting[at - 1][3] not in open_now:
+        while at and self.formatting[at - 1][4] not in open_now:
             at -= 1
         for i in range(at, len(self.formatting)):
-            tag, id_, cls, _ = self.formatting[i]
-            self.formatting[i] = (tag, id_, cls, self.open(tag, id_, cls))
+            tag, id_, cls, raw, _ = self.formatting[i]
+            self.formatting[i] = (tag, id_, cls, raw, self.open(tag, id_, cls))
+
+    def remember_formatting(self, tag: str, id_: str, cls: str, raw: str, node: int) -> None:
+        """Keep at most three equal entries; the earliest is forgotten."""
+        equal = [f for f in self.formatting if f[0] == tag and f[3] == raw]
+        if len(equal) >= 3:
+            self.formatting.remove(equal[0])
+        self.formatting.append((tag, id_, cls, raw, node))
 
     def text(self, raw: str, data: bool = False) -> None:
         raw = SPACES.sub(" ", raw)
@@ -187,7 +194,8 @@ class Tree:
         self.own[node].append(raw)
         self.piece(node, self.nodes[node][7], raw)
 
-    def start(self, tag: str, id_: str, cls: str) -> None:
+    def start(self, tag: str, raw: str) -> None:
+        id_, cls = identity(raw) if raw else ("", "")
         if tag in ("html", "head", "body"):
             if tag == "body":
                 self.need_body()
@@ -220,7 +228,7 @@ class Tree:
             self.reopen_formatting()
         node = self.open(tag, id_, cls, tag not in VOID)
         if tag in FORMATTING:
-            self.formatting.append((tag, id_, cls, node))
+            self.remember_formatting(tag, id_, cls, raw.strip(), node)
 
     def end(self, tag: str) -> None:
         if tag in ("html", "body"):
@@ -230,7 +238,7 @@ class Tree:
                 while len(self.stack) > 1:
                     self.close()
         elif tag == "br":
-            self.start("br", "", "")
+            self.start("br", "")
         elif self.body < 0:
             if tag == self.tag(self.stack[-1]):
                 self.close()
@@ -242,7 +250,7 @@ class Tree:
         elif tag in FORMATTING:
             for at in range(len(self.formatting) - 1, -1, -1):
                 if self.formatting[at][0] == tag:
-                    node = self.formatting.pop(at)[3]
+                    node = self.formatting.pop(at)[4]
                     if node in self.stack:
                         self.close_through({tag}, SPECIAL)
                     break
@@ -289,7 +297,7 @@ def parse_page(html: str | None) -> tuple[list[list], list[tuple[int, bool, str]
             if not closed:
                 continue
             tag = start_tag.lower()
-            tree.start(tag, *identity(attributes) if attributes else ("", ""))
+            tree.start(tag, attributes)
             if tag in RAW_TEXT or tag in ESCAPABLE_RAW:
                 stop = re.compile(rf"</{tag}(?=[\s/>])|\Z", re.I).search(html, at)
                 raw = html[at:stop.start()]

@@ -1,6 +1,6 @@
 """All registered queries."""
 
-from millrace.plans import streams, tables  # noqa: F401
+from millrace.plans import pages, streams, tables  # noqa: F401
 from millrace.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
