@@ -51,8 +51,13 @@ def page_results(records: DataFrame, rules: DataFrame, keep_html: bool = True) -
 
 
 def learn_rules(records: DataFrame, k: int = 2) -> DataFrame:
-    """Rules learned from a set of validated records; the pages are parsed once."""
-    return choose_rules(materialized(counter_deltas(learned(records)), "counters"), k)
+    """Rules learned from a set of validated records; the pages are parsed once.
+
+    The learned facts are stored before they are filtered: a filter on an unstored `mined`
+    would be pushed below it and compute it twice.
+    """
+    facts = materialized(learned(records), "learned")
+    return choose_rules(materialized(counter_deltas(facts), "counters"), k)
 
 
 @dataclass(frozen=True)

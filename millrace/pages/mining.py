@@ -6,7 +6,7 @@ a few short strings where it was read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.pages.elements import (
@@ -209,18 +209,14 @@ def negative_paths(nodes: Column, pieces: Column, content: Column, path: Column)
         return F.when(small, shaped).otherwise(F.array().cast("array<string>"))
 
     paths = F.flatten(F.transform(live_children(nodes, content), of_child))
-    any_word = F.exists(words, lambda w: F.contains(live_text(pieces, content), w))
+    any_word = live_text(pieces, content).rlike("|".join(EDITOR_WORDS))
     return F.when(
         any_word, F.array_except(F.array_distinct(paths), F.array(path))
     ).otherwise(F.array().cast("array<string>"))
 
 
-def mine(trees: DataFrame) -> DataFrame:
-    """Replace `nodes` and `pieces` by `mined`; null where no block has enough text."""
-    return trees.withColumn("mined", mined()).drop("nodes", "pieces")
-
-
 def mined() -> Column:
+    """Template facts of a page from its `nodes` and `pieces`; null without a main block."""
     nodes, pieces = F.col("nodes"), F.col("pieces")
 
     def facts(block: Column, start: Column, content: Column) -> Column:

@@ -66,7 +66,8 @@ TOKEN = re.compile(
     re.S,
 )
 ATTRIBUTE = re.compile(r"([^\s=/>\"']+)\s*(?:=\s*(\"[^\"]*\"|'[^']*'|[^\s>]+))?")
-SPACES = re.compile(r"[ \t\n\f\r]+")
+# Only runs that differ from one space, so ordinary text is left untouched.
+SPACES = re.compile(r"[\t\n\f\r][ \t\n\f\r]*| [ \t\n\f\r]+")
 
 NODE_FIELDS = (
     "node", "parent", "last", "depth", "tag", "id", "cls", "cut", "own", "text_len",
@@ -130,7 +131,9 @@ class Tree:
         row = self.nodes[node]
         row[2] = len(self.nodes) - 1
         row[11] = len(self.pieces) - row[10] + 1
-        row[8] = SPACES.sub(" ", "".join(self.own[node])).strip(" ")
+        own = self.own[node]
+        if own:
+            row[8] = (own[0] if len(own) == 1 else SPACES.sub(" ", "".join(own))).strip(" ")
         self.spans[node][1] = self.counted_len
 
     def close_through(self, tags: set[str], edge: frozenset[str] | set[str]) -> bool:
@@ -268,7 +271,7 @@ class Tree:
         while self.stack:
             self.close()
         whole = "".join(self.counted)
-        wide = not whole.isascii() and max(whole) > "￿"
+        wide = not whole.isascii() and len(whole.encode("utf-16-le")) > 2 * len(whole)
         for row, (start, end) in zip(self.nodes, self.spans):
             if row[7]:
                 continue
@@ -278,7 +281,7 @@ class Tree:
                 end -= 1
             row[9] = end - start
             if wide:  # lengths are in UTF-16 units
-                row[9] += sum(1 for ch in whole[start:end] if ch > "￿")
+                row[9] += sum(1 for ch in whole[start:end] if ch > "\uffff")
         return self.nodes, self.pieces
 
 

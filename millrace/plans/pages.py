@@ -154,7 +154,7 @@ MINED_SQL = f"""WITH RECURSIVE {PAGE_LINES_SQL.strip()},
 
 def _mined(spark: SparkSession, sf: str) -> DataFrame:
     learned = job.learned(_records(spark, sf), ("page_id", "host"))
-    return learned.filter(F.col("mined").isNotNull())
+    return materialized(learned, "learned").filter(F.col("mined").isNotNull())
 
 
 @query(
