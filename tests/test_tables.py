@@ -1,5 +1,6 @@
 import json
 import os
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -286,10 +287,12 @@ def test_top_k_ties_go_to_the_greater_member(spark):
     assert [r["xpath"] for r in top.orderBy("rank").collect()] == ["xpath4", "xpath3"]
 
 
-def test_scratch_uses_the_named_folder(spark, tmp_path):
-    key = runtime.CHECKPOINT_KEY
-    spark.conf.set(key, str(tmp_path))
-    try:
-        assert runtime.scratch(spark, "x").startswith(str(tmp_path) + "/millrace/x-")
-    finally:
-        spark.conf.unset(key)
+def test_scratch_uses_the_named_folder():
+    named = SimpleNamespace(conf=SimpleNamespace(get=lambda key, default: "/shared/x/"))
+    assert runtime.scratch(named, "x").startswith("/shared/x/millrace/x-")
+    unnamed = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default: default),
+        sparkContext=SimpleNamespace(master="yarn"),
+    )
+    with pytest.raises(RuntimeError):
+        runtime.scratch(unnamed, "x")
