@@ -6,11 +6,12 @@ learning templates and applying them never shuffles page content.
 
 from __future__ import annotations
 
+import functools
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import SparkContext, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -101,6 +102,21 @@ def elements(trees: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def built_once(build: Callable[[], Column]) -> Callable[[], Column]:
+    """Keep a large column expression per application instead of rebuilding it per batch."""
+    kept: dict[str, Column] = {}
+
+    @functools.wraps(build)
+    def get() -> Column:
+        application = SparkContext.getOrCreate().applicationId
+        if application not in kept:
+            kept.clear()
+            kept[application] = build()
+        return kept[application]
+
+    return get
+
+
 def let(value: Column, body) -> Column:
     """Bind a value once per row; a plain column alias may be re-evaluated inside lambdas."""
     return F.element_at(F.transform(F.array(value), body), 1)

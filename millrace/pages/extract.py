@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import java_length, java_trim
-from millrace.pages.elements import joined_text, let, node_at, pieces_of
+from millrace.pages.elements import built_once, joined_text, let, node_at, pieces_of
 from millrace.pages.templates import host_rules
 from millrace.runtime import lookup_join
 
@@ -88,6 +88,16 @@ def content(nodes: Column, pieces: Column, positive: Column, negative: Column) -
     )
 
 
+@built_once
+def ruled_content() -> Column:
+    """Content by the columns `nodes`, `pieces`, `positive`, `negative` and `usable`.
+
+    Null without rules, empty when a rule of the host is not a path.
+    """
+    text = content(F.col("nodes"), F.col("pieces"), F.col("positive"), F.col("negative"))
+    return F.when(F.col("usable"), text).when(F.col("usable").isNotNull(), F.lit(""))
+
+
 def match_rules(trees: DataFrame, rules: DataFrame) -> DataFrame:
     """Attach the rules of the page's host (size-checked lookup); null when it has none."""
     return lookup_join(trees, host_rules(rules), ["host"])
@@ -99,13 +109,9 @@ def extract(trees: DataFrame, rules: DataFrame) -> DataFrame:
     A host without rules is no_match. A rule that is not a path makes the host's pages empty,
     as does text shorter than MIN_CONTENT.
     """
-    text = F.when(
-        F.col("usable"),
-        content(F.col("nodes"), F.col("pieces"), F.col("positive"), F.col("negative")),
-    ).otherwise(F.lit(""))
     return (
         match_rules(trees, rules)
-        .withColumn("content", F.when(F.col("usable").isNotNull(), text))
+        .withColumn("content", ruled_content())
         .withColumn("outcome", outcome_of(F.col("content")))
         .drop("nodes", "pieces", "positive", "negative", "usable")
     )

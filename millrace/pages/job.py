@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.pages.elements import with_tree
-from millrace.pages.extract import content, outcome_of
+from millrace.pages.extract import outcome_of, ruled_content
 from millrace.pages.mining import mined
 from millrace.pages.records import OK, parse_records, validate
 from millrace.pages.report import documents, host_report, merge_reports, storage_rows
@@ -23,28 +23,26 @@ RESULT_PARTITION = "batch_id"
 
 
 def learned(records: DataFrame, keys: tuple[str, ...] = ("host",)) -> DataFrame:
-    """Template facts of valid records: the key columns and `mined`."""
-    valid = records.filter(F.col("status") == OK).select(*keys, "html")
-    return with_tree(valid).select(*keys, mined().alias("mined"))
+    """The key columns and `mined` of every record; null for records that are not valid.
+
+    There is no filter on purpose: it would be pushed down to the scan and split every
+    record once per reference. Records that are not valid skip the parser instead.
+    """
+    html = F.when(F.col("status") == OK, F.col("html")).alias("html")
+    return with_tree(records.select(*keys, html)).select(*keys, mined().alias("mined"))
 
 
-def page_results(records: DataFrame, rules: DataFrame, keep_html: bool = True) -> DataFrame:
+def page_results(records: DataFrame, rules: DataFrame) -> DataFrame:
     """One row per record with `mined`, `content` and `outcome`; each page is parsed once.
 
     Filtered records skip the parser: their html is set to null before it.
     """
     ok = F.col("status") == OK
-    trees = with_tree(
-        records.withColumn("__html", F.when(ok, F.col("html"))), "__html"
-    )
-    ruled = lookup_join(trees if keep_html else trees.drop("html"), host_rules(rules), ["host"])
-    text = F.when(
-        F.col("usable"),
-        content(F.col("nodes"), F.col("pieces"), F.col("positive"), F.col("negative")),
-    ).otherwise(F.lit(""))
+    trees = with_tree(records.withColumn("__html", F.when(ok, F.col("html"))), "__html")
+    ruled = lookup_join(trees, host_rules(rules), ["host"])
     return (
         ruled.withColumn("mined", F.when(ok, mined()))
-        .withColumn("content", F.when(ok & F.col("usable").isNotNull(), text))
+        .withColumn("content", F.when(ok, ruled_content()))
         .withColumn("outcome", F.when(ok, outcome_of(F.col("content"))))
         .drop("nodes", "pieces", "positive", "negative", "usable", "n_fields")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from millrace.pages.elements import (
+    built_once,
     first,
     let,
     live_children,
@@ -215,6 +216,7 @@ def negative_paths(nodes: Column, pieces: Column, content: Column, path: Column)
     ).otherwise(F.array().cast("array<string>"))
 
 
+@built_once
 def mined() -> Column:
     """Template facts of a page from its `nodes` and `pieces`; null without a main block."""
     nodes, pieces = F.col("nodes"), F.col("pieces")

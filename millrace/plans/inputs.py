@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 from millrace.functions.keys import FIELD_SEP
 from millrace.operators.counts import lines_of
 from millrace.plans.registry import table
-from millrace.runtime import scratch
+from millrace.runtime import scratch, spread
 from millrace.sources.files import spark_partitions
 
 MIN_STREAM_FILES = 4
 
 
 def document_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_of(table(spark, sf_dir, "documents"), "text")
+    return lines_of(spread(table(spark, sf_dir, "documents").select("text")), "text")
 
 
 def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines_of(table(spark, sf_dir, "conversations"), "text")
+    return lines_of(spread(table(spark, sf_dir, "conversations").select("text")), "text")
 
 
 def staged(df: DataFrame, name: str, writer: str, files: int | None = None) -> str:
@@ -110,7 +110,8 @@ def page_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(page_id % 13 == 12, F.concat_ws(FIELD_SEP, md5, url, F.lit("")))
         .otherwise(F.concat_ws(FIELD_SEP, md5, url, html))
     )
-    return table(spark, sf_dir, "pages").select("page_id", line.alias("value"))
+    pages = spread(table(spark, sf_dir, "pages"))
+    return pages.select("page_id", line.alias("value"))
 
 
 PAGE_LINES_SQL = f"""

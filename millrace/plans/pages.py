@@ -25,7 +25,7 @@ from millrace.plans.page_sql import (
     tree_ctes,
 )
 from millrace.plans.registry import query, table
-from millrace.runtime import lookup_join, materialized, scratch
+from millrace.runtime import lookup_join, materialized, scratch, spread
 from millrace.sources.files import read_rules
 from millrace.streaming.sources import line_files
 
@@ -142,7 +142,7 @@ def page_rowkeys(spark: SparkSession, sf: str) -> DataFrame:
 SELECT page_id, node, parent, last, depth, tag, id, cls, cut, own_text, text_len FROM nodes""",
 )
 def page_elements(spark: SparkSession, sf: str) -> DataFrame:
-    pages = table(spark, sf, "pages").select("page_id", "html")
+    pages = spread(table(spark, sf, "pages").select("page_id", "html"))
     return elements(with_tree(pages), ["page_id"])
 
 

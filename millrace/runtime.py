@@ -48,6 +48,16 @@ def materialized(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(scan: DataFrame) -> DataFrame:
+    """Give a scan at least one task per core before CPU-heavy work.
+
+    `scan` is a file scan without shuffles. Large inputs have more splits than cores and pass
+    unchanged; only a scan of few splits is redistributed.
+    """
+    wanted = scan.sparkSession.sparkContext.defaultParallelism
+    return scan if scan.rdd.getNumPartitions() >= wanted else scan.repartition(wanted)
+
+
 def measured_bytes(df: DataFrame) -> int:
     """Bytes of all values, rendered as JSON; one small aggregate job."""
     row = df.agg(F.sum(F.octet_length(F.to_json(F.struct("*")))).alias("b")).first()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millrace.functions.text import java_split, norm_null
+from millrace.runtime import spread
 
 # Fixed value: the declared record of the app-install files.
 APP_INSTALL_DDL = (
@@ -127,4 +128,4 @@ def read_rules(spark: SparkSession, path: str) -> DataFrame:
 
 def read_page_lines(spark: SparkSession, path: str) -> DataFrame:
     """Page-record lines with a row key that is unique even among equal records."""
-    return spark.read.text(path).withColumn("row_key", F.monotonically_increasing_id())
+    return spread(spark.read.text(path)).withColumn("row_key", F.monotonically_increasing_id())
