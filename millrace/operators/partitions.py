@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.runtime import checkpointed
@@ -28,6 +28,21 @@ def range_bounds(df: DataFrame, key: str, partitions: int) -> DataFrame:
     )
 
 
+def range_summary(bounds: DataFrame) -> DataFrame:
+    """Partitions, key range, rows, and how many partitions begin before the last one ended.
+
+    `bounds` has one row per partition, which is what its single-task window runs over.
+    """
+    before = F.lag("greatest").over(Window.orderBy("part"))
+    return bounds.withColumn("__before", before).agg(
+        F.count("*").cast("int").alias("n_parts"),
+        F.min("least").alias("least"),
+        F.max("greatest").alias("greatest"),
+        F.sum("n_rows").alias("n_rows"),
+        F.count_if(F.col("__before") >= F.col("least")).cast("int").alias("overlaps"),
+    )
+
+
 def widen(df: DataFrame, partitions: int, *keys: str) -> DataFrame:
     return df.repartition(partitions, *keys)
 

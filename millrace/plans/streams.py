@@ -33,6 +33,10 @@ def _run(start, *args, **kwargs) -> None:
     start(*args, **kwargs).awaitTermination()
 
 
+def _cores(spark: SparkSession) -> int:
+    return spark.sparkContext.defaultParallelism
+
+
 def _lines(spark: SparkSession, sf: str) -> DataFrame:
     path, per_trigger = staged_stream(conversation_lines(spark, sf), "stream-lines")
     return line_files(spark, path, files_per_trigger=per_trigger)
@@ -69,7 +73,7 @@ def stream_file_word_count(spark: SparkSession, sf: str) -> DataFrame:
 
 def _running(spark: SparkSession, sf: str) -> DataFrame:
     out, checkpoint = _out(spark, "running")
-    _run(jobs.running_total, _lines(spark, sf), out, checkpoint)
+    _run(jobs.running_total, _lines(spark, sf), out, checkpoint, state_partitions=_cores(spark))
     return read_batches(spark, out)
 
 
@@ -110,7 +114,7 @@ def stream_restart_total(spark: SparkSession, sf: str) -> DataFrame:
         if round_:
             lines.write.mode("append").text(path)
         stream = line_files(spark, path, files_per_trigger=per_trigger)
-        _run(jobs.running_total, stream, out, checkpoint)
+        _run(jobs.running_total, stream, out, checkpoint, state_partitions=_cores(spark))
     return newest(read_batches(spark, out), ["word"], ["n"])
 
 
@@ -171,7 +175,8 @@ def stream_window_sum(spark: SparkSession, sf: str) -> DataFrame:
     stream = table_files(spark, path, events.schema, per_trigger)
     out, checkpoint = _out(spark, "window-sum")
     _run(
-        jobs.window_sum, stream, out, checkpoint, "event_type", SIZE, SLIDE, watermark="40 days"
+        jobs.window_sum, stream, out, checkpoint, "event_type", SIZE, SLIDE, watermark="40 days",
+        state_partitions=_cores(spark),
     )
     windows = newest(read_batches(spark, out), ["win_start", "win_end", "event_type"], ["n"])
     return _stamped(windows)

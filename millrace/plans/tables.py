@@ -234,18 +234,35 @@ def sum_of_group_counts(spark: SparkSession, sf: str) -> DataFrame:
     return C.sum_of_group_counts(table(spark, sf, "lineitem"), "l_partkey")
 
 
-@query("partition_profile")
+@query(
+    "partition_profile",
+    """SELECT 'repartition' AS stage, 8 AS n_parts, count(*) AS n_rows FROM lineitem
+UNION ALL SELECT 'coalesce', 2, count(*) FROM lineitem""",
+)
 def partition_profile(spark: SparkSession, sf: str) -> DataFrame:
+    """Partitions and rows after going up to 8 partitions, and back down to 2."""
     spread = P.widen(table(spark, sf, "lineitem"), 8, "l_orderkey")
-    wide = P.partition_profile(spread).withColumn("stage", F.lit("repartition"))
-    return wide.unionByName(
-        P.partition_profile(P.narrow(spread, 2)).withColumn("stage", F.lit("coalesce"))
+    stages = [("repartition", spread), ("coalesce", P.narrow(spread, 2))]
+    return J.union_many(
+        [
+            P.partition_profile(df).agg(
+                F.lit(stage).alias("stage"),
+                F.count("*").cast("int").alias("n_parts"),
+                F.sum("n_rows").alias("n_rows"),
+            )
+            for stage, df in stages
+        ]
     )
 
 
-@query("range_partition_bounds")
+@query(
+    "range_partition_bounds",
+    """SELECT 4 AS n_parts, min(o_custkey) AS least, max(o_custkey) AS greatest,
+       count(*) AS n_rows, 0 AS overlaps FROM orders""",
+)
 def range_partition_bounds(spark: SparkSession, sf: str) -> DataFrame:
-    return P.range_bounds(table(spark, sf, "orders"), "o_custkey", 4)
+    """Four range partitions hold all rows and do not overlap."""
+    return P.range_summary(P.range_bounds(table(spark, sf, "orders"), "o_custkey", 4))
 
 
 @query(

@@ -16,6 +16,8 @@ from millrace.operators.offsets import offset_ranges
 from millrace.runtime import lookup_join
 from millrace.sinks.ledger import BATCH, put_batch
 
+SHUFFLE_WIDTH = "spark.sql.shuffle.partitions"
+
 BatchWork = Callable[[DataFrame, int], None]
 
 
@@ -26,21 +28,34 @@ def start(
     mode: str = "append",
     trigger: dict | None = None,
     skip_empty: bool = True,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Run `work(batch, batch_id)` per micro-batch. Offsets are committed after the work."""
+    """Run `work(batch, batch_id)` per micro-batch. Offsets are committed after the work.
+
+    `state_partitions` is the width of a stateful query: it is fixed by the first start and
+    kept by the checkpoint, so choose it for the data to come, not for the first batch.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if skip_empty and batch.isEmpty():
             return
         work(batch, batch_id)
 
-    return (
+    writer = (
         stream.writeStream.outputMode(mode)
         .foreachBatch(on_batch)
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
-        .start()
     )
+    if state_partitions is None:
+        return writer.start()
+    conf = stream.sparkSession.conf
+    session_width = conf.get(SHUFFLE_WIDTH)
+    conf.set(SHUFFLE_WIDTH, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set(SHUFFLE_WIDTH, session_width)
 
 
 def to_ledger(out: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df) -> BatchWork:
@@ -56,13 +71,22 @@ def batch_word_count(lines: DataFrame, out: str, checkpoint: str, sep: str = " "
     )
 
 
-def running_total(lines: DataFrame, out: str, checkpoint: str, sep: str = " ") -> StreamingQuery:
+def running_total(
+    lines: DataFrame,
+    out: str,
+    checkpoint: str,
+    sep: str = " ",
+    state_partitions: int | None = None,
+) -> StreamingQuery:
     """Totals per word over all batches so far; each batch stores the words it changed.
 
     State lives in the state store and the checkpoint, so a restarted query goes on.
     """
     totals = value_count(words(lines, sep=sep), "word")
-    return start(totals, to_ledger(out), checkpoint, mode="update", skip_empty=False)
+    return start(
+        totals, to_ledger(out), checkpoint, mode="update", skip_empty=False,
+        state_partitions=state_partitions,
+    )
 
 
 def union_word_count(
@@ -82,6 +106,7 @@ def window_sum(
     slide: str,
     ts: str = "ts",
     watermark: str | None = None,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Sliding-window counts over event time; each batch stores the windows it changed.
 
@@ -93,7 +118,7 @@ def window_sum(
         stream = stream.withWatermark(ts, watermark)
     return start(
         windowed_count(stream, key, size, slide, ts), to_ledger(out), checkpoint, "update",
-        skip_empty=False,
+        skip_empty=False, state_partitions=state_partitions,
     )
 
 
