@@ -130,24 +130,36 @@ def node_at(nodes: Column, index: Column) -> Column:
     return F.get(nodes, index)
 
 
-def live_children(nodes: Column, n: Column) -> Column:
-    """Children outside cut subtrees; the subtree of n is the slice right behind it."""
-    return F.filter(
-        F.slice(nodes, n["node"] + 2, n["last"] - n["node"]),
-        lambda c: (c["parent"] == n["node"]) & ~c["cut"],
+def index_range(start: Column, count: Column) -> Column:
+    """The whole numbers start .. start + count - 1.
+
+    Parts of a page's arrays are read through such indexes: `get` is a direct access, while
+    `slice` would copy the whole array each time.
+    """
+    return F.when(count > 0, F.sequence(start, start + count - 1)).otherwise(
+        F.array().cast("array<int>")
     )
 
 
-def joined_text(pieces: Column) -> Column:
-    """Pieces put together, runs of spaces collapsed, both ends trimmed."""
-    whole = F.array_join(F.transform(pieces, lambda p: p["text"]), "")
-    return F.trim(F.regexp_replace(whole, r"[ \t\n\f\r]+", " "))
+def live_children(nodes: Column, n: Column) -> Column:
+    """Children outside cut subtrees; the subtree of n lies right behind it."""
+    inside = index_range(n["node"] + 1, n["last"] - n["node"])
+    own = F.filter(
+        inside,
+        lambda i: (F.get(nodes, i)["parent"] == n["node"]) & ~F.get(nodes, i)["cut"],
+    )
+    return F.transform(own, lambda i: F.get(nodes, i))
 
 
-def pieces_of(pieces: Column, n: Column) -> Column:
-    return F.slice(pieces, n["first_piece"], n["n_pieces"])
+def text_of(pieces: Column, n: Column, keep: Callable[[Column], Column]) -> Column:
+    """Kept pieces of an element put together, runs of spaces collapsed, both ends trimmed."""
+    kept = F.filter(
+        index_range(n["first_piece"] - 1, n["n_pieces"]), lambda i: keep(F.get(pieces, i))
+    )
+    whole = F.array_join(F.transform(kept, lambda i: F.get(pieces, i)["text"]), "")
+    return F.trim(F.regexp_replace(whole, r"[ \t\n\f\r]+", " "))
 
 
 def live_text(pieces: Column, n: Column) -> Column:
     """Text of an element without its cut subtrees."""
-    return joined_text(F.filter(pieces_of(pieces, n), lambda p: ~p["cut"]))
+    return text_of(pieces, n, lambda p: ~p["cut"])

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import java_length, java_trim
-from millrace.pages.elements import built_once, joined_text, let, node_at, pieces_of
+from millrace.pages.elements import built_once, let, node_at, text_of
 from millrace.pages.templates import host_rules
 from millrace.runtime import lookup_join
 
@@ -26,65 +26,81 @@ def _fits(node: Column, step: Column) -> Column:
     )
 
 
-def matching(nodes: Column, steps: Column) -> Column:
-    """Elements a path selects: the last step fits the element, the others its ancestors."""
+def selects(nodes: Column, steps: Column, node: Column) -> Column:
+    """Whether a path selects an element.
+
+    The last step fits the element, the steps before it its parent, grandparent and so on;
+    the first step may fit at any depth.
+    """
     upward = F.slice(F.reverse(steps), 2, F.greatest(F.size(steps) - 1, F.lit(0)))
 
-    def climb(state: Column, step: Column) -> Column:
-        return F.when(state["up"].isNull(), state).otherwise(
-            F.struct(
-                F.when(_fits(state["up"], step), node_at(nodes, state["up"]["parent"])).alias("up"),
-                _fits(state["up"], step).alias("ok"),
-            )
-        )
+    def climb(at: Column, step: Column) -> Column:
+        above = node_at(nodes, at)
+        return F.when(at.isNotNull() & _fits(above, step), above["parent"])
+
+    # The fold carries the index of the next ancestor; it turns null when a step does not fit.
+    # An index before the root gives no element, so running out of ancestors does not fit.
+    climbed = F.aggregate(upward, node["parent"], climb)
+    return _fits(node, F.element_at(steps, -1)) & climbed.isNotNull()
 
-    def climbs(node: Column) -> Column:
-        # `ok` is taken back to false when ancestors run out before the steps do.
-        return F.aggregate(
-            upward,
-            F.struct(node_at(nodes, node["parent"]).alias("up"), F.lit(True).alias("ok")),
-            lambda s, step: F.when(
-                s["ok"] & s["up"].isNull(),
-                F.struct(s["up"].alias("up"), F.lit(False).alias("ok")),
-            ).otherwise(climb(s, step)),
-            lambda s: s["ok"],
-        )
 
-    return F.filter(nodes, lambda n: _fits(n, F.element_at(steps, -1)) & climbs(n))
+def matching(nodes: Column, steps: Column) -> Column:
+    """Elements a path selects."""
+    return F.filter(nodes, lambda n: selects(nodes, steps, n))
 
 
-def remaining_text(pieces: Column, node: Column, removed: Column) -> Column:
-    """Text of an element without removed elements strictly inside it."""
-    inside = F.filter(
-        removed, lambda r: (r["node"] > node["node"]) & (r["node"] <= node["last"])
+def nearest_removed(nodes: Column, negative: Column) -> Column:
+    """Per element, the deepest removed element among itself and its ancestors, or -1."""
+    flags = F.transform(
+        nodes, lambda n: F.exists(negative, lambda steps: selects(nodes, steps, n))
     )
+
+    def climb(removed: Column, n: Column) -> Column:
+        return F.aggregate(
+            F.sequence(F.lit(0), n["depth"]),
+            F.struct(n["node"].alias("at"), F.lit(-1).alias("hit")),
+            lambda s, _: F.when((s["hit"] >= 0) | (s["at"] < 0), s).otherwise(
+                F.struct(
+                    node_at(nodes, s["at"])["parent"].alias("at"),
+                    F.when(F.get(removed, s["at"]), s["at"]).otherwise(F.lit(-1)).alias("hit"),
+                )
+            ),
+            lambda s: s["hit"],
+        )
+
     return let(
-        inside,
-        lambda cut: joined_text(
-            F.filter(
-                pieces_of(pieces, node),
-                lambda p: ~F.exists(
-                    cut, lambda r: (p["node"] >= r["node"]) & (p["node"] <= r["last"])
-                ),
-            )
+        flags,
+        lambda removed: F.when(
+            F.exists(removed, lambda r: r), F.transform(nodes, lambda n: climb(removed, n))
         ),
     )
 
 
+def remaining_text(pieces: Column, node: Column, nearest: Column) -> Column:
+    """Text of an element without removed elements strictly inside it.
+
+    A piece is taken out when the deepest removed element around it begins behind the element.
+    """
+    return text_of(
+        pieces,
+        node,
+        lambda p: nearest.isNull() | (F.get(nearest, p["node"]) <= node["node"]),
+    )
+
+
 def content(nodes: Column, pieces: Column, positive: Column, negative: Column) -> Column:
     """Texts of all positive paths put together, negative elements left out.
 
     Inside one path the texts are joined by a space; paths follow in path order.
     """
-    removed = F.flatten(F.transform(negative, lambda steps: matching(nodes, steps)))
 
-    def path_text(steps: Column, cut: Column) -> Column:
-        texts = F.transform(matching(nodes, steps), lambda n: remaining_text(pieces, n, cut))
+    def path_text(steps: Column, nearest: Column) -> Column:
+        texts = F.transform(matching(nodes, steps), lambda n: remaining_text(pieces, n, nearest))
         return F.ltrim(F.array_join(texts, " "))
 
     return let(
-        removed,
-        lambda cut: F.array_join(F.transform(positive, lambda s: path_text(s, cut)), ""),
+        nearest_removed(nodes, negative),
+        lambda nearest: F.array_join(F.transform(positive, lambda s: path_text(s, nearest)), ""),
     )
 
 

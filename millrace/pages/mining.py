@@ -198,16 +198,22 @@ def negative_paths(nodes: Column, pieces: Column, content: Column, path: Column)
             live_text(pieces, child),
             lambda text: F.filter(words, lambda w: F.contains(text, w)),
         )
+        nothing = F.array().cast("array<string>")
         shaped = let(
-            live_children(nodes, child),
-            lambda kids: F.transform(
-                found,
-                lambda w: F.when(_is_p(child), of_paragraph(kids, w)).otherwise(
-                    of_other(child, kids, w)
-                ),
+            found,
+            lambda named: F.when(F.size(named) == 0, nothing).otherwise(
+                let(
+                    live_children(nodes, child),
+                    lambda kids: F.transform(
+                        named,
+                        lambda w: F.when(_is_p(child), of_paragraph(kids, w)).otherwise(
+                            of_other(child, kids, w)
+                        ),
+                    ),
+                )
             ),
         )
-        return F.when(small, shaped).otherwise(F.array().cast("array<string>"))
+        return F.when(small, shaped).otherwise(nothing)
 
     paths = F.flatten(F.transform(live_children(nodes, content), of_child))
     any_word = live_text(pieces, content).rlike("|".join(EDITOR_WORDS))
