@@ -17,7 +17,12 @@ from millrace.pages.mining import mined
 from millrace.pages.records import OK, parse_records, validate
 from millrace.pages.report import documents, host_report, merge_reports, storage_rows
 from millrace.pages.templates import choose_rules, counter_deltas, host_rules
-from millrace.runtime import lookup_join, materialized
+from millrace.runtime import (
+    BROADCAST_LIMIT_BYTES,
+    materialized,
+    measured_bytes,
+    salted_join,
+)
 
 RESULT_PARTITION = "batch_id"
 
@@ -32,14 +37,22 @@ def learned(records: DataFrame, keys: tuple[str, ...] = ("host",)) -> DataFrame:
     return with_tree(records.select(*keys, html)).select(*keys, mined().alias("mined"))
 
 
-def page_results(records: DataFrame, rules: DataFrame) -> DataFrame:
+def page_results(
+    records: DataFrame, rules: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES
+) -> DataFrame:
     """One row per record with `mined`, `content` and `outcome`; each page is parsed once.
 
-    Filtered records skip the parser: their html is set to null before it.
+    Filtered records skip the parser: their html is set to null before it. Rules within the
+    limit are broadcast to the parsed pages. Larger ones are joined before parsing, salted by
+    host, so that the shuffle carries the html and not the much larger trees.
     """
     ok = F.col("status") == OK
-    trees = with_tree(records.withColumn("__html", F.when(ok, F.col("html"))), "__html")
-    ruled = lookup_join(trees, host_rules(rules), ["host"])
+    sources = records.withColumn("__html", F.when(ok, F.col("html")))
+    by_host = host_rules(rules)
+    if measured_bytes(by_host) <= limit_bytes:
+        ruled = with_tree(sources, "__html").join(F.broadcast(by_host), "host", "left")
+    else:
+        ruled = with_tree(salted_join(sources, by_host, ["host"], "left"), "__html")
     return (
         ruled.withColumn("mined", F.when(ok, mined()))
         .withColumn("content", F.when(ok, ruled_content()))

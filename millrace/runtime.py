@@ -64,30 +64,38 @@ def measured_bytes(df: DataFrame) -> int:
     return int(row["b"] or 0)
 
 
+def salted_join(
+    big: DataFrame, lookup: DataFrame, keys: list[str], how: str, salts: int = LOOKUP_SALTS
+) -> DataFrame:
+    """Join with both sides shuffled on (key, salt).
+
+    The lookup is repeated once per salt and the large side takes its salt from its map
+    partition, so a key with a third of all rows is spread over `salts` tasks and a re-run
+    task produces the same salts again.
+    """
+    if how not in ("left", "inner"):
+        raise ValueError("a salted join is a left or inner join")
+    salt = "__salt"
+    salted = big.withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(salts)))
+    repeated = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return salted.join(repeated, [*keys, salt], how).drop(salt)
+
+
 def lookup_join(
     big: DataFrame,
     lookup: DataFrame,
     keys: list[str],
     how: str = "left",
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
-    salts: int = LOOKUP_SALTS,
 ) -> DataFrame:
     """Join a large table with a lookup of one row per key.
 
-    The lookup is measured first. Within the limit it is broadcast and the large
-    side never moves. Beyond the limit both sides are shuffled on (key, salt): the
-    lookup is repeated once per salt and the large side takes its salt from its map
-    partition, so a key with a third of all rows is spread over `salts` tasks and a
-    re-run task produces the same salts again.
+    The lookup is measured first. Within the limit it is broadcast and the large side never
+    moves; beyond the limit the join is salted.
     """
-    if how not in ("left", "inner"):
-        raise ValueError("lookup_join supports left and inner joins")
     if measured_bytes(lookup) <= limit_bytes:
         return big.join(F.broadcast(lookup), keys, how)
-    salt = "__salt"
-    spread = big.withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(salts)))
-    repeated = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return spread.join(repeated, [*keys, salt], how).drop(salt)
+    return salted_join(big, lookup, keys, how)
 
 
 def session(app: str = "millrace", **conf: str) -> SparkSession:
@@ -97,6 +105,7 @@ def session(app: str = "millrace", **conf: str) -> SparkSession:
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.maxRecordsPerBatch": "512",
+        "spark.sql.execution.arrow.maxBytesPerBatch": "32m",
         "spark.sql.streaming.stateStore.providerClass":
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
         **conf,

@@ -261,6 +261,17 @@ def test_counters_and_rules(spark):
     }
 
 
+def test_results_are_the_same_with_rules_too_large_to_broadcast(spark):
+    records = validate(parse_records(page_records(spark)))
+    rules = job.learn_rules(records).filter("host <> 'h2.com'")
+    small, large = (job.page_results(records, rules, limit) for limit in (1 << 20, 0))
+    columns = ["url", "host", "status", "outcome", "content"]
+    as_rows = [sorted(map(str, df.select(*columns).collect())) for df in (small, large)]
+    assert as_rows[0] == as_rows[1] and len(as_rows[0]) == 13
+    text_ = large._jdf.queryExecution().executedPlan().toString()
+    assert text_.index("MapInArrow") < text_.index("Join")
+
+
 def test_job_replay_and_report(spark, tmp_path):
     records = validate(parse_records(page_records(spark)))
     rules = job.learn_rules(records).filter("host <> 'h2.com'")
