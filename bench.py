@@ -26,6 +26,7 @@ HEADLINE = (
     "window_sum",
     "page_elements",
     "page_positive_xpath",
+    "host_report",
     "page_report",
     "stream_running_total",
     "stream_window_sum",

@@ -12,6 +12,13 @@ def col_of(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def literal_pattern(sep: str) -> str:
+    """A regular expression for a literal; one character stays on the JVM's fast split path."""
+    if len(sep) == 1:
+        return f"\\{sep}" if sep in ".$|()[{^?*+\\" else sep
+    return f"\\Q{sep}\\E"
+
+
 def java_split(c: Column | str, sep: str = " ") -> Column:
     """Split on a literal separator the way Java does.
 
@@ -19,7 +26,7 @@ def java_split(c: Column | str, sep: str = " ") -> Column:
     string gives one empty token and a separator-only string gives none.
     """
     c = col_of(c)
-    quoted = f"\\Q{sep}\\E"
+    quoted = literal_pattern(sep)
     if len(sep) == 1:
         stripped = F.rtrim(c, F.lit(sep))
     else:
