@@ -81,7 +81,9 @@ def with_tree(pages: DataFrame, html: str = "html", keep_html: bool = False) ->
         for batch in batches:
             for at in range(0, batch.num_rows, PAGES_PER_BATCH):
                 part = batch.slice(at, PAGES_PER_BATCH)
-                parsed = [parse_page(h) for h in part.column(html).to_pylist()]
+                # Bytes that are not UTF-8 become replacement characters, as in the JVM.
+                texts = part.column(html).cast(pa.binary()).to_pylist()
+                parsed = [parse_page(t and t.decode("utf-8", "replace")) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [
                         *(part.column(n) for n in names),

@@ -337,3 +337,9 @@ def test_elements_table(spark):
     df = spark.createDataFrame([(1, "<p>x</p>"), (2, None)], "page_id INT, html STRING")
     got = elements(with_tree(df), ["page_id"]).filter("tag = 'p'").collect()
     assert [(r["page_id"], r["own_text"], r["depth"]) for r in got] == [(1, "x", 2)]
+
+
+def test_bytes_that_are_not_text(spark):
+    df = spark.sql("SELECT 1 AS page_id, CAST(X'3C703E61FF623C2F703E' AS STRING) AS html")
+    got = elements(with_tree(df), ["page_id"]).filter("tag = 'p'").first()
+    assert got["own_text"] == "a\ufffdb"
