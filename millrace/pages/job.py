@@ -80,10 +80,6 @@ class PageTables:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    @property
-    def names(self) -> tuple[str, ...]:
-        return ("results", "documents", "storage", "counters", "report")
-
 
 def _put(df: DataFrame, path: str, batch_id: int) -> None:
     """Write a batch's own folder; a replay of the batch replaces it."""

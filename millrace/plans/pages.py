@@ -12,7 +12,6 @@ from millrace.functions.urls import url_host
 from millrace.pages import job, templates
 from millrace.pages.elements import elements, with_tree
 from millrace.pages.extract import EMPTY, EXTRACT, NO_MATCH
-
 from millrace.pages.records import OK, parse_records, validate
 from millrace.pages.report import documents, host_report, merge_reports, storage_rows
 from millrace.plans.inputs import PAGE_LINES_SQL, page_lines, staged, staged_stream
