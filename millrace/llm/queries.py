@@ -8,7 +8,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm import bpe, token_counts
+from millrace.llm import (
+    bpe,
+    exact_dedup,
+    language_id,
+    license_scan,
+    mixing,
+    quality_rules,
+    token_counts,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -20,6 +29,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
+    return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
+
+
+def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return license_scan.license_scan(docs).drop("spans")
+
+
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language_id.identify_split(docs)
+
+
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return quality_rules.quality(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept",
+    )
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.token_counts(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
@@ -37,9 +69,24 @@ def op8_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_digests(bpe.encode_decode(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
 
 
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return url_filter.judge_urls(pages).drop("trust", "distrust")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_source_mix": op1_source_mix,
+    "op3_license_scan": op3_license_scan,
+    "op5_language_id": op5_language_id,
+    "op6_quality_rules": op6_quality_rules,
     "op7_token_counts": op7_token_counts,
     "op8_bpe_encode_decode": op8_bpe_encode_decode,
+    "op9_exact_dedup": op9_exact_dedup,
+    "op10_url_filter": op10_url_filter,
 }
 
 ORACLES: dict[str, str] = {}
