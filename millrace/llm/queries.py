@@ -14,6 +14,7 @@ from millrace.llm import (
     language_id,
     license_scan,
     mixing,
+    ngram_join,
     quality_rules,
     token_counts,
     url_filter,
@@ -39,6 +40,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.license_scan(docs).drop("spans")
 
 
+def op4_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_join(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("n_links")
+
+
 def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language_id.identify_split(docs)
@@ -81,6 +86,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
     "op3_license_scan": op3_license_scan,
+    "op4_ngram_join": op4_ngram_join,
     "op5_language_id": op5_language_id,
     "op6_quality_rules": op6_quality_rules,
     "op7_token_counts": op7_token_counts,
