@@ -16,6 +16,7 @@ from millrace.llm import (
     mixing,
     ngram_join,
     quality_rules,
+    suffix_dedup,
     token_counts,
     url_filter,
 )
@@ -35,6 +36,16 @@ def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs).select("doc_id", "size", "source_size", "target", "taken", "copies", "rate")
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "n_bytes",
+        (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return license_scan.license_scan(docs).drop("spans")
@@ -85,6 +96,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "op1_source_mix": op1_source_mix,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op3_license_scan": op3_license_scan,
     "op4_ngram_join": op4_ngram_join,
     "op5_language_id": op5_language_id,
