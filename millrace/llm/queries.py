@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from millrace.llm import (
     bpe,
     exact_dedup,
@@ -95,6 +96,7 @@ def op10_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "pipeline": corpus_pipeline.run,
     "op1_source_mix": op1_source_mix,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_license_scan": op3_license_scan,
@@ -107,4 +109,73 @@ QUERIES: dict[str, Query] = {
     "op10_url_filter": op10_url_filter,
 }
 
-ORACLES: dict[str, str] = {}
+_STOP_WORDS = ", ".join(f"'{w}'" for w in quality_rules.STOP_WORDS)
+
+ORACLES: dict[str, str] = {
+    "op4_ngram_join": r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i : i + 2], ' ') AS s
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM docs WHERE len(w) >= 3)
+  UNION ALL
+  SELECT doc_id, array_to_string(w, ' ') FROM docs WHERE len(w) BETWEEN 1 AND 2
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL
+), links AS (
+  SELECT x, y FROM shared
+  JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+  WHERE 100 * shared.n >= 90 * (p.n + q.n - shared.n)
+), reach AS (
+  SELECT doc_id AS x, doc_id AS y FROM documents
+  UNION
+  SELECT reach.x, links.y FROM reach JOIN links ON links.x = reach.y
+)
+SELECT docs.doc_id, coalesce(max(sizes.n), 0) AS n_shingles, min(reach.y) AS component_id
+FROM docs LEFT JOIN sizes ON sizes.doc_id = docs.doc_id JOIN reach ON reach.x = docs.doc_id
+GROUP BY docs.doc_id
+""",
+    "op6_quality_rules": rf"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), lines AS (
+  SELECT doc_id, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l
+  FROM docs
+), windows AS (
+  SELECT doc_id, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM docs WHERE len(w) >= 3)
+), again AS (
+  SELECT doc_id, i FROM windows QUALIFY count(*) OVER (PARTITION BY doc_id, a, b, c) > 1
+), covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p FROM again) GROUP BY doc_id
+), m AS (
+  SELECT doc_id, len(w) AS n_words, length(array_to_string(w, '')) AS word_chars,
+         length(t) - length(translate(t, '#*$%&|<>', '')) AS n_symbols,
+         len(l) - len(list_distinct(l)) AS n_dup_lines, len(l) AS n_lines,
+         coalesce(n, 0) AS n_repeat_words,
+         len(list_filter(w, lambda x: lower(x) IN ({_STOP_WORDS}))) AS n_stop_words
+  FROM docs JOIN lines USING (doc_id) LEFT JOIN covered USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+       AND word_chars BETWEEN 2.0 * n_words AND 20.0 * n_words AND n_symbols <= 0.1 * n_words
+       AND n_dup_lines <= 0.5 * n_lines AND n_stop_words >= 0.01 * n_words AS kept
+FROM m
+""",
+    "op9_exact_dedup": """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
+       doc_id = max(doc_id) OVER same AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+WINDOW same AS (PARTITION BY t)
+""",
+}
