@@ -44,9 +44,6 @@ def stream_session(spark: SparkSession, width: int | None) -> SparkSession:
     """A session of its own for the state settings; the caller's session stays as it is."""
     own = spark.newSession()
     own.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
-    # Many small stores: no space set aside for each, and changes instead of whole snapshots.
-    own.conf.set("spark.sql.streaming.stateStore.rocksdb.allowFAllocate", "false")
-    own.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     own.conf.set("spark.sql.shuffle.partitions", width or spark.conf.get("spark.sql.shuffle.partitions"))
     own.conf.set("spark.sql.session.timeZone", spark.conf.get("spark.sql.session.timeZone"))
     return own
