@@ -18,7 +18,7 @@ Copies are never paired, blocks and buckets are bounded, and no group passes thr
 
 Cases: null and empty texts have no shingles and no links; texts with fewer words than a shingle
 have the whole sequence as their one shingle; a row with a null id has no links and a null
-component; repeated rows are copies of one set; an empty table gives an empty result; other
+component; repeated rows are copies of one set; rows of one id with different texts are judged apart; an empty table gives an empty result; other
 columns of the input are not read; a text of any length is read whole.
 """
 
@@ -349,13 +349,17 @@ def block_table(chains: DataFrame) -> tuple[DataFrame, int]:
     return steps.join(large, "cluster").withColumn("slots", slots), 1 + 2 * small // BLOCK_SHINGLES
 
 
-def links(docs: DataFrame, sets: DataFrame, edges: DataFrame, width: int, percent: int, over: int) -> DataFrame:
-    """Stored verified links: connecting pairs (a, b) of representatives, and per set (a) how many
+def links(
+    docs: DataFrame, sets: DataFrame, edges: DataFrame, width: int, percent: int, over: int
+) -> DataFrame:
+    """Stored verified links: connecting pairs (a, b) of sets, by `rep`, and per set (a) how many
     documents it is linked to (`links`, b null)."""
     chains = components(edges).select(F.col("node").alias("name"), F.col("component").alias("cluster"))
     step = F.floor(F.log("n") / math.log(CLASS_FACTOR)).cast("int")
     chained_sets = materialized(
-        sets.join(chains, "name").select("rep", "digest", "n", "copies", "cluster", step.alias("step")),
+        sets.join(chains, "name").select(
+            "rep", "id", "digest", "n", "copies", "cluster", step.alias("step")
+        ),
         "join-chains",
     )
     blocks, packs = block_table(chained_sets)
@@ -379,7 +383,7 @@ def links(docs: DataFrame, sets: DataFrame, edges: DataFrame, width: int, percen
     )
     whole = chained_sets.join(blocks.select("cluster", "step", "slots"), ["cluster", "step"], "left")
     packed = whole.filter("slots IS NULL").select(
-        "rep", "digest", "copies",
+        "rep", "id", "digest", "copies",
         F.array(F.struct(
             F.concat(F.lit("pack "), F.pmod(F.xxhash64("cluster"), F.lit(packs))).alias("task"),
             F.lit(1).alias("side"),
@@ -390,12 +394,12 @@ def links(docs: DataFrame, sets: DataFrame, edges: DataFrame, width: int, percen
         .withColumn("slot", F.pmod(F.xxhash64("rep"), F.col("slots")).cast("int"))
         .join(seats.groupBy("cluster", "step", "slot").agg(
             F.collect_list(F.struct("task", "side")).alias("seats")), ["cluster", "step", "slot"])
-        .select("rep", "digest", "copies", "seats")
+        .select("rep", "id", "digest", "copies", "seats")
     )
     wanted = materialized(packed.unionByName(split), "join-wanted")
-    texts = lookup_join(
-        docs.filter("id IS NOT NULL"), wanted.withColumnRenamed("rep", "id"), ["id"], "inner"
-    ).select("id", "text", "digest", "copies", "seats")
+    texts = lookup_join(docs.filter("id IS NOT NULL"), wanted, ["id"], "inner").select(
+        "rep", "text", "digest", "copies", "seats"
+    )
 
     def gather(batches):
         """Shingles of the wanted sets; a row of the same id with another text is not meant."""
@@ -406,21 +410,22 @@ def links(docs: DataFrame, sets: DataFrame, edges: DataFrame, width: int, percen
                     i for i, (s, d) in enumerate(zip(made, part.column("digest").to_pylist()))
                     if len(s) and xxhash.xxh3_128_digest(s.tobytes()) == d
                 ]
-                rest = part.select(["id", "copies", "seats"]).take(pa.array(keep, pa.int64()))
+                rest = part.select(["rep", "copies", "seats"]).take(pa.array(keep, pa.int64()))
                 yield pa.RecordBatch.from_arrays(
                     [*rest.columns, pa.array([made[i].tobytes() for i in keep], pa.binary())],
-                    names=["id", "copies", "seats", "shingles"],
+                    names=["rep", "copies", "seats", "shingles"],
                 )
 
     seated = texts.mapInArrow(
-        gather, "id long, copies long, seats array<struct<task string, side int>>, shingles binary"
-    ).select("id", "copies", "shingles", F.explode("seats").alias("seat")).select(
-        "id", "copies", "shingles", "seat.task", "seat.side"
+        gather, "rep long, copies long, seats array<struct<task string, side int>>, shingles binary"
+    ).select("rep", "copies", "shingles", F.explode("seats").alias("seat")).select(
+        "rep", "copies", "shingles", "seat.task", "seat.side"
     )
 
     def search(table: pa.Table) -> pa.Table:
         rows: dict[int, tuple] = {}
-        for i, c, s, side in zip(*(table.column(x).to_pylist() for x in ("id", "copies", "shingles", "side"))):
+        columns = (table.column(x).to_pylist() for x in ("rep", "copies", "shingles", "side"))
+        for i, c, s, side in zip(*columns):
             rows[i] = (len(s), i, np.frombuffer(s, np.uint64), c, side)
         order = sorted(rows.values(), key=lambda r: r[:2])
         a, b = linked_in_block([r[2] for r in order], percent, over)
@@ -464,8 +469,9 @@ def similarity_join(
     edges = found.filter(F.col("kind") == EDGE).select("a", "b")
     sets = materialized(
         members.filter("id IS NOT NULL AND n > 0")
+        .withColumn("row", F.monotonically_increasing_id())
         .groupBy("digest")
-        .agg(F.min("id").alias("rep"), F.max("n").alias("n"), F.count("*").alias("copies"),
+        .agg(F.min("row").alias("rep"), F.min("id").alias("id"), F.max("n").alias("n"), F.count("*").alias("copies"),
              F.max("a").alias("name")),
         "join-sets",
     )
@@ -474,11 +480,14 @@ def similarity_join(
     counts = found_links.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(
         F.sum("links").alias("links")
     )
+    grouped = materialized(sets.join(joined, "rep"), "join-grouped")
+    lowest = grouped.groupBy("component").agg(F.min("id").alias("lowest"))
     special = materialized(
-        sets.join(joined, "rep", "left").join(counts, "rep", "left")
-        .filter("copies > 1 OR component IS NOT NULL")
+        sets.join(grouped.select("rep", "component").join(lowest, "component"), "rep", "left")
+        .join(counts, "rep", "left")
+        .filter("copies > 1 OR lowest IS NOT NULL")
         .select(
-            "digest", F.coalesce("component", "rep").alias("component"),
+            "digest", F.coalesce("lowest", "id").alias("component"),
             (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).alias("n_links"),
         ),
         "join-special",
