@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from millrace.functions.text import col_of, java_split
 
@@ -76,14 +77,28 @@ def match_counts(df: DataFrame, matched: Column, by: list[str] | None = None) ->
     return df.groupBy(*by).agg(*aggs) if by else df.agg(*aggs)
 
 
-def chunked_lists(df: DataFrame, key: str, value: str, chunk_width: int) -> DataFrame:
-    """Values per key as lists, cut into chunks of a value range.
+def chunk_of(df: DataFrame, value: str, chunk_width: int, hash_chunks: int = 1) -> Column:
+    """Chunk of a value: a range of `chunk_width` whole numbers, or of other values a digest range.
 
-    `value` is a whole number. Equal values are counted before the shuffle, so a chunk holds
-    at most `chunk_width` entries however large or repetitive the key's group is.
+    Values that are no whole numbers have no ranges of known width; `hash_chunks` cuts a key's
+    values into that many chunks instead.
+    """
+    if isinstance(df.schema[value].dataType, T.IntegralType):
+        return F.floor(F.col(value) / F.lit(chunk_width)).cast("long")
+    return F.pmod(F.xxhash64(value), F.lit(hash_chunks)).cast("long")
+
+
+def chunked_lists(
+    df: DataFrame, key: str, value: str, chunk_width: int, hash_chunks: int = 1
+) -> DataFrame:
+    """Values per key as lists, cut into chunks: `values` and, place by place, their `copies`.
+
+    Equal values are counted before the shuffle, so a chunk of whole numbers holds at most
+    `chunk_width` entries however large or repetitive the key's group is. The two lists together
+    are the key's values with all their repeats. A null value is an entry like any other.
     """
     distinct = df.groupBy(key, value).agg(F.count("*").alias("copies"))
-    chunk = F.floor(F.col(value) / F.lit(chunk_width)).cast("long")
+    chunk = chunk_of(df, value, chunk_width, hash_chunks)
     return (
         distinct.groupBy(key, chunk.alias("chunk"))
         .agg(F.array_sort(F.collect_list(F.struct(value, "copies"))).alias("items"))
@@ -91,6 +106,7 @@ def chunked_lists(df: DataFrame, key: str, value: str, chunk_width: int) -> Data
             key,
             "chunk",
             F.transform("items", lambda i: i[value]).alias("values"),
+            F.transform("items", lambda i: i["copies"]).alias("copies"),
             F.aggregate("items", F.lit(0).cast("long"), lambda s, i: s + i["copies"]).alias("n_rows"),
         )
     )

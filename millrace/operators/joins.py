@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from millrace.functions.text import norm_null
+from millrace.operators.counts import chunk_of
 from millrace.runtime import BROADCAST_LIMIT_BYTES, lookup_join
 
 
@@ -40,12 +41,12 @@ def matched_names(joined: DataFrame, code: str = "country") -> DataFrame:
 
 
 def chunked_cogroup(
-    left: DataFrame, right: DataFrame, key: str, value: str, chunk_width: int
+    left: DataFrame, right: DataFrame, key: str, value: str, chunk_width: int, hash_chunks: int = 1
 ) -> DataFrame:
     """Both sides' values per key, side by side, cut into chunks of a value range.
 
-    Keys of either side appear. As in `chunked_lists`, equal values are counted first and no
-    list grows beyond the chunk width.
+    Keys of either side appear. As in `chunked_lists`, equal values are counted first, no list of
+    whole numbers grows beyond the chunk width, and values go with their copies.
     """
     sides = (
         left.select(key, value, F.lit(True).alias("__left"))
@@ -53,7 +54,7 @@ def chunked_cogroup(
         .groupBy(key, value, "__left")
         .agg(F.count("*").alias("copies"))
     )
-    chunk = F.floor(F.col(value) / F.lit(chunk_width)).cast("long")
+    chunk = chunk_of(left, value, chunk_width, hash_chunks)
 
     def side(of_left: bool):
         here = F.col("__left") if of_left else ~F.col("__left")
@@ -69,7 +70,9 @@ def chunked_cogroup(
             key,
             "chunk",
             F.transform("l", lambda i: i[value]).alias("left_values"),
+            F.transform("l", lambda i: i["copies"]).alias("left_copies"),
             F.transform("r", lambda i: i[value]).alias("right_values"),
+            F.transform("r", lambda i: i["copies"]).alias("right_copies"),
             total("l").alias("left_rows"),
             total("r").alias("right_rows"),
         )

@@ -66,9 +66,17 @@ def _nested(rows_per_page: list[list], struct: pa.StructType) -> pa.ListArray:
     )
 
 
-def with_tree(pages: DataFrame, html: str = "html", keep_html: bool = False) -> DataFrame:
-    """Add `nodes` and `pieces` parsed from `html`; other columns pass through."""
-    kept = [f for f in pages.schema.fields if keep_html or f.name != html]
+def with_tree(
+    pages: DataFrame, html: str = "html", keep_html: bool = False, wanted: Column | None = None
+) -> DataFrame:
+    """Add `nodes` and `pieces` parsed from `html`; other columns pass through.
+
+    Rows that are not `wanted` get the empty tree of a page without html.
+    """
+    mark = "__wanted"
+    if wanted is not None:
+        pages = pages.withColumn(mark, F.coalesce(wanted, F.lit(False)))
+    kept = [f for f in pages.schema.fields if (keep_html or f.name != html) and f.name != mark]
     names = [f.name for f in kept]
     schema = T.StructType(
         [*kept, T.StructField("nodes", T.ArrayType(NODE)), T.StructField("pieces", T.ArrayType(PIECE))]
@@ -83,6 +91,9 @@ def with_tree(pages: DataFrame, html: str = "html", keep_html: bool = False) ->
                 part = batch.slice(at, PAGES_PER_BATCH)
                 # Bytes that are not UTF-8 become replacement characters, as in the JVM.
                 texts = part.column(html).cast(pa.binary()).to_pylist()
+                if wanted is not None:
+                    flags = part.column(mark).to_pylist()
+                    texts = [t if flag else None for t, flag in zip(texts, flags)]
                 parsed = [parse_page(t and t.decode("utf-8", "replace")) for t in texts]
                 yield pa.RecordBatch.from_arrays(
                     [

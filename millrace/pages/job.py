@@ -23,8 +23,9 @@ from millrace.runtime import (
     measured_bytes,
     salted_join,
 )
+from millrace.sinks.ledger import BatchKey, put_batch
+from millrace.streaming.jobs import RefreshedLookup, start
 
-RESULT_PARTITION = "batch_id"
 
 
 def learned(records: DataFrame, keys: tuple[str, ...] = ("host",)) -> DataFrame:
@@ -37,22 +38,29 @@ def learned(records: DataFrame, keys: tuple[str, ...] = ("host",)) -> DataFrame:
     return with_tree(records.select(*keys, html)).select(*keys, mined().alias("mined"))
 
 
+def parsed_valid(records: DataFrame) -> DataFrame:
+    """Valid records with their trees; the html crosses to the parser once."""
+    return with_tree(records, "html", keep_html=True, wanted=F.col("status") == OK)
+
+
 def page_results(
-    records: DataFrame, rules: DataFrame, limit_bytes: int = BROADCAST_LIMIT_BYTES
+    records: DataFrame,
+    rules: DataFrame,
+    limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    size: int | None = None,
 ) -> DataFrame:
     """One row per record with `mined`, `content` and `outcome`; each page is parsed once.
 
-    Filtered records skip the parser: their html is set to null before it. Rules within the
+    Filtered records skip the parser. With a known `size`, `rules` are host rules already. Those within the
     limit are broadcast to the parsed pages. Larger ones are joined before parsing, salted by
     host, so that the shuffle carries the html and not the much larger trees.
     """
     ok = F.col("status") == OK
-    sources = records.withColumn("__html", F.when(ok, F.col("html")))
-    by_host = host_rules(rules)
-    if measured_bytes(by_host) <= limit_bytes:
-        ruled = with_tree(sources, "__html").join(F.broadcast(by_host), "host", "left")
+    by_host = rules if size is not None else host_rules(rules)
+    if (measured_bytes(by_host) if size is None else size) <= limit_bytes:
+        ruled = parsed_valid(records).join(F.broadcast(by_host), "host", "left")
     else:
-        ruled = with_tree(salted_join(sources, by_host, ["host"], "left"), "__html")
+        ruled = parsed_valid(salted_join(records, by_host, ["host"], "left"))
     return (
         ruled.withColumn("mined", F.when(ok, mined()))
         .withColumn("content", F.when(ok, ruled_content()))
@@ -73,7 +81,7 @@ def learn_rules(records: DataFrame, k: int = 2) -> DataFrame:
 
 @dataclass(frozen=True)
 class PageTables:
-    """Folders of the job's output tables, each partitioned by batch id."""
+    """Folders of the job's output tables, each partitioned by run and batch id."""
 
     root: str
 
@@ -81,27 +89,33 @@ class PageTables:
         return f"{self.root}/{name}"
 
 
-def _put(df: DataFrame, path: str, batch_id: int) -> None:
-    """Write a batch's own folder; a replay of the batch replaces it."""
-    df.write.mode("overwrite").parquet(f"{path}/{RESULT_PARTITION}={batch_id}")
+def run_key(at: datetime) -> BatchKey:
+    """The key of a batch run: its scan time. The same scan run again replaces its tables."""
+    return BatchKey(at.strftime("scan-%Y%m%dT%H%M%S.%f"), 0)
 
 
 def run_batch(
-    records: DataFrame, rules: DataFrame, at: datetime, tables: PageTables, batch_id: int = 0
+    records: DataFrame,
+    rules: DataFrame,
+    at: datetime,
+    tables: PageTables,
+    key: BatchKey,
+    size: int | None = None,
 ) -> None:
-    """Run the whole job on one set of validated records and store its tables.
+    """Run the whole job on one set of validated records and store its tables under `key`.
 
     The per-page results are written first; documents, storage rows, counters and report are
-    derived from that table, so no page is parsed twice.
+    derived from that table, so no page is parsed twice. With a known `size`, `rules` are host rules
+    already.
     """
     spark = records.sparkSession
     moment = F.lit(at).cast("timestamp_ntz")
-    _put(page_results(records, rules), tables.path("results"), batch_id)
-    results = spark.read.parquet(f"{tables.path('results')}/{RESULT_PARTITION}={batch_id}")
-    _put(documents(results, moment), tables.path("documents"), batch_id)
-    _put(storage_rows(results, moment), tables.path("storage"), batch_id)
-    _put(counter_deltas(results), tables.path("counters"), batch_id)
-    _put(host_report(results, moment), tables.path("report"), batch_id)
+    put_batch(page_results(records, rules, size=size), tables.path("results"), key)
+    results = spark.read.parquet(f"{tables.path('results')}/{key.folder}")
+    put_batch(documents(results, moment), tables.path("documents"), key)
+    put_batch(storage_rows(results, moment), tables.path("storage"), key)
+    put_batch(counter_deltas(results), tables.path("counters"), key)
+    put_batch(host_report(results, moment), tables.path("report"), key)
 
 
 def total_report(spark: SparkSession, tables: PageTables) -> DataFrame:
@@ -133,27 +147,18 @@ def start_stream(
     """The page job per micro-batch over streamed record lines.
 
     Rules are read again once they are older than the refresh interval; empty batches are
-    skipped; the batch's tables replace those of an earlier attempt with the same id, and the
-    source offsets are committed after them.
+    skipped; the batch's tables replace those of an earlier attempt with the same key, and the
+    source offsets are committed after them. A refresh takes a snapshot of the rules by host, so
+    rule files may be replaced or removed at any time.
     """
-    cache: dict = {"rules": None, "read_at": None}
-
-    def on_batch(batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
-        now = clock()
-        if cache["rules"] is None or now - cache["read_at"] >= refresh_seconds:
-            cache["rules"] = load_rules(batch.sparkSession)
-            cache["read_at"] = now
-        at = datetime.fromtimestamp(now)
-        run_batch(validate(parse_records(batch)), cache["rules"], at, tables, batch_id)
+    lookup = RefreshedLookup(lambda spark: host_rules(load_rules(spark)), refresh_seconds, clock)
 
-    return (
-        lines.writeStream.foreachBatch(on_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(**(trigger or {"availableNow": True}))
-        .start()
-    )
+    def on_batch(batch: DataFrame, key: BatchKey) -> None:
+        rules, size = lookup.current(batch.sparkSession)
+        at = datetime.fromtimestamp(clock())
+        run_batch(validate(parse_records(batch)), rules, at, tables, key, size)
+
+    return start(lines, on_batch, checkpoint, trigger=trigger)
 
 
 def moment(at: datetime) -> Column:

@@ -9,7 +9,6 @@ from millrace.functions.keys import FIELD_SEP
 from millrace.operators.counts import lines_of
 from millrace.plans.registry import table
 from millrace.runtime import scratch, spread
-from millrace.sources.files import spark_partitions
 
 MIN_STREAM_FILES = 4
 
@@ -25,15 +24,18 @@ def conversation_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def staged(df: DataFrame, name: str, writer: str, files: int | None = None) -> str:
     """Write a derived input to the shared folder and return its path."""
     path = scratch(df.sparkSession, name)
-    if files is not None and spark_partitions(df) < files:
+    if files is not None:
         df = df.repartition(files)
     getattr(df.write, writer)(path)
     return path
 
 
 def staged_stream(df: DataFrame, name: str, writer: str = "text") -> tuple[str, int]:
-    """Stage in several files; returns the path and files per trigger for about four batches."""
-    files = max(MIN_STREAM_FILES, spark_partitions(df))
+    """Stage in several files; returns the path and files per trigger for about four batches.
+
+    The number of files is chosen without looking at the input, which is then computed once.
+    """
+    files = max(MIN_STREAM_FILES, df.sparkSession.sparkContext.defaultParallelism)
     return staged(df, name, writer, files), max(1, files // MIN_STREAM_FILES)
 
 

@@ -25,6 +25,7 @@ from millrace.plans.page_sql import (
 )
 from millrace.plans.registry import query, table
 from millrace.runtime import lookup_join, materialized, scratch, spread
+from millrace.sinks.ledger import BatchKey, put_batch
 from millrace.sources.files import read_rules
 from millrace.streaming.sources import line_files
 
@@ -104,9 +105,8 @@ def report_upsert(spark: SparkSession, sf: str) -> DataFrame:
     scripted = _scripted(spark, sf)
     secure = F.coalesce(F.startswith(F.col("url"), F.lit("https")), F.lit(False))
     path = scratch(spark, "report")
-    for batch_id, part in ((0, secure), (1, ~secure), (1, ~secure)):
-        report = host_report(scripted.filter(part), _at())
-        report.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+    for number, part in ((0, secure), (1, ~secure), (1, ~secure)):
+        put_batch(host_report(scripted.filter(part), _at()), path, BatchKey("report", number))
     return merge_reports(spark.read.parquet(path))
 
 
@@ -208,8 +208,9 @@ def top_templates(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored, so that filters above do not evaluate the extraction again."""
     records = _records(spark, sf)
-    return job.page_results(records, job.learn_rules(records))
+    return materialized(job.page_results(records, job.learn_rules(records)), "page-results")
 
 
 EXTRACTED_SQL = f"{RULES_SQL}, {EXTRACT_CTES.strip()}\n"
@@ -260,7 +261,7 @@ def page_report(spark: SparkSession, sf: str) -> DataFrame:
     records = _records(spark, sf)
     rules = materialized(job.learn_rules(records), "rules")
     tables = job.PageTables(scratch(spark, "page-job"))
-    job.run_batch(records, rules, SCAN_TIME, tables)
+    job.run_batch(records, rules, SCAN_TIME, tables, job.run_key(SCAN_TIME))
     return job.total_report(spark, tables)
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import suffix_route
 from millrace.functions import keys as K
+from millrace.operators.counts import lines_of
 from millrace.operators.joins import union_many
 from millrace.operators.offsets import saved_offsets
 from millrace.plans.inputs import (
@@ -52,9 +53,28 @@ def _batch_counts(spark: SparkSession, sf: str) -> DataFrame:
     return read_batches(spark, out)
 
 
-@query("stream_batch_word_count")
+#: Batches of the streams whose batches have known content.
+BUCKETS = 4
+
+
+@query(
+    "stream_batch_word_count",
+    f"""
+WITH lines AS (SELECT conv_id, unnest(string_split(text, chr(10))) AS line FROM conversations),
+cut AS (SELECT conv_id, line, regexp_replace(line, ' +$', '') AS body FROM lines),
+tok AS (SELECT conv_id, unnest(string_split(body, ' ')) AS word FROM cut WHERE body <> '' OR line = '')
+SELECT CAST(conv_id % {BUCKETS} AS INTEGER) AS batch_id, word, count(*) AS n FROM tok GROUP BY 1, 2
+""",
+)
 def stream_batch_word_count(spark: SparkSession, sf: str) -> DataFrame:
-    return _batch_counts(spark, sf).select("batch_id", "word", "n")
+    """Batch k counts the conversations with id k modulo the number of batches: its lines arrive
+    and are read to the end before those of the next."""
+    talks = table(spark, sf, "conversations")
+    path, (out, checkpoint) = scratch(spark, "batch-lines"), _out(spark, "batch-count")
+    for k in range(BUCKETS):
+        lines_of(talks.filter(F.col("conv_id") % BUCKETS == k), "text").write.mode("append").text(path)
+        _run(jobs.batch_word_count, line_files(spark, path), out, checkpoint)
+    return read_batches(spark, out).select("batch_id", "word", "n")
 
 
 @query("stream_word_count", STREAM_COUNT_SQL)
@@ -143,6 +163,36 @@ def window_concat(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query(
+    "stream_window_concat",
+    """
+WITH b AS (SELECT date_trunc('hour', ts) AS h, event_type, count(*) AS n FROM events GROUP BY 1, 2),
+w AS (SELECT *, CAST(floor(epoch(h) / 7200) AS BIGINT) * 7200 AS s FROM b),
+o AS (SELECT unnest([0, 7200]) AS back)
+SELECT strftime(make_timestamp((s - back) * 1000000), '%Y-%m-%d %H:%M:%S') AS win_start,
+       strftime(h, '%Y-%m-%d %H:%M:%S') AS batch_start, event_type, n
+FROM w, o
+""",
+)
+def stream_window_concat(spark: SparkSession, sf: str) -> DataFrame:
+    """The same windows over batch counts that a stream has kept up to date."""
+    events = table(spark, sf, "events").select("ts", "event_type")
+    path, per_trigger = staged_stream(events, "concat-events", "parquet")
+    stream = table_files(spark, path, events.schema, per_trigger)
+    out, checkpoint = _out(spark, "window-concat")
+    _run(
+        jobs.window_concat_stream, stream, out, checkpoint, "event_type", BATCH, SIZE, SLIDE,
+        state_partitions=_cores(spark),
+    )
+    counts = newest(read_batches(spark, out), ["batch_start", "event_type"], ["n"])
+    return jobs.window_concat(counts, "event_type", SIZE, SLIDE).select(
+        K.second_stamp("win_start").alias("win_start"),
+        K.second_stamp("batch_start").alias("batch_start"),
+        "event_type",
+        "n",
+    )
+
+
 WINDOW_SUM_SQL = """
 WITH e AS (SELECT event_type, CAST(floor(epoch(ts) / 7200) AS BIGINT) * 7200 AS s FROM events),
 o AS (SELECT unnest([0, 7200]) AS back)
@@ -169,13 +219,16 @@ def window_sum(spark: SparkSession, sf: str) -> DataFrame:
 
 @query("stream_window_sum", WINDOW_SUM_SQL)
 def stream_window_sum(spark: SparkSession, sf: str) -> DataFrame:
-    """The same counts from a stream whose files are not in time order."""
+    """The same counts from a stream whose files are not in time order.
+
+    The input is finite, so no watermark drops rows that come late.
+    """
     events = table(spark, sf, "events").select("ts", "event_type")
     path, per_trigger = staged_stream(events, "stream-events", "parquet")
     stream = table_files(spark, path, events.schema, per_trigger)
     out, checkpoint = _out(spark, "window-sum")
     _run(
-        jobs.window_sum, stream, out, checkpoint, "event_type", SIZE, SLIDE, watermark="40 days",
+        jobs.window_sum, stream, out, checkpoint, "event_type", SIZE, SLIDE,
         state_partitions=_cores(spark),
     )
     windows = newest(read_batches(spark, out), ["win_start", "win_end", "event_type"], ["n"])
@@ -207,21 +260,66 @@ def stream_union_count(spark: SparkSession, sf: str) -> DataFrame:
 FROM customer JOIN nation ON c_nationkey = n_nationkey GROUP BY 1, 2""",
 )
 def stream_code_name_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Names and codes of a key arrive in the same batch; there are several batches."""
     names = table(spark, sf, "nation").select(
-        F.concat_ws(" ", F.col("n_nationkey").cast("string"), "n_name").alias("value")
+        F.col("n_nationkey").alias("key"),
+        F.concat_ws(" ", F.col("n_nationkey").cast("string"), "n_name").alias("value"),
     )
-    codes = table(spark, sf, "customer").select(F.col("c_nationkey").cast("string").alias("value"))
-    tagged = union_many(
-        [
-            line_files(spark, staged(df, kind, "text")).withColumn("kind", F.lit(kind))
-            for kind, df in (("name", names), ("code", codes))
-        ]
+    codes = table(spark, sf, "customer").select(
+        F.col("c_nationkey").alias("key"), F.col("c_nationkey").cast("string").alias("value")
     )
+    inputs = [(kind, df, scratch(spark, kind)) for kind, df in (("name", names), ("code", codes))]
     out, checkpoint = _out(spark, "code-name")
-    _run(jobs.code_name_join, tagged, out, checkpoint)
+    for k in range(BUCKETS):
+        for _, df, path in inputs:
+            df.filter(F.col("key") % BUCKETS == k).select("value").write.mode("append").text(path)
+        tagged = union_many(
+            [line_files(spark, path).withColumn("kind", F.lit(kind)) for kind, _, path in inputs]
+        )
+        _run(jobs.code_name_join, tagged, out, checkpoint)
     return read_batches(spark, out).select("code", "name", "n")
 
 
+@query(
+    "stream_interval_join",
+    """SELECT a.event_id AS first_id, b.event_id AS second_id
+FROM events a JOIN events b ON a.user_id = b.user_id
+ AND b.ts BETWEEN a.ts - INTERVAL 10 MINUTE AND a.ts + INTERVAL 10 MINUTE
+WHERE a.event_type = 'click' AND b.event_type = 'view'""",
+)
+def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
+    """Clicks with the views of the same user within ten minutes, over several batches.
+
+    Files are cut and read in time order, so rows are never behind the watermark.
+    """
+    events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
+    sides = []
+    for kind, id_name, ts_name, code in (
+        ("click", "first_id", "name_ts", "code"), ("view", "second_id", "code_ts", "code"),
+    ):
+        rows = events.filter(F.col("event_type") == kind).select(
+            F.col("user_id").cast("string").alias(code), F.col("event_id").alias(id_name),
+            F.col("ts").alias(ts_name),
+        )
+        path = scratch(spark, f"interval-{kind}")
+        for part in _time_parts(rows, ts_name, BUCKETS):
+            part.coalesce(1).write.mode("append").parquet(path)
+        sides.append(table_files(spark, path, rows.schema, 1))
+    out, checkpoint = _out(spark, "interval-join")
+    joined = jobs.interval_join(*sides).select("first_id", "second_id")
+    _run(jobs.start, joined, jobs.to_ledger(out), checkpoint, skip_empty=False,
+         state_partitions=_cores(spark))
+    return read_batches(spark, out).select("first_id", "second_id")
+
+
+def _time_parts(rows: DataFrame, ts: str, parts: int) -> list[DataFrame]:
+    """Rows cut into equal stretches of time, in order."""
+    low, high = rows.agg(F.min(F.unix_micros(ts)), F.max(F.unix_micros(ts))).first()
+    width = (high - low) // parts + 1
+    place = F.floor((F.unix_micros(ts) - low) / width)
+    return [rows.filter(place == k) for k in range(parts)]
+
+
 @query(
     "stream_lookup_refresh",
     """SELECT CAST(c_nationkey AS VARCHAR) AS code, n_name AS name, count(*) AS n

@@ -30,7 +30,7 @@ from millrace.plans.inputs import (
     staged,
 )
 from millrace.plans.registry import query, table
-from millrace.runtime import scratch
+from millrace.runtime import materialized, scratch
 from millrace.sinks import files as sinks
 from millrace.sinks import keyed
 from millrace.sources import catalog, files
@@ -147,6 +147,7 @@ def range_rows(spark: SparkSession, sf: str) -> DataFrame:
 WITH d AS (SELECT o_orderpriority, o_custkey, count(*) AS copies FROM orders GROUP BY 1, 2)
 SELECT o_orderpriority, o_custkey // 256 AS chunk,
        string_agg(CAST(o_custkey AS VARCHAR), ',' ORDER BY o_custkey) AS members,
+       string_agg(CAST(copies AS VARCHAR), ',' ORDER BY o_custkey) AS member_copies,
        CAST(sum(copies) AS BIGINT) AS n_rows
 FROM d GROUP BY 1, 2
 """,
@@ -155,7 +156,8 @@ def collect_by_key(spark: SparkSession, sf: str) -> DataFrame:
     lists = C.chunked_lists(table(spark, sf, "orders"), "o_orderpriority", "o_custkey", 256)
     return lists.select(
         "o_orderpriority", "chunk",
-        F.array_join(F.col("values").cast("array<string>"), ",").alias("members"), "n_rows",
+        F.array_join(F.col("values").cast("array<string>"), ",").alias("members"),
+        F.array_join(F.col("copies").cast("array<string>"), ",").alias("member_copies"), "n_rows",
     )
 
 
@@ -164,12 +166,15 @@ def collect_by_key(spark: SparkSession, sf: str) -> DataFrame:
     """
 WITH s AS (
   SELECT c_nationkey AS nation, c_custkey AS id, 1 AS l FROM customer
-  UNION ALL SELECT s_nationkey, s_suppkey, 0 FROM supplier)
+  UNION ALL SELECT s_nationkey, s_suppkey, 0 FROM supplier),
+d AS (SELECT nation, id, l, count(*) AS n FROM s GROUP BY ALL)
 SELECT nation, id // 512 AS chunk,
        coalesce(string_agg(CASE WHEN l = 1 THEN CAST(id AS VARCHAR) END, ',' ORDER BY id), '') AS customers,
+       coalesce(string_agg(CASE WHEN l = 1 THEN CAST(n AS VARCHAR) END, ',' ORDER BY id), '') AS customer_copies,
        coalesce(string_agg(CASE WHEN l = 0 THEN CAST(id AS VARCHAR) END, ',' ORDER BY id), '') AS suppliers,
-       CAST(sum(l) AS BIGINT) AS n_customers, CAST(sum(1 - l) AS BIGINT) AS n_suppliers
-FROM s GROUP BY 1, 2
+       coalesce(string_agg(CASE WHEN l = 0 THEN CAST(n AS VARCHAR) END, ',' ORDER BY id), '') AS supplier_copies,
+       CAST(sum(l * n) AS BIGINT) AS n_customers, CAST(sum((1 - l) * n) AS BIGINT) AS n_suppliers
+FROM d GROUP BY 1, 2
 """,
 )
 def cogroup_lists(spark: SparkSession, sf: str) -> DataFrame:
@@ -183,7 +188,9 @@ def cogroup_lists(spark: SparkSession, sf: str) -> DataFrame:
     return both.select(
         "nation", "chunk",
         F.array_join(F.col("left_values").cast("array<string>"), ",").alias("customers"),
+        F.array_join(F.col("left_copies").cast("array<string>"), ",").alias("customer_copies"),
         F.array_join(F.col("right_values").cast("array<string>"), ",").alias("suppliers"),
+        F.array_join(F.col("right_copies").cast("array<string>"), ",").alias("supplier_copies"),
         F.col("left_rows").alias("n_customers"),
         F.col("right_rows").alias("n_suppliers"),
     )
@@ -432,9 +439,13 @@ def catalog_table_group_having(spark: SparkSession, sf: str) -> DataFrame:
     catalog.create_orc_table(spark, name, files.APP_INSTALL_DDL)
     source = files.read_app_installs(spark, staged(app_installs(spark, sf), "orc", "orc"))
     catalog.load_overwrite(source, name)
-    return spark.sql(
+    groups = spark.sql(
         f"SELECT country, count(*) AS num FROM {name} GROUP BY country HAVING num > 5"
     )
+    try:
+        return materialized(groups, "catalog-groups")
+    finally:
+        catalog.drop_database(spark, database)
 
 
 @query(
@@ -677,7 +688,7 @@ def kv_upsert(spark: SparkSession, sf: str) -> DataFrame:
 @query("kv_upsert_coalesced", UPSERT_SQL)
 def kv_upsert_coalesced(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch(spark, "kv")
-    keyed.write_table(keyed.upsert(*_puts(spark, sf)), path, files=2)
+    keyed.write_table(keyed.upsert(*_puts(spark, sf)), path)
     return keyed.open_table(spark, path)
 
 

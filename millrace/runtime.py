@@ -4,15 +4,20 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 BROADCAST_LIMIT_BYTES = 64 * 1024 * 1024
-LOOKUP_SALTS = 16
+#: Salts of rows whose key is null: they match nothing and only have to be spread.
+NULL_SALTS = 16
 
 _local_base: str | None = None
+_owners: list[str] = []
 
 
 def shared_base(spark: SparkSession) -> str:
@@ -29,8 +34,25 @@ def shared_base(spark: SparkSession) -> str:
 
 
 def scratch(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared folder."""
-    return f"{shared_base(spark)}/millrace/{name}-{uuid.uuid4().hex}"
+    """A fresh path under the shared folder, or under that of the owner at work."""
+    base = _owners[-1] if _owners else f"{shared_base(spark)}/millrace"
+    return f"{base}/{name}-{uuid.uuid4().hex}"
+
+
+@contextmanager
+def owned_scratch(spark: SparkSession, name: str = "owned") -> Iterator[str]:
+    """A scratch folder for the work inside, removed with all it holds when the work ends.
+
+    Results that are still needed then must have been written elsewhere.
+    """
+    folder = scratch(spark, name)
+    _owners.append(folder)
+    try:
+        yield folder
+    finally:
+        _owners.remove(folder)
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -64,21 +86,42 @@ def measured_bytes(df: DataFrame) -> int:
     return int(row["b"] or 0)
 
 
-def salted_join(
-    big: DataFrame, lookup: DataFrame, keys: list[str], how: str, salts: int = LOOKUP_SALTS
-) -> DataFrame:
+def hot_keys(big: DataFrame, keys: list[str], partitions: int) -> DataFrame:
+    """Keys with more rows than an even partition holds, and how many partitions they would fill.
+
+    Counting starts on the map side. There are fewer such keys than partitions.
+    """
+    counts = materialized(
+        big.dropna(subset=keys).groupBy(*keys).agg(F.count("*").alias("__n")), "key-counts"
+    )
+    rows = counts.agg(F.sum("__n")).first()[0] or 0
+    even = max(1, rows // partitions)
+    return counts.filter(F.col("__n") > even).select(
+        *keys, F.ceil(F.col("__n") / even).cast("int").alias("__salts")
+    )
+
+
+def salted_join(big: DataFrame, lookup: DataFrame, keys: list[str], how: str) -> DataFrame:
     """Join with both sides shuffled on (key, salt).
 
-    The lookup is repeated once per salt and the large side takes its salt from its map
-    partition, so a key with a third of all rows is spread over `salts` tasks and a re-run
-    task produces the same salts again.
+    Hot keys are counted first. Only they are salted, over as many tasks as their share asks for,
+    and only their lookup rows are repeated. The large side takes its salt from its map partition, so
+    a re-run task produces the same salts again.
     """
     if how not in ("left", "inner"):
         raise ValueError("a salted join is a left or inner join")
     salt = "__salt"
-    salted = big.withColumn(salt, F.pmod(F.spark_partition_id(), F.lit(salts)))
-    repeated = lookup.withColumn(salt, F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(repeated, [*keys, salt], how).drop(salt)
+    partitions = int(big.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hot = hot_keys(big, keys, partitions)  # fewer rows than partitions
+    no_key = reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
+    salts = F.coalesce("__salts", F.when(no_key, NULL_SALTS), F.lit(1))
+    salted = big.join(F.broadcast(hot), keys, "left").withColumn(
+        salt, F.pmod(F.spark_partition_id(), salts)
+    )
+    repeated = lookup.join(F.broadcast(hot), keys, "left").withColumn(
+        salt, F.explode(F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1))
+    )
+    return salted.drop("__salts").join(repeated.drop("__salts"), [*keys, salt], how).drop(salt)
 
 
 def lookup_join(
@@ -87,13 +130,14 @@ def lookup_join(
     keys: list[str],
     how: str = "left",
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
+    size: int | None = None,
 ) -> DataFrame:
     """Join a large table with a lookup of one row per key.
 
-    The lookup is measured first. Within the limit it is broadcast and the large side never
-    moves; beyond the limit the join is salted.
+    The lookup is measured first, unless its `size` is known. Within the limit it is broadcast
+    and the large side never moves; beyond the limit hot keys are salted.
     """
-    if measured_bytes(lookup) <= limit_bytes:
+    if (measured_bytes(lookup) if size is None else size) <= limit_bytes:
         return big.join(F.broadcast(lookup), keys, how)
     return salted_join(big, lookup, keys, how)
 

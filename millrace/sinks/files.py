@@ -16,13 +16,14 @@ def tab_joined(df: DataFrame) -> DataFrame:
     return df.select(F.concat_ws("\t", *[F.col(c).cast("string") for c in df.columns]).alias("value"))
 
 
-def write_tsv(df: DataFrame, path: str, files: int = 2) -> None:
-    """Tab-joined rows in a fixed number of files.
+def write_tsv(df: DataFrame, path: str, files: int | None = None) -> None:
+    """Tab-joined rows in files of the advised size, or in a fixed number of files.
 
-    Meant for results that are small after aggregation; the rows are spread over the files by
-    a shuffle, so the stage before keeps its own parallelism.
+    The rows are spread over the files by a shuffle, so the stage before keeps its parallelism.
     """
-    tab_joined(df).repartition(files).write.mode("overwrite").text(path)
+    lines = tab_joined(df)
+    lines = lines.hint("rebalance") if files is None else lines.repartition(files)
+    lines.write.mode("overwrite").text(path)
 
 
 def write_orc(df: DataFrame, path: str, compression: str = "snappy") -> None:

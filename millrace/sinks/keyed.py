@@ -54,9 +54,8 @@ def put_partitions(
 
 
 def write_table(rows: DataFrame, path: str, files: int | None = None) -> None:
-    """Store a keyed table; `files` reduces the number of writers."""
-    if files is not None:
-        rows = rows.repartition(files, KEY)
+    """Store a keyed table in files of the advised size, or with a fixed number of writers."""
+    rows = rows.hint("rebalance", KEY) if files is None else rows.repartition(files, KEY)
     rows.write.mode("overwrite").parquet(path)
 
 

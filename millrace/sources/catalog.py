@@ -9,6 +9,11 @@ def use_database(spark: SparkSession, name: str, location: str) -> None:
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{location}'")
 
 
+def drop_database(spark: SparkSession, name: str) -> None:
+    """Remove a database with its tables."""
+    spark.sql(f"DROP DATABASE IF EXISTS `{name}` CASCADE")
+
+
 def create_orc_table(spark: SparkSession, table: str, ddl: str) -> None:
     spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({ddl}) USING orc")
 

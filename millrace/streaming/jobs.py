@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 import time
 from collections.abc import Callable
 
@@ -13,12 +14,14 @@ from millrace.functions.text import java_split, norm_null
 from millrace.operators.counts import match_counts, value_count, words
 from millrace.operators.joins import union_many
 from millrace.operators.offsets import offset_ranges
-from millrace.runtime import lookup_join
-from millrace.sinks.ledger import BATCH, put_batch
+from millrace.runtime import lookup_join, materialized, measured_bytes
+from millrace.sinks.ledger import BATCH, BatchKey, put_batch
 
 SHUFFLE_WIDTH = "spark.sql.shuffle.partitions"
 
-BatchWork = Callable[[DataFrame, int], None]
+BatchWork = Callable[[DataFrame, BatchKey], None]
+
+_starting = threading.Lock()
 
 
 def start(
@@ -30,16 +33,20 @@ def start(
     skip_empty: bool = True,
     state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Run `work(batch, batch_id)` per micro-batch. Offsets are committed after the work.
+    """Run `work(batch, key)` per micro-batch. Offsets are committed after the work.
 
     `state_partitions` is the width of a stateful query: it is fixed by the first start and
     kept by the checkpoint, so choose it for the data to come, not for the first batch.
     """
 
+    run: list[str] = []
+    named = threading.Event()
+
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         if skip_empty and batch.isEmpty():
             return
-        work(batch, batch_id)
+        named.wait()  # the first batch may come before the start has returned the query's id
+        work(batch, BatchKey(run[0], batch_id))
 
     writer = (
         stream.writeStream.outputMode(mode)
@@ -47,20 +54,23 @@ def start(
         .option("checkpointLocation", checkpoint)
         .trigger(**(trigger or {"availableNow": True}))
     )
-    if state_partitions is None:
-        return writer.start()
-    conf = stream.sparkSession.conf
-    session_width = conf.get(SHUFFLE_WIDTH)
-    conf.set(SHUFFLE_WIDTH, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        conf.set(SHUFFLE_WIDTH, session_width)
+    with _starting:  # the width is a setting of the session: one start at a time
+        conf = stream.sparkSession.conf
+        session_width = conf.get(SHUFFLE_WIDTH)
+        try:
+            if state_partitions is not None:
+                conf.set(SHUFFLE_WIDTH, str(state_partitions))
+            query = writer.start()
+        finally:
+            conf.set(SHUFFLE_WIDTH, session_width)
+    run.append(query.id)
+    named.set()
+    return query
 
 
 def to_ledger(out: str, shape: Callable[[DataFrame], DataFrame] = lambda df: df) -> BatchWork:
-    """Work that stores the shaped batch under its batch id, so a replay replaces it."""
-    return lambda batch, batch_id: put_batch(shape(batch), out, batch_id)
+    """Work that stores the shaped batch under its key, so a replay replaces it."""
+    return lambda batch, key: put_batch(shape(batch), out, key)
 
 
 def batch_word_count(lines: DataFrame, out: str, checkpoint: str, sep: str = " ") -> StreamingQuery:
@@ -143,6 +153,21 @@ def window_concat(batches: DataFrame, key: str, size: str, slide: str) -> DataFr
     ).select(F.col("w.start").alias("win_start"), "batch_start", key, "n")
 
 
+def window_concat_stream(
+    events: DataFrame, out: str, checkpoint: str, key: str, batch: str, size: str, slide: str,
+    state_partitions: int | None = None,
+) -> StreamingQuery:
+    """Running counts per (batch interval, key); each micro-batch stores those it changed.
+
+    `window_concat` over the newest counts is the windowed view: nothing is summed over intervals.
+    """
+    stamped = events.withColumn("ts", F.col("ts").cast("timestamp"))
+    return start(
+        batch_counts(stamped, key, batch), to_ledger(out), checkpoint, "update", skip_empty=False,
+        state_partitions=state_partitions,
+    )
+
+
 def code_name_join(
     tagged: DataFrame, out: str, checkpoint: str
 ) -> StreamingQuery:
@@ -181,7 +206,11 @@ def interval_join(
 
 
 class RefreshedLookup:
-    """A lookup read again once it is older than the interval; the whole map is replaced."""
+    """A lookup read again once it is older than the interval; the whole map is replaced.
+
+    Reading it takes a snapshot and its size, so the source's files may be replaced or removed
+    at any time and are read once an interval.
+    """
 
     def __init__(
         self,
@@ -192,12 +221,15 @@ class RefreshedLookup:
         self.load, self.interval, self.clock = load, interval_seconds, clock
         self.read_at: float | None = None
         self.frame: DataFrame | None = None
+        self.size = 0
 
-    def current(self, spark: SparkSession) -> DataFrame:
+    def current(self, spark: SparkSession) -> tuple[DataFrame, int]:
+        """The snapshot and its measured bytes."""
         now = self.clock()
         if self.frame is None or now - self.read_at >= self.interval:
-            self.frame, self.read_at = self.load(spark), now
-        return self.frame
+            self.frame, self.read_at = materialized(self.load(spark), "lookup-snapshot"), now
+            self.size = measured_bytes(self.frame)
+        return self.frame, self.size
 
 
 def lookup_stream(
@@ -210,7 +242,8 @@ def lookup_stream(
 
     def per_batch(batch: DataFrame) -> DataFrame:
         counted = value_count(batch.select(norm_null("code").alias("code")), "code")
-        return lookup_join(counted, lookup.current(batch.sparkSession), ["code"])
+        names, size = lookup.current(batch.sparkSession)
+        return lookup_join(counted, names, ["code"], size=size)
 
     return start(codes, to_ledger(out, per_batch), checkpoint)
 
@@ -223,12 +256,12 @@ def lookup_counters(stored: DataFrame) -> DataFrame:
 def document_sink(lines: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
     """The first two words of a line as a document {course, tname}, stored as JSON per batch."""
 
-    def store(batch: DataFrame, batch_id: int) -> None:
+    def store(batch: DataFrame, key: BatchKey) -> None:
         fields = java_split("value", " ")
         docs = batch.filter(F.size(fields) >= 2).select(
             F.get(fields, F.lit(0)).alias("course"), F.get(fields, F.lit(1)).alias("tname")
         )
-        docs.write.mode("overwrite").json(f"{out}/{BATCH}={batch_id}")
+        docs.write.mode("overwrite").json(f"{out}/{key.folder}")
 
     return start(lines, store, checkpoint)
 
@@ -238,23 +271,22 @@ def hourly_append(
     out: str,
     checkpoint: str,
     hour: Callable[[], str],
-    writers: int | None = 2,
+    writers: int | None = None,
 ) -> StreamingQuery:
-    """Counts of each batch under batch_id=n/hour=yyyyMMddHH.
+    """Counts of each batch under run=id/batch_id=n/hour=yyyyMMddHH.
 
-    The batch's folder is replaced as a whole, so a replay in a later hour leaves no copy.
-    The counts are small after aggregation, so few writers keep the file count low.
+    The batch's folder is replaced as a whole, so a replay in a later hour leaves no copy. The
+    number of files follows the size of the counts, unless `writers` fixes it.
     """
 
-    def store(batch: DataFrame, batch_id: int) -> None:
+    def store(batch: DataFrame, key: BatchKey) -> None:
         counted = value_count(words(batch), "word")
-        if writers is not None:
-            counted = counted.repartition(writers)
+        counted = counted.hint("rebalance") if writers is None else counted.repartition(writers)
         (
             counted.withColumn("hour", F.lit(hour()))
             .write.mode("overwrite")
             .partitionBy("hour")
-            .parquet(f"{out}/{BATCH}={batch_id}")
+            .parquet(f"{out}/{key.folder}")
         )
 
     return start(lines, store, checkpoint)
@@ -263,8 +295,8 @@ def hourly_append(
 def offset_ledger(records: DataFrame, work: BatchWork, ledger: str, checkpoint: str) -> StreamingQuery:
     """Do the batch's work, then store its offset ranges: at least once, never ahead of the work."""
 
-    def both(batch: DataFrame, batch_id: int) -> None:
-        work(batch, batch_id)
-        put_batch(offset_ranges(batch), ledger, batch_id)
+    def both(batch: DataFrame, key: BatchKey) -> None:
+        work(batch, key)
+        put_batch(offset_ranges(batch), ledger, key)
 
     return start(records, both, checkpoint)

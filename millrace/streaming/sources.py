@@ -9,20 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
+#: Longer than any file has been there; without it the engine leaves out files of over a week.
+ANY_AGE = "36500d"
+
+
 def line_files(
     spark: SparkSession,
     path: str,
     glob: str | None = None,
-    max_age: str = "30d",
+    max_age: str | None = None,
     files_per_trigger: int | None = None,
     newer_than: datetime | None = None,
 ) -> DataFrame:
     """Text files of a folder as a stream of `value`.
 
-    `glob` filters file names; files older than `max_age` are ignored, counted from the newest
-    one; `newer_than` keeps new files only.
+    `glob` filters file names; with `max_age`, files older than that are ignored, counted from the
+    newest one, else files of any age are read; `newer_than` keeps new files only.
     """
-    reader = spark.readStream.option("maxFileAge", max_age)
+    reader = spark.readStream.option("maxFileAge", max_age or ANY_AGE)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
     if files_per_trigger is not None:
@@ -40,7 +44,7 @@ def table_files(
     files_per_trigger: int | None = None,
 ) -> DataFrame:
     """Parquet files of a folder as a stream."""
-    reader = spark.readStream.schema(schema)
+    reader = spark.readStream.schema(schema).option("maxFileAge", ANY_AGE)
     if files_per_trigger is not None:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(path)

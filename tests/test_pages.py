@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from millrace.functions.keys import FIELD_SEP
+from millrace.sinks.ledger import BatchKey
 from millrace.pages import job, templates
 from millrace.pages.elements import elements, with_tree
 from millrace.pages.extract import extract
@@ -277,8 +278,8 @@ def test_job_replay_and_report(spark, tmp_path):
     rules = job.learn_rules(records).filter("host <> 'h2.com'")
     tables = job.PageTables(str(tmp_path))
     at = datetime(2024, 1, 2, 3, 4, 5)
-    for batch_id in (0, 1, 1):
-        job.run_batch(records, rules, at, tables, batch_id)
+    for number in (0, 1, 1):
+        job.run_batch(records, rules, at, tables, BatchKey("run", number))
     report = {r["host"]: r for r in job.total_report(spark, tables).collect()}
     assert report["h0.com"]["scan"] == 8 and report["h0.com"]["extract"] == 8
     assert report["h2.com"]["no_match_xpath"] == 8 and report["HOST_NULL"]["filtered"] == 2
@@ -292,6 +293,17 @@ def test_job_replay_and_report(spark, tmp_path):
     assert doc["content"] == f"{text(100)} {text(100)}" and doc["domain"] == doc["host"]
 
 
+def test_second_scan_into_one_root_adds(spark, tmp_path):
+    records = validate(parse_records(page_records(spark)))
+    rules = job.learn_rules(records)
+    tables = job.PageTables(str(tmp_path))
+    for day in (2, 3, 3):
+        at = datetime(2024, 1, day, 3, 4, 5)
+        job.run_batch(records, rules, at, tables, job.run_key(at))
+    report = job.total_report(spark, tables).filter("host = 'h0.com'").collect()
+    assert sorted((r["scan_day"], r["scan"]) for r in report) == [(20240102, 4), (20240103, 4)]
+
+
 def test_stream_skips_empty_batches_and_refreshes_rules(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()

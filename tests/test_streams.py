@@ -1,10 +1,12 @@
+import os
+import time
 from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from millrace.operators.counts import value_count, words
-from millrace.sinks.ledger import newest, read_batches, summed
+from millrace.sinks.ledger import BatchKey, folded, newest, put_batch, read_batches, summed
 from millrace.streaming import jobs
 from millrace.streaming.sources import line_files, table_files
 
@@ -120,15 +122,84 @@ def test_lookup_is_replaced_after_the_interval(spark, folder):
     assert bag(jobs.lookup_counters(stored)) == [(0, 2, 0), (1, 2, 0), (2, 1, 1)]
 
 
-def test_hourly_append_replay_in_a_later_hour(spark, folder):
+def test_hourly_append_of_two_checkpoints_adds(spark, folder):
     folder.add("1.txt", "a a")
     for checkpoint, hour in (("cp1", "2024010100"), ("cp2", "2024010101")):
         jobs.hourly_append(
             line_files(spark, folder.source), folder.out, str(folder.root / checkpoint), lambda: hour
         ).awaitTermination()
+    assert bag(spark.read.parquet(folder.out).select("hour", "word", "n")) == [
+        (2024010100, "a", 2), (2024010101, "a", 2),
+    ]
+
+
+def test_hourly_append_replay_in_a_later_hour(spark, folder):
+    """A batch whose commit was lost runs again in a later hour and replaces its own rows."""
+    folder.add("1.txt", "a a")
+    for hour in ("2024010100", "2024010101"):
+        jobs.hourly_append(
+            line_files(spark, folder.source), folder.out, folder.checkpoint, lambda: hour
+        ).awaitTermination()
+        for commit in (folder.root / "cp" / "commits").iterdir():
+            commit.unlink()
     assert bag(spark.read.parquet(folder.out).select("hour", "word", "n")) == [(2024010101, "a", 2)]
 
 
+def test_old_file_that_arrives_late_is_read(spark, folder):
+    for name, text, days in (("1.txt", "a", 0), ("2.txt", "b", 60)):
+        folder.add(name, text)
+        moment = time.time() - days * 86400
+        os.utime(folder.root / "in" / name, (moment, moment))
+        jobs.batch_word_count(line_files(spark, folder.source), folder.out, folder.checkpoint).awaitTermination()
+    assert bag(read_batches(spark, folder.out).select("word")) == [("a",), ("b",)]
+
+
+def test_lookup_files_replaced_inside_the_interval(spark, folder):
+    loads = []
+
+    def load(session):
+        loads.append(1)
+        return session.read.schema("code STRING, name STRING").csv(str(folder.root / "names"))
+
+    lookup = jobs.RefreshedLookup(load, interval_seconds=1000)
+    for step in range(2):
+        names = folder.root / "names"
+        names.mkdir(exist_ok=True)
+        for old in names.iterdir():
+            old.unlink()
+        (names / f"{step}.csv").write_text(f"CN,China{step}\n")
+        folder.add(f"{step}.txt", "CN")
+        codes = line_files(spark, folder.source).withColumnRenamed("value", "code")
+        jobs.lookup_stream(codes, lookup, folder.out, folder.checkpoint).awaitTermination()
+    assert bag(read_batches(spark, folder.out).select("name")) == [("China0",), ("China0",)]
+    assert len(loads) == 1
+
+
+def test_window_sums_keep_rows_of_any_age(spark, tmp_path):
+    for i, day in enumerate(("2024-06-01", "2024-04-12", "2024-04-02")):
+        rows = spark.sql(f"SELECT TIMESTAMP_NTZ '{day} 00:30:00' AS ts, 'a' AS k FROM range(3)")
+        rows.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        stream = table_files(spark, str(tmp_path / "in"), rows.schema)
+        jobs.window_sum(
+            stream, str(tmp_path / "out"), str(tmp_path / "cp"), "k", "4 hours", "2 hours", state_partitions=2
+        ).awaitTermination()
+    windows = newest(read_batches(spark, str(tmp_path / "out")), ["win_start", "win_end", "k"], ["n"])
+    assert windows.agg(F.count("*"), F.sum("n")).first() == (6, 18)
+
+
+def test_folded_batches_keep_sums_and_replays(spark, tmp_path):
+    path, base = str(tmp_path / "t"), str(tmp_path / "base")
+    rows = spark.createDataFrame([("a", 1), ("b", 2)], "k STRING, n LONG")
+    for number in range(3):
+        put_batch(rows, path, BatchKey("r", number))
+    before = bag(summed(read_batches(spark, path), ["k"], ["n"]))
+    old = read_batches(spark, path).filter("batch_id < 2")
+    folded(old, ["k"], ["n"]).drop("run", "batch_id").write.parquet(f"{base}/run=r/batch_id=-1")
+    read_batches(spark, path).filter("batch_id = 2").drop("run", "batch_id").write.parquet(f"{base}/run=r/batch_id=2")
+    put_batch(rows, base, BatchKey("r", 2))
+    assert bag(summed(read_batches(spark, base), ["k"], ["n"])) == before
+
+
 def test_document_sink(spark, folder):
     folder.add("1.txt", "java liu", "spark wang extra", "alone")
     jobs.document_sink(line_files(spark, folder.source), folder.out, folder.checkpoint).awaitTermination()
@@ -177,7 +248,7 @@ def test_offset_ledger_is_written_after_the_work(spark, tmp_path):
     assert not ledger.exists()
     done = []
     jobs.offset_ledger(stream, lambda b, i: done.append(i), str(ledger), str(tmp_path / "cp")).awaitTermination()
-    assert done == [0]
+    assert [key.number for key in done] == [0]
     assert bag(read_batches(spark, str(ledger)).select("from_offset", "until_offset")) == [(5, 7)]
 
 

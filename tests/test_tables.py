@@ -5,6 +5,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import queries
 from millrace import runtime
 from millrace.operators import counts as C
 from millrace.operators import joins as J
@@ -103,7 +104,42 @@ def test_cogroup_keeps_keys_of_both_sides(spark):
     left = spark.createDataFrame([("a", 1), ("a", 1), ("b", 2)], "k STRING, v INT")
     right = spark.createDataFrame([("b", 3), ("c", 4)], "k STRING, v INT")
     got = bag(J.chunked_cogroup(left, right, "k", "v", 100))
-    assert got == [("a", 0, [1], [], 2, 0), ("b", 0, [2], [3], 1, 1), ("c", 0, [], [4], 0, 1)]
+    assert got == [
+        ("a", 0, [1], [2], [], [], 2, 0), ("b", 0, [2], [1], [3], [1], 1, 1), ("c", 0, [], [], [4], [1], 0, 1),
+    ]
+
+
+def test_lists_hold_every_repeat_of_any_type(spark):
+    df = spark.createDataFrame([("k", v) for v in ["x", "x", "y", None, "x"]], "k STRING, v STRING")
+    rows = C.chunked_lists(df, "k", "v", 1, hash_chunks=3).collect()
+    held = sorted((v or "-") for r in rows for v, n in zip(r["values"], r["copies"]) for _ in range(n))
+    assert held == ["-", "x", "x", "x", "y"]
+    whole = C.chunked_lists(spark.createDataFrame([("k", 1), ("k", 1), ("k", 2)], "k STRING, v INT"), "k", "v", 9)
+    assert bag(whole.select("values", "copies", "n_rows")) == [([1, 2], [2, 1], 3)]
+
+
+def test_hot_keys_are_salted_by_their_share(spark):
+    big = spark.range(3000).select(F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("k")).repartition(8)
+    assert bag(runtime.hot_keys(big, ["k"], 8))[0][0] == 7
+    lookup = spark.createDataFrame([(7, "hot"), (8, "cold")], "k LONG, name STRING")
+    joined = runtime.salted_join(big, lookup, ["k"], "left")
+    assert joined.count() == 3000
+    assert bag(joined.groupBy("name").count().na.fill("-")) == [("-", 1998), ("cold", 1), ("hot", 1001)]
+
+
+def test_owned_scratch_is_removed(spark):
+    with runtime.owned_scratch(spark) as folder:
+        path = runtime.scratch(spark, "inside")
+        assert path.startswith(folder)
+        spark.range(3).write.parquet(path)
+        assert os.path.isdir(path.removeprefix("file:"))
+    assert not os.path.exists(folder.removeprefix("file:"))
+
+
+def test_catalog_query_leaves_no_database(spark):
+    before = {r[0] for r in spark.sql("SHOW DATABASES").collect()}
+    queries()["catalog_table_group_having"](spark, "/root/testdata/sf0.001").collect()
+    assert {r[0] for r in spark.sql("SHOW DATABASES").collect()} == before
 
 
 @pytest.mark.parametrize("limit", [runtime.BROADCAST_LIMIT_BYTES, 0])
@@ -276,8 +312,8 @@ def test_jdbc_options():
 def test_ledger_replay_changes_nothing(spark, tmp_path):
     path = str(tmp_path / "ledger")
     rows = spark.createDataFrame([("a", 2), ("b", 1)], "k STRING, n LONG")
-    for batch_id in (0, 1, 1):
-        ledger.put_batch(rows, path, batch_id)
+    for number in (0, 1, 1):
+        ledger.put_batch(rows, path, ledger.BatchKey("run", number))
     assert bag(ledger.summed(ledger.read_batches(spark, path), ["k"], ["n"])) == [("a", 4), ("b", 2)]
 
 
