@@ -73,8 +73,8 @@ def with_tree(
 
     Rows that are not `wanted` get the empty tree of a page without html.
     """
-    mark = "__wanted"
-    if wanted is not None:
+    mark, marked = "__wanted", wanted is not None
+    if marked:
         pages = pages.withColumn(mark, F.coalesce(wanted, F.lit(False)))
     kept = [f for f in pages.schema.fields if (keep_html or f.name != html) and f.name != mark]
     names = [f.name for f in kept]
@@ -91,7 +91,7 @@ def with_tree(
                 part = batch.slice(at, PAGES_PER_BATCH)
                 # Bytes that are not UTF-8 become replacement characters, as in the JVM.
                 texts = part.column(html).cast(pa.binary()).to_pylist()
-                if wanted is not None:
+                if marked:
                     flags = part.column(mark).to_pylist()
                     texts = [t if flag else None for t, flag in zip(texts, flags)]
                 parsed = [parse_page(t and t.decode("utf-8", "replace")) for t in texts]
