@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from millrace.runtime import checkpointed
 
 
+#: Copies of a row that one task writes out at once; more are cut into blocks and spread.
+COPIES_AT_ONCE = 1 << 20
+
+
 def sorted_counts(counts: DataFrame) -> DataFrame:
     """Counts from high to low, words ascending among equals."""
     return counts.orderBy(F.col("n").desc(), F.col("word").asc())
@@ -34,8 +38,9 @@ def with_positions(df: DataFrame, order: list[Column], to: str = "position") ->
     Equal rows are counted first, so copies cost nothing. The distinct rows are split into
     key ranges and checkpointed, which fixes the ranges; per-range totals, one row per
     partition, give each range its start; inside a range a running sum does the rest. Every
-    distinct row is then expanded back to its copies.
+    distinct row is then expanded back to its copies, very many of them by several tasks.
     """
+    block = COPIES_AT_ONCE
     columns = df.columns
     distinct = df.groupBy(*columns).agg(F.count("*").alias("__copies"))
     ranged = checkpointed(
@@ -51,16 +56,17 @@ def with_positions(df: DataFrame, order: list[Column], to: str = "position") ->
     )
     first = F.col("__start") + F.coalesce(F.sum("__copies").over(inside), F.lit(0))
     # One row per shuffle partition: the bound of `starts` is the partition count.
-    return (
-        ranged.join(F.broadcast(starts), "__range")
-        .withColumn("__first", first)
-        .select(
-            *columns,
-            F.explode(
-                F.sequence(F.col("__first") + 1, F.col("__first") + F.col("__copies"))
-            ).alias(to),
-        )
+    placed = ranged.join(F.broadcast(starts), "__range").withColumn("__first", first)
+    last = F.col("__first") + F.col("__copies")
+    blocks = placed.select(
+        *columns, last.alias("__last"),
+        F.explode(F.sequence(F.col("__first") + 1, last, F.lit(block))).alias("__from"),
     )
+    if (ranged.agg(F.max("__copies")).first()[0] or 0) > block:
+        width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        blocks = blocks.repartition(width, "__from")
+    end = F.least(F.col("__from") + (block - 1), F.col("__last"))
+    return blocks.select(*columns, F.explode(F.sequence(F.col("__from"), end)).alias(to))
 
 
 def top_k_per_key(df: DataFrame, key: str, order: list[Column], k: int, to: str = "rank") -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from millrace.functions.text import java_length, java_trim
 from millrace.pages.elements import built_once, let, node_at, text_of
-from millrace.pages.templates import host_rules
+from millrace.pages.templates import element_keys, host_rules
 from millrace.runtime import lookup_join
 
 # Fixed value: least length of trimmed text that counts as content.
@@ -49,6 +49,19 @@ def matching(nodes: Column, steps: Column) -> Column:
     return F.filter(nodes, lambda n: selects(nodes, steps, n))
 
 
+def met_rules(nodes: Column, rules: Column, keys: Column) -> Column:
+    """The rules that can select an element of the page, by the keys of their last steps.
+
+    The keys of page and host are intersected as sets, so unrelated rules cost a look-up each and
+    are never tried on an element.
+    """
+    own = F.array_distinct(F.flatten(F.transform(nodes, element_keys)))
+    return let(
+        F.array_intersect(own, keys),
+        lambda hits: F.filter(rules, lambda _, i: F.array_contains(hits, F.get(keys, i))),
+    )
+
+
 def nearest_removed(nodes: Column, negative: Column) -> Column:
     """Per element, the deepest removed element among itself and its ancestors, or -1."""
     flags = F.transform(
@@ -106,11 +119,14 @@ def content(nodes: Column, pieces: Column, positive: Column, negative: Column) -
 
 @built_once
 def ruled_content() -> Column:
-    """Content by the columns `nodes`, `pieces`, `positive`, `negative` and `usable`.
+    """Content by the columns `nodes`, `pieces` and those of the host's rules.
 
     Null without rules, empty when a rule of the host is not a path.
     """
-    text = content(F.col("nodes"), F.col("pieces"), F.col("positive"), F.col("negative"))
+    negative = met_rules(F.col("nodes"), F.col("negative"), F.col("negative_keys"))
+    text = let(
+        negative, lambda met: content(F.col("nodes"), F.col("pieces"), F.col("positive"), met)
+    )
     return F.when(F.col("usable"), text).when(F.col("usable").isNotNull(), F.lit(""))
 
 
@@ -129,7 +145,7 @@ def extract(trees: DataFrame, rules: DataFrame) -> DataFrame:
         match_rules(trees, rules)
         .withColumn("content", ruled_content())
         .withColumn("outcome", outcome_of(F.col("content")))
-        .drop("nodes", "pieces", "positive", "negative", "usable")
+        .drop("nodes", "pieces", "positive", "negative", "negative_keys", "usable")
     )
 
 

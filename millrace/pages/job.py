@@ -65,7 +65,7 @@ def page_results(
         ruled.withColumn("mined", F.when(ok, mined()))
         .withColumn("content", F.when(ok, ruled_content()))
         .withColumn("outcome", F.when(ok, outcome_of(F.col("content"))))
-        .drop("nodes", "pieces", "positive", "negative", "usable", "n_fields")
+        .drop("nodes", "pieces", "positive", "negative", "negative_keys", "usable", "n_fields")
     )
 
 

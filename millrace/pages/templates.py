@@ -138,8 +138,28 @@ def path_steps(xpath: Column) -> Column:
     return F.when(xpath.rlike(PATH_PATTERN), steps)
 
 
+def step_key(step: Column) -> Column:
+    """What an element must have to fit a step: its tag, or tag and id or class."""
+    plain = F.concat(step["tag"], F.lit("|"))
+    named = F.concat(plain, step["attr"], F.lit("|"), step["value"])
+    return F.when(step["attr"].isin("id", "class"), named).otherwise(plain)
+
+
+def element_keys(node: Column) -> Column:
+    """The keys of all steps that an element may fit."""
+    keys = []
+    for tag in (node["tag"], F.lit("*")):
+        plain = F.concat(tag, F.lit("|"))
+        keys += [plain, F.concat(plain, F.lit("id|"), node["id"]),
+                 F.concat(plain, F.lit("class|"), node["cls"])]
+    return F.array_compact(F.array(*keys))
+
+
 def host_rules(rules: DataFrame) -> DataFrame:
-    """One row per host: parsed positive and negative paths, and whether all could be parsed."""
+    """One row per host: parsed positive and negative paths, and whether all could be parsed.
+
+    `negative_keys` has, place by place, the key of the last step of each negative path.
+    """
     parsed = (
         rules.select("host", "xpath", "is_positive")
         .distinct()
@@ -156,5 +176,8 @@ def host_rules(rules: DataFrame) -> DataFrame:
         side(F.col("is_positive")).alias("positive"),
         side(~F.col("is_positive")).alias("negative"),
         F.bool_and(F.col("steps").isNotNull()).alias("usable"),
+    ).withColumn(
+        "negative_keys",
+        F.transform("negative", lambda steps: step_key(F.element_at(steps, -1))),
     )
 

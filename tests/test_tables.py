@@ -332,3 +332,12 @@ def test_scratch_uses_the_named_folder():
     )
     with pytest.raises(RuntimeError):
         runtime.scratch(unnamed, "x")
+
+
+def test_positions_of_a_hot_row_come_from_several_tasks(spark, monkeypatch):
+    monkeypatch.setattr(S, "COPIES_AT_ONCE", 1000)
+    df = spark.range(20_500).select(F.when(F.col("id") < 20_000, "m").when(F.col("id") % 2 == 0, "a").otherwise("z").alias("v"))
+    placed = S.with_positions(df, [F.col("v").asc()])
+    got = placed.groupBy("v").agg(F.min("position"), F.max("position"), F.countDistinct("position")).collect()
+    assert sorted(map(tuple, got)) == [("a", 1, 250, 250), ("m", 251, 20_250, 20_000), ("z", 20_251, 20_500, 250)]
+    assert placed.filter("v = 'm'").select(F.spark_partition_id()).distinct().count() > 1
