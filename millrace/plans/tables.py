@@ -587,7 +587,7 @@ def route_by_suffix(spark: SparkSession, sf: str) -> DataFrame:
 WITH d AS (SELECT conv_id, turn, text, nullif(role, 'assistant') AS who,
                   regexp_replace(text, '[^ \\n]', '', 'g') AS gaps FROM conversations)
 SELECT conv_id, turn, regexp_replace(text, '^[\\x00-\\x20]+|[\\x00-\\x20]+$', '', 'g') = '' AS no_text,
-       who IS NULL AS no_who, true AS no_gaps,
+       who IS NULL AS no_who, turn % 2 = 0 AS no_gaps,
        regexp_replace(gaps, ' +$', '') = '' AND gaps <> '' AS no_tokens
 FROM d
 """,
@@ -603,7 +603,8 @@ def is_empty_flags(spark: SparkSession, sf: str) -> DataFrame:
         "conv_id", "turn",
         is_blank("text").alias("no_text"),
         is_blank("who").alias("no_who"),
-        is_blank("gaps").alias("no_gaps"),
+        # Blank on even turns; on odd ones a mark follows the gaps.
+        is_blank(F.concat("gaps", F.when(F.col("turn") % 2 == 0, "").otherwise("."))).alias("no_gaps"),
         is_empty_collection(java_split("gaps", " ")).alias("no_tokens"),
     )
 
@@ -692,6 +693,15 @@ def kv_upsert_coalesced(spark: SparkSession, sf: str) -> DataFrame:
     return keyed.open_table(spark, path)
 
 
+@query("kv_put_partitions", UPSERT_SQL)
+def kv_put_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """The same table through one writer per partition, read back."""
+    rows = keyed.upsert(*_puts(spark, sf))
+    folder = scratch(spark, "puts")
+    keyed.put_partitions(rows, lambda: keyed.JsonPuts(folder))
+    return spark.read.schema(rows.schema).json(folder)
+
+
 @query(
     "kv_bulk_sorted",
     "SELECT DISTINCT 'spark_load_' || l_orderkey AS rowkey FROM lineitem",

@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+import json
+import sys
 from collections.abc import Callable, Iterable
 
+from pyarrow.fs import FileSystem
+from pyspark import TaskContext, cloudpickle
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+# Writers travel inside the task, so executors need no copy of this package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 KEY, VERSION = "rowkey", "version"
 
 
@@ -53,6 +60,25 @@ def put_partitions(
     rows.foreachPartition(send)
 
 
+class JsonPuts:
+    """A writer for `put_partitions`: JSON lines in one file per partition of a shared folder.
+
+    The file is named after the partition, so a retried task replaces what it had written.
+    """
+
+    def __init__(self, folder: str) -> None:
+        store, path = FileSystem.from_uri(folder)
+        store.create_dir(path, recursive=True)
+        name = f"part-{TaskContext.get().partitionId():05d}.json"
+        self.stream = store.open_output_stream(f"{path}/{name}")
+
+    def put(self, rows: list[Row]) -> None:
+        self.stream.write("".join(json.dumps(r.asDict()) + "\n" for r in rows).encode())
+
+    def close(self) -> None:
+        self.stream.close()
+
+
 def write_table(rows: DataFrame, path: str, files: int | None = None) -> None:
     """Store a keyed table in files of the advised size, or with a fixed number of writers."""
     rows = rows.hint("rebalance", KEY) if files is None else rows.repartition(files, KEY)
