@@ -42,6 +42,8 @@ LENGTH = 400
 #: Text bytes per block and digests per bucket, about; larger ones suit larger clusters.
 BLOCK_BYTES = 8 << 20
 BUCKET_ENTRIES = 1 << 20
+#: Digests made at once, so that few Python objects live at a time.
+DIGESTS_AT_ONCE = 1 << 15
 
 
 def is_prime(q: int) -> bool:
@@ -108,9 +110,11 @@ class Block:
 
     def short_digests(self, places: np.ndarray, length: int) -> np.ndarray:
         view, digest = self.view, xxhash.xxh3_64_intdigest
-        return np.fromiter(
-            (digest(view[p : p + length]) for p in places.tolist()), np.uint64, len(places)
-        )
+        out = np.empty(len(places), np.uint64)
+        for i in range(0, len(places), DIGESTS_AT_ONCE):
+            some = places[i : i + DIGESTS_AT_ONCE].tolist()
+            out[i : i + len(some)] = [digest(view[p : p + length]) for p in some]
+        return out
 
     def open_places(self, at: np.ndarray, owner: np.ndarray, period: int) -> np.ndarray:
         """Suffixes with one of the ranked cover places in their first `period` bytes."""
@@ -122,9 +126,15 @@ class Block:
     def string_digests(self, places: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
         """Bucket and 64-bit digest of the string at each place."""
         view, digest, length = self.view, xxhash.xxh3_128_digest, self.length
-        packed = b"".join([digest(view[p : p + length]) for p in places.tolist()])
-        words = np.frombuffer(packed, np.uint64).reshape(-1, 2)
-        return bucket_of(words[:, 1], buckets), words[:, 0]
+        bucket = np.empty(len(places), np.int64)
+        out = np.empty(len(places), np.uint64)
+        for i in range(0, len(places), DIGESTS_AT_ONCE):
+            some = places[i : i + DIGESTS_AT_ONCE].tolist()
+            packed = b"".join([digest(view[p : p + length]) for p in some])
+            words = np.frombuffer(packed, np.uint64).reshape(-1, 2)
+            bucket[i : i + len(some)] = bucket_of(words[:, 1], buckets)
+            out[i : i + len(some)] = words[:, 0]
+        return bucket, out
 
 
 def marked(size: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
