@@ -24,8 +24,9 @@ columns of the input are not read; a text of any length is read whole.
 
 from __future__ import annotations
 
+import bisect
+import heapq
 import math
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -46,7 +47,11 @@ SINGLE_SIZES, CLASS_FACTOR = 64, 1.12
 POOR = 1e-5
 #: Entries per bucket and shingles per block, about.
 BUCKET_ENTRIES = 1 << 20
+#: Text bytes shingled at once, or one text.
+PIECE_BYTES = 1 << 20
 BLOCK_SHINGLES = 1 << 21
+#: Entries of short lists up to which a heap merges them; more are sorted at once.
+HEAP_ENTRIES = 1 << 10
 
 SPACE = np.array([b == 0x20 or 0x09 <= b <= 0x0D for b in range(256)])
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -64,11 +69,19 @@ def mixed(x: np.ndarray) -> np.ndarray:
 BYTE_CODES = mixed(np.arange(1, 257, dtype=np.uint64) * STEP)
 
 
-@lru_cache(maxsize=2)
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    return tuple(
-        np.cumprod(np.r_[np.uint64(1), np.full(n - 1, base, np.uint64)]) for base in (STEP, STEP_BACK)
-    )
+_POWERS: list[np.ndarray] = []
+
+
+def powers(n: int) -> list[np.ndarray]:
+    """Powers of STEP and of its inverse, at least n of each; kept by the task."""
+    if not _POWERS or len(_POWERS[0]) < n:
+        ones = np.full(1 << max(20, (n - 1).bit_length()), np.uint64(1))
+        _POWERS[:] = []
+        for base in (STEP, STEP_BACK):
+            table = ones * base
+            table[0] = 1
+            _POWERS.append(np.cumprod(table, out=table))
+    return _POWERS
 
 
 def shingle_sets(raws: list[bytes], width: int = WORDS_PER_SHINGLE) -> list[np.ndarray]:
@@ -76,7 +89,7 @@ def shingle_sets(raws: list[bytes], width: int = WORDS_PER_SHINGLE) -> list[np.n
     data = np.frombuffer(b"\n".join([*raws, b""]).translate(LOWER), np.uint8)
     if not len(data):
         return []
-    up, down = powers(1 << max(22, (len(data) + 1).bit_length()))
+    up, down = powers(len(data))
     blank = SPACE[data]
     edge = np.flatnonzero(np.diff(np.r_[True, blank].astype(np.int8)))
     starts, ends = edge[::2], edge[1::2]
@@ -207,7 +220,7 @@ def candidates(docs: DataFrame, buckets: int, width: int, parts: Parts) -> DataF
 
     def send(batches):
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 ids = part.column(0)
                 sets = shingle_sets(as_bytes(part.column(1)), width)
                 digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
@@ -261,12 +274,44 @@ def candidates(docs: DataFrame, buckets: int, width: int, parts: Parts) -> DataF
     return materialized(sent.groupBy("bucket").applyInArrow(meet, FOUND), "join-found")
 
 
+def merge_skip(lists: list[list[int]], least: int) -> tuple[list[int], list[int]]:
+    """Ids in at least `least` of the sorted lists, and in how many, by one heap over the lists.
+
+    When the smallest id is in too few lists, the least - 1 lists at the top jump by binary search
+    to the id that follows: what they pass over cannot be in enough of the others.
+    """
+    heap = [(ids[0], i, 0) for i, ids in enumerate(lists) if ids]
+    heapq.heapify(heap)
+    found, counts = [], []
+    while len(heap) >= least:
+        low, popped = heap[0][0], []
+        while heap and heap[0][0] == low:
+            popped.append(heapq.heappop(heap))
+        if len(popped) >= least:
+            found.append(low)
+            counts.append(len(popped))
+            target = low + 1
+        else:
+            while heap and len(popped) < least - 1:
+                popped.append(heapq.heappop(heap))
+            if not heap:
+                break
+            target = max(heap[0][0], low + 1)
+        for _, i, at in popped:
+            at = bisect.bisect_left(lists[i], target, at)
+            if at < len(lists[i]):
+                heapq.heappush(heap, (lists[i][at], i, at))
+    return found, counts
+
+
 def linked_in_block(
     sets: list[np.ndarray], percent: int = PERCENT, over: int = OVER
 ) -> tuple[np.ndarray, np.ndarray]:
     """All linked pairs of the block as two arrays of places; each pair once.
 
-    `sets` are sorted distinct shingles, in order of size. T-occurrence search with DivideSkip.
+    `sets` are sorted distinct shingles, in order of size. T-occurrence search with DivideSkip: the
+    short lists are merged by a heap, or by one sort when they hold many entries; the long ones
+    are probed by binary search.
     """
     sizes = np.array([*map(len, sets)], np.int64)
     n = len(sets)
@@ -293,12 +338,19 @@ def linked_in_block(
         counts = length[short]
         at = np.repeat(start[short] - np.r_[0, np.cumsum(counts)[:-1]], counts) + np.arange(counts.sum())
         hits = lists[at] - np.repeat(short, counts) * n
-        hits = hits[hits > q]
-        partner, shared = np.unique(hits, return_counts=True)
-        keep = (shared >= t - skipped) & (
-            percent * sizes[partner] <= over * sizes[q]
-        )
-        partner, shared = partner[keep], shared[keep]
+        if len(hits) <= HEAP_ENTRIES:
+            cuts = np.cumsum(counts).tolist()
+            ids = hits.tolist()
+            later = [
+                ids[bisect.bisect_right(ids, q, i, j) : j] for i, j in zip([0, *cuts], cuts)
+            ]
+            partner, shared = (np.array(x, np.int64) for x in merge_skip(later, t - skipped))
+        else:
+            partner, shared = np.unique(hits[hits > q], return_counts=True)
+            enough = shared >= t - skipped
+            partner, shared = partner[enough], shared[enough]
+        fits = percent * sizes[partner] <= over * sizes[q]
+        partner, shared = partner[fits], shared[fits]
         if not len(partner):
             continue
         if skipped:
@@ -404,7 +456,7 @@ def links(
     def gather(batches):
         """Shingles of the wanted sets; a row of the same id with another text is not meant."""
         for batch in batches:
-            for part in pieces(batch, "text"):
+            for part in pieces(batch, "text", PIECE_BYTES):
                 made = shingle_sets(as_bytes(part.column("text")), width)
                 keep = [
                     i for i, (s, d) in enumerate(zip(made, part.column("digest").to_pylist()))

@@ -263,7 +263,19 @@ def test_poor_sets_share_keys_of_empty_parts():
     assert np.intersect1d(parts.keys(crowded), parts.keys(crowded + np.uint64(3))).size
 
 
-def test_divide_skip_equals_pairwise():
+def test_merge_skip_equals_counting():
+    rng = random.Random(2)
+    for _ in range(300):
+        lists = [sorted(rng.sample(range(30), rng.randint(0, 20))) for _ in range(rng.randint(1, 9))]
+        least = rng.randint(1, len(lists))
+        counts = Counter(i for ids in lists for i in ids)
+        wanted = sorted((i, n) for i, n in counts.items() if n >= least)
+        assert [*zip(*ngram_join.merge_skip(lists, least))] == wanted
+
+
+@pytest.mark.parametrize("heap_entries", [0, 1 << 20])
+def test_divide_skip_equals_pairwise(monkeypatch, heap_entries):
+    monkeypatch.setattr(ngram_join, "HEAP_ENTRIES", heap_entries)
     rng = np.random.default_rng(6)
     base = [np.unique(rng.integers(0, 2**64, rng.integers(1, 200), dtype=np.uint64)) for _ in range(10)]
     sets = []
