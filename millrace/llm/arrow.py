@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
 #: Texts handed to one call of the worker code hold about this many bytes, or are one text.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def named_apart(columns: Iterable[str], results: Iterable[str]) -> list[str]:
@@ -72,6 +72,7 @@ def carry_map(
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(n)] + made, names=carried + shape.names
                 )
+        pa.default_memory_pool().release_unused()
 
     return sent.mapInArrow(work, out)
 

@@ -3,7 +3,7 @@
 The distinct words of a batch lie as symbols in one flat array. Every round finds the rank of each
 adjacent pair by binary search over the sorted pair keys, takes the lowest rank of each word and
 merges all its places at once; only pairs beside a merge are looked up again. Words are remembered
-by each worker process, so a frequent word is merged once.
+within a task, so a frequent word is merged once.
 
 Handled files: BPE with an end-of-word suffix over byte-level symbols, text normalised by NFC and
 lower-casing, words cut by the contraction, letter, digit and other-symbol rule, special tokens
@@ -30,8 +30,8 @@ from pyspark.sql import types as T
 
 from millrace.llm.arrow import carry_map
 
-#: Words remembered by a worker process; when more are known, the memory starts anew. Results are the same.
-REMEMBERED_WORDS = 1 << 20
+#: Words remembered by a task; when more are known, the memory starts anew. Results are the same.
+REMEMBERED_WORDS = 1 << 18
 NO_RANK = np.iinfo(np.int32).max
 #: Words merged at once, so that the arrays of a round stay small.
 WORDS_AT_ONCE = 8192
@@ -71,7 +71,6 @@ def load_model(path: str) -> dict:
     special = {t["content"]: t["id"] for t in file["added_tokens"]}
     names = {i: t for t, i in (vocab | special).items()}
     symbols = byte_symbols()
-    # "known" stays empty here; each worker process remembers its words there between tasks.
     return {
         "key": key[order],
         "rank": order.astype(np.int32),
@@ -79,7 +78,6 @@ def load_model(path: str) -> dict:
         "inner": np.array([vocab[s] for s in symbols], np.int64),
         "final": np.array([vocab[s + suffix] for s in symbols], np.int64),
         "names": [names.get(i, "").encode() + b" " for i in range(max(names) + 1)],
-        "known": {},
         "special": special,
     }
 
@@ -142,14 +140,14 @@ def merge_words(words: list[bytes], model: dict) -> tuple[np.ndarray, np.ndarray
 
 
 class Encoder:
-    """Encodes texts with a loaded model; the model remembers words between calls and tasks."""
+    """Encodes texts with a loaded model and remembers words between calls."""
 
     def __init__(self, model: dict):
         self.model = model
         self.rule = regex.compile(WORD_RULE)
         special = sorted(model["special"], key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
-        self.known: dict[str, tuple[bytes, bytes]] = model["known"]
+        self.known: dict[str, tuple[bytes, bytes]] = {}
 
     def words(self, text: str) -> list[str]:
         """Pre-tokens of a text; special tokens are kept as single items with a leading NUL mark."""
