@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 from millrace.llm.arrow import carry_map
 
 #: Words remembered by a task; when more are known, the memory starts anew. Results are the same.
-REMEMBERED_WORDS = 1 << 18
+REMEMBERED_WORDS = 1 << 17
 NO_RANK = np.iinfo(np.int32).max
 #: Words merged at once, so that the arrays of a round stay small.
 WORDS_AT_ONCE = 8192
