@@ -19,6 +19,8 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Folder of the public tokenizer files on the driver.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+#: Near copies share 80 % of their five-word shingles; op4_ngram_join has its own, narrower terms.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -34,7 +36,7 @@ def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of documents that links of the n-gram join connect, the one with the smallest doc_id stays."""
-    joined = ngram_join.similarity_join(docs)
+    joined = ngram_join.similarity_join(docs, width=NEAR_WORDS, percent=NEAR_PERCENT)
     gone = materialized(
         joined.filter("component_id != doc_id").select("doc_id", F.lit(True).alias("__gone")).distinct(),
         "pipeline-gone",

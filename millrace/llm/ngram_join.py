@@ -47,6 +47,8 @@ SINGLE_SIZES, CLASS_FACTOR = 64, 1.12
 POOR = 1e-5
 #: Entries per bucket and shingles per block, about.
 BUCKET_ENTRIES = 1 << 20
+#: A usual number of shingles of a text, for the number of buckets.
+USUAL_SIZE = 256
 #: Text bytes shingled at once, or one text.
 PIECE_BYTES = 1 << 20
 BLOCK_SHINGLES = 1 << 21
@@ -164,6 +166,11 @@ class Parts:
             self.cuts[c] = best[1:]
         return self.cuts[c]
 
+    def rate(self, size: int) -> float:
+        """Keys per shingle of a set of this size, about."""
+        cuts = [self.cut(c)[0] for c in self.classes(size)]
+        return sum(parts * -math.expm1(-size / parts) for parts in cuts) / size
+
     def keys(self, shingles: np.ndarray) -> np.ndarray:
         """One key per non-empty part and class; also for empty parts where T or more are empty."""
         out, scrambled = [], mixed(shingles)
@@ -259,9 +266,9 @@ def candidates(docs: DataFrame, buckets: int, width: int, parts: Parts) -> DataF
         packed = table.filter(pa.compute.equal(kinds, KEYS)).column("payload").to_pylist()
         out = [table.filter(pa.compute.not_equal(kinds, KEYS))]
         if packed:
-            halves = [(p[: len(p) // 2], p[len(p) // 2 :]) for p in packed]
-            keys = np.frombuffer(b"".join(h[0] for h in halves), np.uint64)
-            names = np.frombuffer(b"".join(h[1] for h in halves), np.int64)
+            keys = np.frombuffer(b"".join(p[: len(p) // 2] for p in packed), np.uint64)
+            names = np.frombuffer(b"".join(p[len(p) // 2 :] for p in packed), np.int64)
+            del packed
             edges = chained(keys, names)[2]
             if edges is not None:
                 out.append(pa.Table.from_batches(
@@ -514,9 +521,10 @@ def similarity_join(
         raise ValueError("the similarity is between 0.7 and 1")
     read = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     size = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # About one shingle in eight bytes, and one key for four shingles.
-    buckets = max(8, size // 32 // BUCKET_ENTRIES)
-    found = candidates(read, buckets, width, Parts(percent, over))
+    # About one shingle in eight bytes, and one key for four shingles or more, as texts of usual sizes send.
+    parts = Parts(percent, over)
+    buckets = max(8, int(size / 8 * max(0.25, parts.rate(USUAL_SIZE))) // BUCKET_ENTRIES)
+    found = candidates(read, buckets, width, parts)
     members = found.filter(F.col("kind") == MEMBER).select("id", "n", "digest", "a")
     edges = found.filter(F.col("kind") == EDGE).select("a", "b")
     sets = materialized(

@@ -482,6 +482,51 @@ def test_stages_keep_columns_and_take_effect(spark):
     assert Counter(r.doc_id for r in seen["bpe"].collect()) == mixed
 
 
+def plain_jaccard(a, b, width):
+    a, b = (words_of(ascii_lower(t)) for t in (a, b))
+    a, b = ({tuple(w[i : i + width]) for i in range(len(w) - width + 1)} for w in (a, b))
+    return len(a & b) / len(a | b)
+
+
+def changed(rng, n, places):
+    """A text of n distinct words, and the same with single words changed, far from one another."""
+    words = [f"w{rng.getrandbits(40)}" for _ in range(n)]
+    copy = list(words)
+    for k in range(places):
+        copy[(2 * k + 1) * n // (2 * places)] = f"c{k}"
+    return " ".join(words), " ".join(copy)
+
+
+def test_near_stage_takes_five_words_and_eighty_percent(spark):
+    rng, rows, expected = random.Random(11), [], set()
+    for n, places in [(200, 4), (400, 8), (200, 5), (400, 9), (200, 1), (60, 1), (50, 1), (1000, 40)]:
+        base, copy = changed(rng, n, places)
+        rows += [(len(rows), base, "en", "a"), (len(rows) + 1, copy, "en", "a")]
+        expected.add(rows[-2][0])
+        if plain_jaccard(base, copy, 5) < 0.8:
+            expected.add(rows[-1][0])
+    for a, b in ((0, 1), (2, 3)):
+        assert plain_jaccard(rows[a][1], rows[b][1], 5) >= 0.8 and plain_jaccard(rows[a][1], rows[b][1], 3) < 0.9
+    left = corpus_pipeline.one_of_each_group(spark, docs(spark, rows), SMOKE)
+    assert {r.doc_id for r in left.collect()} == expected
+    assert {0, 2} <= expected and 1 not in expected and 3 not in expected and 5 in expected
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_join_of_five_words_equals_brute_force(spark, seed):
+    rows = near_copies(seed)
+    sets = [words_of(ascii_lower(r[1])) for r in rows]
+    sets = [{tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} for w in sets]
+    links = {
+        rows[i][0]: sum(
+            100 * len(a & b) >= 80 * len(a | b) for j, b in enumerate(sets) if i != j
+        )
+        for i, a in enumerate(sets)
+    }
+    out = ngram_join.similarity_join(docs(spark, rows), width=5, percent=80).collect()
+    assert {r.doc_id: r.n_links for r in out} == links
+
+
 def test_pipeline_runs_on_all_documents(spark):
     out = corpus_pipeline.run(spark, SMOKE)
     assert out.columns == ["doc_id", "source", "n_tokens", "ids", "ids_sha256", "decoded_sha256"]
