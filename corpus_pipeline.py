@@ -35,13 +35,30 @@ def first_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents that links of the n-gram join connect, the one with the smallest doc_id stays."""
-    joined = ngram_join.similarity_join(docs, width=NEAR_WORDS, percent=NEAR_PERCENT)
+    """Of documents that links of the n-gram join connect, one row with the smallest doc_id stays.
+
+    Rows are told apart by a number of their own, which is stored, so rows of one doc_id are judged
+    and removed each by its own text. Rows without a doc_id have no links and stay.
+    """
+    rows = materialized(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
+    named = rows.select(F.when(F.col("doc_id").isNotNull(), F.col("__row")).alias("__row"), "text")
+    joined = ngram_join.similarity_join(named, "__row", width=NEAR_WORDS, percent=NEAR_PERCENT)
+    linked = materialized(
+        joined.filter("n_links > 0").select("__row", F.col("component_id").alias("__group")),
+        "pipeline-linked",
+    )
+    # Equal ids of a group are ordered by text, so that the choice does not hang on the row numbers.
+    order = F.struct("doc_id", "__digest", "__row")
+    kept = (
+        lookup_join(rows.select("doc_id", "__row", F.xxhash64("text").alias("__digest")), linked, ["__row"], "inner")
+        .groupBy("__group").agg(F.min(order).alias("__first"))
+        .select(F.col("__first.__row").alias("__row"), F.lit(True).alias("__kept"))
+    )
+    stays = lookup_join(linked, materialized(kept, "pipeline-kept"), ["__row"], "left")
     gone = materialized(
-        joined.filter("component_id != doc_id").select("doc_id", F.lit(True).alias("__gone")).distinct(),
-        "pipeline-gone",
+        stays.filter("__kept IS NULL").select("__row", F.lit(True).alias("__gone")), "pipeline-gone"
     )
-    marked = lookup_join(docs, gone, ["doc_id"], "left")
+    marked = lookup_join(rows, gone, ["__row"], "left")
     return marked.filter("__gone IS NULL").select(*docs.columns)
 
 

@@ -512,6 +512,30 @@ def test_near_stage_takes_five_words_and_eighty_percent(spark):
     assert {0, 2} <= expected and 1 not in expected and 3 not in expected and 5 in expected
 
 
+def test_near_stage_removes_rows_of_a_repeated_id_by_their_texts(spark):
+    rng = random.Random(12)
+    pairs = [changed(rng, 200, 4) for _ in range(4)]
+    alone = [changed(rng, 100, 1)[0] for _ in range(2)]
+    rows = [
+        (1, pairs[0][0]), (2, pairs[0][1]), (2, alone[0]),  # a near copy beside an unrelated text
+        (3, pairs[1][0]), (3, pairs[1][1]), (3, alone[1]),  # near copies of one id
+        (4, pairs[2][0]), (4, pairs[2][0].upper()),  # one set of shingles, one id
+        (5, pairs[3][0]), (5, pairs[3][0]), (6, pairs[3][1]),  # equal rows
+        (7, None), (7, ""), (None, pairs[0][0]),
+    ]
+    groups = [{(1, pairs[0][0])}, {(2, alone[0])}, {(3, t) for t in pairs[1]}, {(3, alone[1])},
+              {(4, pairs[2][0]), (4, pairs[2][0].upper())}, {(5, pairs[3][0])}, {(7, None)}, {(7, "")},
+              {(None, pairs[0][0])}]
+    table = docs(spark, [(*r, "en", "a") for r in rows])
+    picks = []
+    for parts in (1, 5):
+        left = corpus_pipeline.one_of_each_group(spark, table.repartition(parts), SMOKE).collect()
+        assert len(left) == len(groups)
+        assert all(sum((r.doc_id, r.text) in g for r in left) == 1 for g in groups)
+        picks.append({(r.doc_id, r.text) for r in left})
+    assert picks[0] == picks[1]
+
+
 @pytest.mark.parametrize("seed", [1, 2])
 def test_join_of_five_words_equals_brute_force(spark, seed):
     rows = near_copies(seed)
