@@ -9,6 +9,7 @@ is blocked when its distrust is above `ratio` times its trust.
 Cases: null urls and urls without `://` have empty host and path and, without a fitting rule, are
 allowed, as is a host that neither trust nor distrust reaches; equal pages count once each and get
 equal verdicts; links without a host part stay on their host and carry nothing elsewhere; hosts
+are scored by their names without user and port, while rules and results have them as written; hosts
 that link nowhere give their share back to the seeds; without any links the seeds' own shares decide;
 an empty table gives an empty result; other columns of the input are not read; a page of any length
 is searched whole for links.
@@ -68,6 +69,11 @@ def url_host(url: Column) -> Column:
     return F.coalesce(lower_ascii(F.regexp_extract(url, HOST_PATTERN, 1)), F.lit(""))
 
 
+def site_of(host: Column) -> Column:
+    """The host's name: a user or a port is no part of it."""
+    return F.regexp_replace(F.regexp_replace(host, r"^.*@", ""), r":[0-9]*$", "")
+
+
 def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, PATH_PATTERN, 1), F.lit(""))
 
@@ -93,7 +99,7 @@ def ruling(rules: Sequence[UrlRule], host: Column, path: Column) -> tuple[Column
 def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """Links between different hosts as (src, dst, links)."""
     links = pages.select(
-        url_host(F.col(f"`{url}`")).alias("src"),
+        site_of(url_host(F.col(f"`{url}`"))).alias("src"),
         F.explode(
             F.array_distinct(
                 F.transform(
@@ -103,9 +109,7 @@ def host_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
             )
         ).alias("dst"),
     )
-    # A user or a port is no part of a host's name.
-    dst = F.regexp_replace(F.regexp_replace("dst", r"^.*@", ""), r":[0-9]*$", "")
-    named = links.select("src", dst.alias("dst"))
+    named = links.select("src", site_of(F.col("dst")).alias("dst"))
     return (
         named.filter("src != '' AND dst != '' AND src != dst")
         .groupBy("src", "dst").agg(F.count("*").alias("links"))
@@ -173,9 +177,10 @@ def propagate(
 
 
 def host_scores(ruled: DataFrame, edges: DataFrame, **walk) -> DataFrame:
-    """Trust and distrust per host; `ruled` has host and the rule's verdict of every page."""
+    """Trust and distrust per host's name; `ruled` has host and the rule's verdict of every page."""
     seeds = (
-        ruled.filter("host != '' AND ruled IS NOT NULL")
+        ruled.withColumn("host", site_of(F.col("host")))
+        .filter("host != '' AND ruled IS NOT NULL")
         .groupBy(F.when(F.col("ruled") == ALLOW, "trust").otherwise("distrust").alias("kind"), "host")
         .agg(F.count("*").alias("weight"))
     )
@@ -212,7 +217,10 @@ def judge_urls(
     )
     edges = materialized(host_edges(pages, url, html), "url-edges")
     scores = materialized(host_scores(ruled, edges, **walk), "url-scores")
-    judged = lookup_join(ruled, scores, ["host"], "left")
+    judged = lookup_join(
+        ruled.withColumn("site", site_of(F.col("host"))),
+        scores.withColumnRenamed("host", "site"), ["site"], "left",
+    )
     trust, distrust = (F.coalesce(c, F.lit(0.0)) for c in ("trust", "distrust"))
     by_links = F.when(distrust > ratio * trust, BLOCK).otherwise(ALLOW)
     return judged.select(

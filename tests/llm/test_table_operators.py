@@ -455,6 +455,26 @@ def test_urls_of_empty_table(spark):
     assert url_filter.judge_urls(spark.createDataFrame([], PAGES)).collect() == []
 
 
+def test_urls_with_ports_and_users_share_the_score_of_their_host(spark):
+    pages = spark.createDataFrame([
+        (1, "https://good.org:8443/a", link("h.net:8080")), (2, "http://h.net:8080/", link("far.net", "h.net")),
+        (3, "http://user@far.net/", ""), (4, "http://bad.com:8080/de/1", ""), (5, "http://x@good.org/a", ""),
+        (6, "http://shill.net:81/", link("bad.com")), (7, "http://u:p@feeder.net:82/", link("shill.net")),
+        (8, "http://bad.com/other", ""),
+    ], PAGES)
+    assert {tuple(e) for e in url_filter.host_edges(pages).collect()} == {
+        ("good.org", "h.net", 1), ("h.net", "far.net", 1), ("shill.net", "bad.com", 1), ("feeder.net", "shill.net", 1),
+    }
+    rules = [*url_filter.RULES, url_filter.UrlRule("allow", "good.org:8443", "/"), url_filter.UrlRule("block", "bad.com:8080", "/")]
+    out = {r.page_id: r for r in url_filter.judge_urls(pages, rules=rules).collect()}
+    assert [out[i].host for i in (1, 2, 3, 7)] == ["good.org:8443", "h.net:8080", "user@far.net", "u:p@feeder.net:82"]
+    assert out[2].trust > 0 and out[3].trust > 0 and out[6].distrust > 0 and out[7].distrust > 0
+    assert (out[1].trust, out[4].distrust) == (out[5].trust, out[8].distrust)
+    assert {i: r.verdict for i, r in out.items()} == {
+        1: "allow", 2: "allow", 3: "allow", 4: "block", 5: "allow", 6: "block", 7: "block", 8: "block",
+    }
+
+
 # Pipeline
 
 
