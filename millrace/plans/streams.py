@@ -290,7 +290,8 @@ WHERE a.event_type = 'click' AND b.event_type = 'view'""",
 def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
     """Clicks with the views of the same user within ten minutes, over several batches.
 
-    Files are cut and read in time order, so rows are never behind the watermark.
+    A stretch of time arrives in as many files as its scan has tasks and is read to the end before the
+    next, so rows are never behind the watermark.
     """
     events = table(spark, sf, "events").withColumn("ts", F.col("ts").cast("timestamp"))
     sides = []
@@ -301,20 +302,24 @@ def stream_interval_join(spark: SparkSession, sf: str) -> DataFrame:
             F.col("user_id").cast("string").alias(code), F.col("event_id").alias(id_name),
             F.col("ts").alias(ts_name),
         )
-        path = scratch(spark, f"interval-{kind}")
-        for part in _time_parts(rows, ts_name, BUCKETS):
-            part.coalesce(1).write.mode("append").parquet(path)
-        sides.append(table_files(spark, path, rows.schema, 1))
+        sides.append((rows.schema, _time_parts(rows, ts_name, BUCKETS), scratch(spark, f"interval-{kind}")))
+    if not all(parts for _, parts, _ in sides):
+        return events.select(F.col("event_id").alias("first_id"), F.col("event_id").alias("second_id")).limit(0)
     out, checkpoint = _out(spark, "interval-join")
-    joined = jobs.interval_join(*sides).select("first_id", "second_id")
-    _run(jobs.start, joined, jobs.to_ledger(out), checkpoint, skip_empty=False,
-         state_partitions=_cores(spark))
+    for k in range(BUCKETS):
+        for _, parts, path in sides:
+            parts[k].write.mode("append").parquet(path)
+        joined = jobs.interval_join(*[table_files(spark, path, schema) for schema, _, path in sides])
+        _run(jobs.start, joined.select("first_id", "second_id"), jobs.to_ledger(out), checkpoint,
+             skip_empty=False, state_partitions=_cores(spark))
     return read_batches(spark, out).select("first_id", "second_id")
 
 
 def _time_parts(rows: DataFrame, ts: str, parts: int) -> list[DataFrame]:
-    """Rows cut into equal stretches of time, in order."""
+    """Rows cut into equal stretches of time, in order; none without a time."""
     low, high = rows.agg(F.min(F.unix_micros(ts)), F.max(F.unix_micros(ts))).first()
+    if low is None:
+        return []
     width = (high - low) // parts + 1
     place = F.floor((F.unix_micros(ts) - low) / width)
     return [rows.filter(place == k) for k in range(parts)]

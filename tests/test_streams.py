@@ -1,14 +1,18 @@
+import glob
 import os
 import time
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 
+from __spark_entry__ import oracle_sql, queries
 from millrace.operators.counts import value_count, words
+from millrace.plans import streams as plans
 from millrace.sinks.ledger import BatchKey, folded, newest, put_batch, read_batches, summed
 from millrace.streaming import jobs
 from millrace.streaming.sources import line_files, table_files
+from tests.oracle import connect, differences
 
 
 def bag(df):
@@ -259,3 +263,43 @@ def test_stream_equals_batch(spark, folder):
     jobs.batch_word_count(lines, folder.out, folder.checkpoint).awaitTermination()
     batch = value_count(words(spark.read.text(folder.source)), "word")
     assert bag(summed(read_batches(spark, folder.out), ["word"], ["n"])) == bag(batch)
+
+
+def check_query(spark, name, folder):
+    assert differences(spark, name, queries()[name], oracle_sql()[name], connect(folder), folder) is None
+
+
+EVENTS = "event_id LONG, user_id LONG, event_type STRING, ts TIMESTAMP"
+
+
+def test_interval_join_spreads_a_stretch_over_many_files(spark, tmp_path, monkeypatch):
+    """Nearly all rows lie in the first stretch of time."""
+    at = datetime(2024, 1, 1)
+    rows = [(i, i % 5, ("click", "view")[i // 5 % 2], at + timedelta(seconds=37 * i)) for i in range(400)]
+    rows += [(900, 1, "click", at + timedelta(days=9)), (901, 1, "view", at + timedelta(days=9, minutes=-5)),
+             (902, None, "click", at), (903, 1, "view", None)]
+    spark.createDataFrame(rows, EVENTS).repartition(6).write.parquet(str(tmp_path / "events.parquet"))
+    made = []
+    monkeypatch.setattr(plans, "scratch", lambda s, name: made.append(str(tmp_path / name)) or made[-1])
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2k")
+    spark.conf.set("spark.sql.files.openCostInBytes", "2k")
+    try:
+        out = queries()["stream_interval_join"](spark, str(tmp_path))
+        got = bag(out)
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
+        spark.conf.unset("spark.sql.files.openCostInBytes")
+    near = timedelta(minutes=10)
+    assert got == sorted(
+        (a[0], b[0]) for a in rows for b in rows
+        if a[2] == "click" and b[2] == "view" and a[1] is not None and a[1] == b[1]
+        and b[3] is not None and abs(a[3] - b[3]) <= near
+    )
+    for side in ("interval-click", "interval-view"):
+        assert len(glob.glob(f"{tmp_path}/{side}/*.parquet")) > 2 * plans.BUCKETS
+
+
+def test_interval_join_of_empty_table(spark, tmp_path):
+    spark.createDataFrame([], EVENTS).write.parquet(str(tmp_path / "events.parquet"))
+    out = queries()["stream_interval_join"](spark, str(tmp_path))
+    assert out.columns == ["first_id", "second_id"] and out.collect() == []
