@@ -67,14 +67,22 @@ SELECT CAST(conv_id % {BUCKETS} AS INTEGER) AS batch_id, word, count(*) AS n FRO
 """,
 )
 def stream_batch_word_count(spark: SparkSession, sf: str) -> DataFrame:
-    """Batch k counts the conversations with id k modulo the number of batches: its lines arrive
-    and are read to the end before those of the next."""
-    talks = table(spark, sf, "conversations")
+    """A batch counts the conversations of one remainder of the id, which names it: their lines arrive
+    and are read to the end before those of the next. Remainders of negative ids are negative, that
+    of a null id is null; those without a text have no batch."""
+    talks = table(spark, sf, "conversations").filter("text IS NOT NULL").withColumn(
+        "rest", (F.col("conv_id") % BUCKETS).cast("int")
+    )
+    present = {r[0] for r in talks.select("rest").distinct().collect()}  # at most twice BUCKETS
+    rests = [r for r in [*range(BUCKETS), *range(-1, -BUCKETS, -1), None] if r in present]
+    if not rests:
+        return spark.createDataFrame([], "batch_id int, word string, n long")
     path, (out, checkpoint) = scratch(spark, "batch-lines"), _out(spark, "batch-count")
-    for k in range(BUCKETS):
-        lines_of(talks.filter(F.col("conv_id") % BUCKETS == k), "text").write.mode("append").text(path)
+    for r in rests:
+        lines_of(talks.filter(F.col("rest").eqNullSafe(F.lit(r))), "text").write.mode("append").text(path)
         _run(jobs.batch_word_count, line_files(spark, path), out, checkpoint)
-    return read_batches(spark, out).select("batch_id", "word", "n")
+    name = F.get(F.array(*[F.lit(r).cast("int") for r in rests]), F.col("batch_id"))
+    return read_batches(spark, out).select(name.alias("batch_id"), "word", "n")
 
 
 @query("stream_word_count", STREAM_COUNT_SQL)
@@ -272,7 +280,7 @@ def stream_code_name_join(spark: SparkSession, sf: str) -> DataFrame:
     out, checkpoint = _out(spark, "code-name")
     for k in range(BUCKETS):
         for _, df, path in inputs:
-            df.filter(F.col("key") % BUCKETS == k).select("value").write.mode("append").text(path)
+            df.filter(F.pmod("key", F.lit(BUCKETS)) == k).select("value").write.mode("append").text(path)
         tagged = union_many(
             [line_files(spark, path).withColumn("kind", F.lit(kind)) for kind, _, path in inputs]
         )

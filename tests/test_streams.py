@@ -3,6 +3,8 @@ import os
 import time
 from datetime import datetime, timedelta
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -265,7 +267,11 @@ def test_stream_equals_batch(spark, folder):
     assert bag(summed(read_batches(spark, folder.out), ["word"], ["n"])) == bag(batch)
 
 
-def check_query(spark, name, folder):
+def check_query(spark, name, folder, **tables):
+    """The query against its SQL over these tables."""
+    folder = str(folder)
+    for kind, columns in tables.items():
+        pq.write_table(pa.table(columns), f"{folder}/{kind}.parquet")
     assert differences(spark, name, queries()[name], oracle_sql()[name], connect(folder), folder) is None
 
 
@@ -303,3 +309,18 @@ def test_interval_join_of_empty_table(spark, tmp_path):
     spark.createDataFrame([], EVENTS).write.parquet(str(tmp_path / "events.parquet"))
     out = queries()["stream_interval_join"](spark, str(tmp_path))
     assert out.columns == ["first_id", "second_id"] and out.collect() == []
+
+
+@pytest.mark.parametrize("ids", [[0, 1, 5, None, -1, -6, None, 3], [2, 2, -4, None, 6, 10, 7, 7]])
+def test_batch_counts_of_null_and_negative_ids(spark, tmp_path, ids):
+    texts = ["a b", "b\nc ", "", "a a", "d", "a", None, "e"]
+    check_query(spark, "stream_batch_word_count", tmp_path, conversations={"conv_id": pa.array(ids, pa.int64()), "text": texts})
+
+
+def test_code_name_join_of_negative_keys(spark, tmp_path):
+    keys = [-3, -1, 0, 2, 5]
+    check_query(
+        spark, "stream_code_name_join", tmp_path,
+        nation={"n_nationkey": pa.array(keys, pa.int64()), "n_name": [f"N{k}" for k in keys]},
+        customer={"c_custkey": pa.array(range(7), pa.int64()), "c_nationkey": pa.array([-3, -3, -1, 2, 5, None, 9], pa.int64())},
+    )
