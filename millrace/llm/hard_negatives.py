@@ -47,8 +47,8 @@ LOW_PERCENT, HIGH_PERCENT = 50, 95
 CANDIDATE_BYTES, ANCHOR_BYTES = 4 << 20, 1 << 19
 #: Sums of whole numbers up to here are exact as doubles.
 EXACT = float(1 << 53)
-#: Entries read from each list in the first step; every step doubles them.
-FIRST_DEPTH = 16
+#: Entries read from each list in the first step, and how many times more in every next one.
+FIRST_DEPTH, DEEPER = 16, 4
 
 LONGS = np.iinfo(np.int64)
 
@@ -107,8 +107,9 @@ class Lists:
 
     def __init__(self, matrix: np.ndarray):
         self.matrix = matrix
-        self.order = np.argsort(matrix, axis=0, kind="stable").astype(np.int32)
-        self.values = np.take_along_axis(matrix, self.order, axis=0)
+        across = np.ascontiguousarray(matrix.T)
+        self.order = np.argsort(across, axis=1, kind="stable").astype(np.int32)
+        self.values = np.take_along_axis(across, self.order, axis=1)
         self.largest = float(np.abs(matrix).max(initial=0.0))
 
     def scores(self, rows: np.ndarray, anchor: np.ndarray, exact: bool) -> np.ndarray:
@@ -125,26 +126,29 @@ class Lists:
         up, down = np.flatnonzero(anchor > 0), np.flatnonzero(anchor < 0)
         # Rounded sums would not tell a tie from a lower score.
         exact = float(np.abs(anchor).sum()) * self.largest < EXACT
-        unseen, left, depth, step = np.ones(n, bool), n, 0, FIRST_DEPTH
+        unseen, left, depth, step, swept = np.ones(n, bool), n, 0, FIRST_DEPTH, None
         if not len(up) and not len(down):
             yield np.arange(n), np.zeros(n, np.int64), -np.inf
             return
         while left:
             to = min(n, depth + step)
             met = np.zeros(n, bool)
-            met[self.order[n - to : n - depth, up].ravel()] = True
-            met[self.order[depth:to, down].ravel()] = True
+            met[self.order[up, n - to : n - depth].ravel()] = True
+            met[self.order[down, depth:to].ravel()] = True
             new = np.flatnonzero(met & unseen)
             unseen[new] = False
             left -= len(new)
             if not left:
                 threshold = -np.inf
             elif exact:
-                threshold = float(anchor[up] @ self.values[n - to, up] + anchor[down] @ self.values[to - 1, down])
+                threshold = float(anchor[up] @ self.values[up, n - to] + anchor[down] @ self.values[down, to - 1])
             else:
                 threshold = np.inf
-            yield new, self.scores(new, anchor, exact), threshold
-            depth, step = to, 2 * step
+            if exact and swept is None and 8 * len(new) > n:  # one sweep is cheaper than many jumps
+                swept = self.matrix @ anchor
+            scores = self.scores(new, anchor, exact) if swept is None else swept[new].astype(np.int64)
+            yield new, scores, threshold
+            depth, step = to, DEEPER * step
 
 
 def best(scores: np.ndarray, ids: np.ndarray, rows: np.ndarray, k: int) -> np.ndarray:
@@ -164,7 +168,7 @@ def first_of_label(block: Lists, ids, labels, rows, anchor, label: int, row: int
     places, scores = np.empty(0, np.int64), np.empty(0, np.int64)
     for new, got, threshold in block.read(anchor):
         fit = mine[new]
-        places, scores = np.r_[places, new[fit]], np.r_[scores, got[fit]]
+        places, scores = np.concatenate([places, new[fit]]), np.concatenate([scores, got[fit]])
         keep = best(scores, ids[places], rows[places], k)
         places, scores = places[keep], scores[keep]
         if len(places) == k and threshold < scores[-1]:
@@ -179,17 +183,20 @@ def first_in_windows(block: Lists, ids, labels, rows, anchor, label: int, window
     open_windows = [i for i, (low, high) in enumerate(windows) if low <= high]
     if not open_windows:
         return found
+    lowest = min(windows[i][0] for i in open_windows)
     for new, got, threshold in block.read(anchor):
-        fit = others[new]
+        fit = np.flatnonzero(others[new] & (got >= lowest))
         new, got = new[fit], got[fit]
         still = []
         for i in open_windows:
             low, high = windows[i]
-            inside = (got >= low) & (got <= high)
-            places, scores = np.r_[found[i][0], new[inside]], np.r_[found[i][1], got[inside]]
-            keep = best(scores, ids[places], rows[places], k)
-            found[i] = places[keep], scores[keep]
-            full = len(keep) == k and threshold < found[i][1][-1]
+            inside = np.flatnonzero((got >= low) & (got <= high))
+            if len(inside):
+                places = np.concatenate([found[i][0], new[inside]])
+                scores = np.concatenate([found[i][1], got[inside]])
+                keep = best(scores, ids[places], rows[places], k)
+                found[i] = places[keep], scores[keep]
+            full = len(found[i][0]) == k and threshold < found[i][1][-1]
             if not full and not threshold < low:
                 still.append(i)
         open_windows = still
