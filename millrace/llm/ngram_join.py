@@ -5,7 +5,9 @@
    space at least T hold equal shingles in both. Each set sends one key per part (and size class it
    may meet a partner in); keys meet in buckets, each sorted alone, and sets with a common key
    are candidates, chained to the smallest instead of paired. T is chosen so that hardly any set
-   has T empty parts; those that do send keys for their empty parts too, so nothing is lost.
+   has T empty parts; those that do send keys for their empty parts too, so nothing is lost. Of keys
+   that many sets have (a shared passage), a set leaves out its T - 1 hottest: with T in common
+   one is left to both.
 3. Chains of candidates are gathered into blocks of bounded size: many small chains share one, a
    large chain is split by set size and hash into blocks that are met in pairs.
 4. In a block, inverted lists from shingle to sets answer each set's query with DivideSkip: the
@@ -36,7 +38,7 @@ from pyspark.sql import functions as F
 
 from millrace.llm.arrow import as_bytes, pieces
 from millrace.llm.graph import components
-from millrace.runtime import lookup_join, materialized
+from millrace.runtime import lookup_join, materialized, owned_scratch, scratch
 
 WORDS_PER_SHINGLE = 3
 #: A link needs OVER * shared >= PERCENT * united shingles.
@@ -52,6 +54,8 @@ USUAL_SIZE = 256
 #: Text bytes shingled at once, or one text.
 PIECE_BYTES = 1 << 20
 BLOCK_SHINGLES = 1 << 21
+#: Names from which on a key is hot: sets leave out as many of their hottest keys as they can spare.
+HOT_NAMES = 16
 #: Entries of short lists up to which a heap merges them; more are sorted at once.
 HEAP_ENTRIES = 1 << 10
 
@@ -171,9 +175,14 @@ class Parts:
         cuts = [self.cut(c)[0] for c in self.classes(size)]
         return sum(parts * -math.expm1(-size / parts) for parts in cuts) / size
 
-    def keys(self, shingles: np.ndarray) -> np.ndarray:
-        """One key per non-empty part and class; also for empty parts where T or more are empty."""
-        out, scrambled = [], mixed(shingles)
+    def keys(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """One key per non-empty part and class, also for empty parts where T or more are empty; and a
+        tag of two bytes for each: its class, and how many keys of that class the set can do without.
+
+        Linked sets have T equal parts. At most the empty ones of those have no key, so a set with
+        e < T empty parts has T - e keys in common with any partner.
+        """
+        out, tags, scrambled = [], [], mixed(shingles)
         high = shingles >> np.uint64(32)
         for c in self.classes(len(shingles)):
             parts, t = self.cut(c)
@@ -181,21 +190,36 @@ class Parts:
             first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             sums = np.add.reduceat(scrambled, first)
             names = part[first]
-            if parts - len(names) >= t:
+            spare = t - (parts - len(names)) - 1
+            if spare < 0:
                 empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), names)
                 names = np.r_[names, empty]
                 sums = np.r_[sums, np.zeros(len(empty), np.uint64)]
             out.append(mixed(sums + mixed(names + np.uint64((c + 1) << 32))))
-        return np.concatenate(out)
+            tags.append(np.full((len(names), 2), (c % 256, max(spare, 0)), np.uint8))
+        return np.concatenate(out), np.concatenate(tags)
 
 
 def set_name(digest: bytes) -> int:
-    """A 64-bit name of a set for candidate search; two sets of one name only add a candidate."""
-    return int.from_bytes(digest[:8], "little", signed=True)
+    """A 48-bit name of a set for candidate search; two sets of one name only add a candidate."""
+    return int.from_bytes(digest[:NAME_BYTES], "little")
+
+
+def low_bytes(numbers: np.ndarray, width: int) -> np.ndarray:
+    """The lowest bytes of whole numbers, one row each."""
+    return numbers.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+
+
+def from_bytes(rows: np.ndarray) -> np.ndarray:
+    out = np.zeros((len(rows), 8), np.uint8)
+    out[:, : rows.shape[1]] = rows
+    return out.view("<u8").ravel().astype(np.int64)
 
 
 FOUND = "kind int, bucket int, id long, n long, digest binary, payload binary, a long, b long"
-MEMBER, KEYS, EDGE = 0, 1, 2
+MEMBER, KEYS, EDGE, HOT = 0, 1, 2, 3
+#: Bytes of a key (besides its bucket) and of a set's name, as sent.
+KEY_BYTES, NAME_BYTES = 5, 6
 
 
 def _found(kind: int, rows: int, **columns) -> pa.RecordBatch:
@@ -210,15 +234,69 @@ def _found(kind: int, rows: int, **columns) -> pa.RecordBatch:
     )
 
 
-def chained(keys: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (key, smallest name) and the distinct edges from other names of a key to it."""
+def packs(kind: int, where: np.ndarray, rows: np.ndarray) -> pa.RecordBatch:
+    """Rows of bytes as one payload per bucket."""
+    order = np.argsort(where, kind="stable")
+    where, rows = where[order], rows[order]
+    cut = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
+    return _found(
+        kind, len(cut), bucket=where[cut].astype(np.int32),
+        payload=[rows[i:j].tobytes() for i, j in zip(cut, np.r_[cut[1:], len(where)])],
+    )
+
+
+def edge_rows(a: np.ndarray, b: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Distinct edges; they need no meeting and are spread."""
+    a, b = np.unique(np.stack([a, b]), axis=1) if len(a) else (a, b)
+    return _found(EDGE, len(a), a=a, b=b, bucket=np.arange(len(a), dtype=np.int32) % buckets)
+
+
+def met_keys(rows: np.ndarray, buckets: int) -> list[pa.RecordBatch]:
+    """One bucket of (key, name, tag): edges from the names of a key to its smallest one. Of a key with
+    many names, each name is sent on to decide whether it keeps the key."""
+    keys, names = from_bytes(rows[:, :KEY_BYTES]), from_bytes(rows[:, KEY_BYTES:-2])
     order = np.lexsort((names, keys))
-    keys, names = keys[order], names[order]
-    first = np.r_[True, keys[1:] != keys[:-1]]
-    low = names[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
-    other = names != low
-    edges = np.unique(np.stack([names[other], low[other]]), axis=1) if other.any() else None
-    return keys[first], names[first], edges
+    keys, names, tags = keys[order], names[order], rows[order, -2:]
+    new_key = np.r_[True, keys[1:] != keys[:-1]]
+    once = new_key | np.r_[True, names[1:] != names[:-1]]
+    keys, names, tags, new_key = keys[once], names[once], tags[once], new_key[once]
+    first = np.flatnonzero(new_key)
+    group = np.cumsum(new_key) - 1
+    count = np.diff(np.r_[first, len(keys)])[group]
+    low = names[first][group]
+    few = (count < HOT_NAMES) & (names != low)
+    out = [edge_rows(names[few], low[few], buckets)]
+    many = count >= HOT_NAMES
+    if many.any():
+        names = names[many]
+        heat = np.log2(count[many]).astype(np.uint8)[:, None]
+        sent = np.hstack([
+            low_bytes(names, NAME_BYTES), low_bytes(low[many], NAME_BYTES), heat,
+            low_bytes(keys[many], KEY_BYTES), tags[many],
+        ])
+        out.append(packs(HOT, names % buckets, sent))
+    return out
+
+
+def kept_keys(rows: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Edges of the hot keys that their sets keep.
+
+    With m common keys, two sets still share one when each leaves out its m - 1 hottest: all sets
+    order keys alike, and the coldest common key is behind the others. A tie leaves out fewer.
+    """
+    n = NAME_BYTES
+    names, low = from_bytes(rows[:, :n]), from_bytes(rows[:, n : 2 * n])
+    order_of = (255 - rows[:, 2 * n]).astype(np.int64) << 40 | from_bytes(rows[:, 2 * n + 1 : -2])
+    kind, spare = rows[:, -2].astype(np.int64), rows[:, -1].astype(np.int64)
+    order = np.lexsort((order_of, kind, names))
+    names, low, order_of, kind, spare = (x[order] for x in (names, low, order_of, kind, spare))
+    new = np.r_[True, (names[1:] != names[:-1]) | (kind[1:] != kind[:-1])]
+    first = np.flatnonzero(new)
+    sizes, spare = np.diff(np.r_[first, len(names)]), np.minimum.reduceat(spare, first)
+    # The key at place `spare` is the first one kept, with all that tie with it.
+    bound = np.where(spare < sizes, order_of[np.minimum(first + spare, first + sizes - 1)], 1 << 62)
+    kept = (order_of >= bound[np.cumsum(new) - 1]) & (names != low)
+    return edge_rows(names[kept], low[kept], buckets)
 
 
 def candidates(docs: DataFrame, buckets: int, width: int, parts: Parts) -> DataFrame:
@@ -243,42 +321,38 @@ def candidates(docs: DataFrame, buckets: int, width: int, parts: Parts) -> DataF
                 if not seen:
                     continue
                 own = [parts.keys(s) for s in seen.values()]
+                keys, tags = (np.concatenate(x) for x in zip(*own))
                 names = np.repeat(
-                    np.array([set_name(d) for d in seen], np.int64), [len(k) for k in own]
+                    np.array([set_name(d) for d in seen], np.int64), [len(k) for k, _ in own]
                 )
-                keys, names, edges = chained(np.concatenate(own), names)
-                if edges is not None:
-                    yield _found(
-                        EDGE, edges.shape[1], a=edges[0], b=edges[1],
-                        bucket=np.arange(edges.shape[1], dtype=np.int32) % buckets,
-                    )
                 where = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-                cut = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
-                ends = np.r_[cut[1:], len(keys)]
-                yield _found(
-                    KEYS, len(cut), bucket=where[cut].astype(np.int32),
-                    payload=[keys[i:j].tobytes() + names[i:j].tobytes() for i, j in zip(cut, ends)],
-                )
+                yield packs(KEYS, where, np.hstack([low_bytes(keys, KEY_BYTES), low_bytes(names, NAME_BYTES), tags]))
+
+    def bytes_of(table: pa.Table, kind: int, width: int) -> np.ndarray:
+        packed = table.filter(pa.compute.equal(table.column("kind"), kind)).column("payload").to_pylist()
+        return np.frombuffer(b"".join(packed), np.uint8).reshape(-1, width)
 
-    def meet(table: pa.Table) -> pa.Table:
-        """One bucket: its keys are sorted alone; members and edges pass."""
-        kinds = table.column("kind")
-        packed = table.filter(pa.compute.equal(kinds, KEYS)).column("payload").to_pylist()
-        out = [table.filter(pa.compute.not_equal(kinds, KEYS))]
-        if packed:
-            keys = np.frombuffer(b"".join(p[: len(p) // 2] for p in packed), np.uint64)
-            names = np.frombuffer(b"".join(p[len(p) // 2 :] for p in packed), np.int64)
-            del packed
-            edges = chained(keys, names)[2]
-            if edges is not None:
-                out.append(pa.Table.from_batches(
-                    [_found(EDGE, edges.shape[1], a=edges[0], b=edges[1])]
-                ).cast(table.schema))
-        return pa.concat_tables(out)
+    def meeting(kind: int, row_bytes: int, work):
+        """One bucket: rows of the kind meet there alone, the others pass."""
+
+        def meet(table: pa.Table) -> pa.Table:
+            rest = table.filter(pa.compute.not_equal(table.column("kind"), kind))
+            rows = bytes_of(table, kind, row_bytes)
+            if not len(rows):
+                return rest
+            return pa.concat_tables([rest, pa.Table.from_batches(work(rows)).cast(table.schema)])
+
+        return meet
 
     sent = docs.mapInArrow(send, FOUND)
-    # Members and local edges need no meeting: they only ride along, spread by digest.
-    return materialized(sent.groupBy("bucket").applyInArrow(meet, FOUND), "join-found")
+    # Members and edges need no meeting: they only ride along, spread by digest and by number.
+    met = sent.groupBy("bucket").applyInArrow(
+        meeting(KEYS, KEY_BYTES + NAME_BYTES + 2, lambda rows: met_keys(rows, buckets)), FOUND
+    )
+    kept = met.groupBy("bucket").applyInArrow(
+        meeting(HOT, KEY_BYTES + 2 * NAME_BYTES + 3, lambda rows: [kept_keys(rows, buckets)]), FOUND
+    )
+    return materialized(kept, "join-found")
 
 
 def merge_skip(lists: list[list[int]], least: int) -> tuple[list[int], list[int]]:
@@ -311,26 +385,68 @@ def merge_skip(lists: list[list[int]], least: int) -> tuple[list[int], list[int]
     return found, counts
 
 
+class Linked:
+    """What the links of a block come to: link counts, and enough pairs to connect what they connect.
+
+    Groups know their members; the smaller joins the larger, so pairs are never stored.
+    """
+
+    def __init__(self, copies: np.ndarray, side: np.ndarray):
+        self.copies, self.side = copies, side
+        #: Two blocks meet here: pairs inside either belong to its own task.
+        self.across = bool((side != side[0]).any()) if len(side) else False
+        self.counts = np.zeros(len(copies), np.int64)
+        self.group = np.arange(len(copies))
+        self.members = [np.array([i]) for i in range(len(copies))]
+        self.pairs: list[tuple[int, int]] = []
+
+    def add(self, q: int, partners: np.ndarray) -> None:
+        """Links from q to each of the partners."""
+        if self.across:
+            partners = partners[self.side[partners] != self.side[q]]
+        if not len(partners):
+            return
+        self.counts[q] += self.copies[partners].sum()
+        self.counts[partners] += self.copies[q]
+        groups, first = np.unique(self.group[partners], return_index=True)
+        for g, i in zip(groups.tolist(), first.tolist()):
+            mine = int(self.group[q])
+            if g == mine:
+                continue
+            self.pairs.append((q, int(partners[i])))
+            small, large = sorted((g, mine), key=lambda x: len(self.members[x]))
+            self.group[self.members[small]] = large
+            self.members[large] = np.concatenate([self.members[large], self.members[small]])
+            self.members[small] = self.members[small][:0]
+
+
 def linked_in_block(
-    sets: list[np.ndarray], percent: int = PERCENT, over: int = OVER
-) -> tuple[np.ndarray, np.ndarray]:
-    """All linked pairs of the block as two arrays of places; each pair once.
+    sets: list[np.ndarray],
+    percent: int = PERCENT,
+    over: int = OVER,
+    copies: np.ndarray | None = None,
+    side: np.ndarray | None = None,
+) -> Linked:
+    """The links of the block, each pair met once and then forgotten.
 
-    `sets` are sorted distinct shingles, in order of size. T-occurrence search with DivideSkip: the
+    `sets` are sorted distinct shingles, in order of size; `copies` are the documents of each and `side`
+    tells two blocks apart, of which only pairs across are wanted. T-occurrence search with DivideSkip: the
     short lists are merged by a heap, or by one sort when they hold many entries; the long ones
     are probed by binary search.
     """
     sizes = np.array([*map(len, sets)], np.int64)
     n = len(sets)
+    found = Linked(
+        np.ones(n, np.int64) if copies is None else copies, np.zeros(n, np.int64) if side is None else side
+    )
     if n < 2:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
+        return found
     tokens, token = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(n), sizes)
     lists = np.sort(token.astype(np.int64) * n + owner)  # inverted lists, one behind another
     length = np.bincount(token, minlength=len(tokens))
     start = np.cumsum(length) - length
     ends = np.cumsum(sizes)
-    found_a, found_b = [], []
     for q in range(n):
         own = token[ends[q] - sizes[q] : ends[q]]
         own = own[length[own] > 1]
@@ -365,30 +481,8 @@ def linked_in_block(
             place = np.minimum(np.searchsorted(lists, probe), len(lists) - 1)
             shared = shared + (lists[place] == probe).reshape(skipped, -1).sum(0)
         linked = over * shared >= percent * (sizes[q] + sizes[partner] - shared)
-        found_a.append(np.full(linked.sum(), q))
-        found_b.append(partner[linked])
-    if not found_a:
-        return np.empty(0, np.int64), np.empty(0, np.int64)
-    return np.concatenate(found_a), np.concatenate(found_b)
-
-
-def forest(n: int, a: np.ndarray, b: np.ndarray) -> list[tuple[int, int]]:
-    """Enough of the pairs to connect what they connect."""
-    up = list(range(n))
-
-    def top(x: int) -> int:
-        while up[x] != x:
-            up[x] = up[up[x]]
-            x = up[x]
-        return x
-
-    kept = []
-    for x, y in zip(a.tolist(), b.tolist()):
-        p, q = top(x), top(y)
-        if p != q:
-            up[max(p, q)] = min(p, q)
-            kept.append((x, y))
-    return kept
+        found.add(q, partner[linked])
+    return found
 
 
 def block_table(chains: DataFrame) -> tuple[DataFrame, int]:
@@ -487,19 +581,14 @@ def links(
         for i, c, s, side in zip(*columns):
             rows[i] = (len(s), i, np.frombuffer(s, np.uint64), c, side)
         order = sorted(rows.values(), key=lambda r: r[:2])
-        a, b = linked_in_block([r[2] for r in order], percent, over)
-        side = np.array([r[4] for r in order])
-        if (side == 2).any():  # two blocks: pairs inside either belong to its own task
-            across = side[a] != side[b]
-            a, b = a[across], b[across]
-        ids, copies = (np.array([r[k] for r in order], np.int64) for k in (1, 3))
-        counts = np.bincount(a, copies[b], len(ids)) + np.bincount(b, copies[a], len(ids))
-        some = np.flatnonzero(counts)
-        pairs = np.array(forest(len(ids), a, b), np.int64).reshape(-1, 2)
+        ids, copies, side = (np.array([r[k] for r in order], np.int64) for k in (1, 3, 4))
+        found = linked_in_block([r[2] for r in order], percent, over, copies, side)
+        counts, some = found.counts, np.flatnonzero(found.counts)
+        pairs = np.array(found.pairs, np.int64).reshape(-1, 2)
         return pa.table({
             "a": pa.array(np.r_[ids[pairs[:, 0]], ids[some]]),
             "b": pa.array([*ids[pairs[:, 1]].tolist(), *[None] * len(some)], pa.int64()),
-            "links": pa.array([*[None] * len(pairs), *counts[some].astype(np.int64).tolist()], pa.int64()),
+            "links": pa.array([*[None] * len(pairs), *counts[some].tolist()], pa.int64()),
         })
 
     return materialized(
@@ -519,6 +608,14 @@ def similarity_join(
     n_links (documents it is linked to, copies included)."""
     if not 0 < 2 * percent <= 2 * over or 10 * percent < 7 * over:
         raise ValueError("the similarity is between 0.7 and 1")
+    spark, path = docs.sparkSession, scratch(docs.sparkSession, "join-result")
+    with owned_scratch(spark, "join"):  # the tables of the search go with it
+        joined = _joined(docs, key, text, width, percent, over)
+        joined.write.parquet(path)
+    return spark.read.schema(joined.schema).parquet(path)
+
+
+def _joined(docs: DataFrame, key: str, text: str, width: int, percent: int, over: int) -> DataFrame:
     read = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     size = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     # About one shingle in eight bytes, and one key for four shingles or more, as texts of usual sizes send.

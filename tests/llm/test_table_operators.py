@@ -1,7 +1,9 @@
 """Operators over whole tables, against plain Python."""
 
 import hashlib
+import itertools
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -253,14 +255,14 @@ def test_linked_sets_share_a_key():
             shared = len(np.intersect1d(a, b))
             if 100 * shared >= 90 * (len(a) + len(b) - shared):
                 tried += 1
-                assert len(np.intersect1d(parts.keys(a), parts.keys(b)))
+                assert len(np.intersect1d(parts.keys(a)[0], parts.keys(b)[0]))
     assert tried > 300
 
 
 def test_poor_sets_share_keys_of_empty_parts():
     parts = ngram_join.Parts(90, 100)
     crowded = np.arange(1, 65, dtype=np.uint64)  # all in the first part
-    assert np.intersect1d(parts.keys(crowded), parts.keys(crowded + np.uint64(3))).size
+    assert np.intersect1d(parts.keys(crowded)[0], parts.keys(crowded + np.uint64(3))[0]).size
 
 
 def test_merge_skip_equals_counting():
@@ -284,14 +286,82 @@ def test_divide_skip_equals_pairwise(monkeypatch, heap_entries):
             k = rng.integers(0, max(1, len(b) // 6))
             sets.append(np.unique(np.r_[rng.permutation(b)[k:], rng.integers(0, 2**64, k, dtype=np.uint64)]))
     sets = sorted((s for s in sets if len(s)), key=len)
-    a, b = ngram_join.linked_in_block(sets)
-    wanted = set()
-    for i in range(len(sets)):
-        for j in range(i + 1, len(sets)):
+    side = np.array([i % 2 + 1 for i in range(len(sets))])
+    copies = np.array([1 + i % 3 for i in range(len(sets))])
+    for sides in (None, side):
+        found = ngram_join.linked_in_block(sets, copies=copies, side=sides)
+        counts, up = [0] * len(sets), [*range(len(sets))]
+        for i, j in itertools.combinations(range(len(sets)), 2):
             shared = len(np.intersect1d(sets[i], sets[j]))
-            if 100 * shared >= 90 * (len(sets[i]) + len(sets[j]) - shared):
-                wanted.add((i, j))
-    assert set(zip(a.tolist(), b.tolist())) == wanted and wanted
+            linked = 100 * shared >= 90 * (len(sets[i]) + len(sets[j]) - shared)
+            if linked and (sides is None or sides[i] != sides[j]):
+                counts[i] += copies[j]
+                counts[j] += copies[i]
+                up = [min(up[i], up[j]) if x in (up[i], up[j]) else x for x in up]
+        assert found.counts.tolist() == counts and any(counts)
+        ours = [*range(len(sets))]
+        for i, j in found.pairs:
+            ours = [min(ours[i], ours[j]) if x in (ours[i], ours[j]) else x for x in ours]
+        assert ours == up and len(found.pairs) == len(sets) - len(set(up))
+
+
+def test_a_large_group_of_near_copies_keeps_memory_flat():
+    """Sets of 20 shingles, 19 of them common: every pair is linked, none is stored."""
+    rng = np.random.default_rng(8)
+    common = np.unique(rng.integers(0, 2**64, 19, dtype=np.uint64))
+    sets = [np.sort(np.r_[common, rng.integers(0, 2**64, 1, dtype=np.uint64)]) for _ in range(4000)]
+    tracemalloc.start()
+    found = ngram_join.linked_in_block(sets)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert set(found.counts.tolist()) == {3999} and len(found.pairs) == 3999
+    assert peak < 40e6
+
+
+@pytest.mark.parametrize("percent, hot", [(90, 2), (80, 2), (80, 4)])
+def test_linked_sets_meet_when_hot_keys_are_left_out(monkeypatch, percent, hot):
+    monkeypatch.setattr(ngram_join, "HOT_NAMES", hot)
+    rng = np.random.default_rng(percent + hot)
+    parts = ngram_join.Parts(percent, 100)
+    new = lambda n: rng.integers(0, 2**64, n, dtype=np.uint64)
+    passages = [new(40) for _ in range(4)]
+    sets = []
+    for _ in range(120):
+        base = np.r_[new(rng.integers(5, 200)), *[p for p in passages if rng.random() < 0.5]]
+        for _ in range(3):
+            k = rng.integers(0, max(2, len(base) // 20))
+            sets.append(np.unique(np.r_[rng.permutation(base)[k:], new(k)]))
+    names = np.arange(1, len(sets) + 1)
+    own = [parts.keys(s) for s in sets]
+    rows = np.hstack([
+        ngram_join.low_bytes(np.concatenate([k for k, _ in own]), ngram_join.KEY_BYTES),
+        ngram_join.low_bytes(np.repeat(names, [len(k) for k, _ in own]), ngram_join.NAME_BYTES),
+        np.concatenate([t for _, t in own]),
+    ])
+    edges, used = [], 0
+    for batch in ngram_join.met_keys(rows, 8):
+        table = batch.to_pydict()
+        if table["kind"] and table["kind"][0] == ngram_join.HOT:
+            hot_rows = np.frombuffer(b"".join(table["payload"]), np.uint8)
+            kept = ngram_join.kept_keys(hot_rows.reshape(-1, 2 * ngram_join.NAME_BYTES + ngram_join.KEY_BYTES + 3), 8)
+            table, used = kept.to_pydict(), len(hot_rows)
+        edges += zip(table["a"], table["b"])
+    up = {int(n): int(n) for n in names}
+
+    def top(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        up[top(a)] = top(b)
+    linked = 0
+    for i, j in itertools.combinations(range(len(sets)), 2):
+        shared = len(np.intersect1d(sets[i], sets[j]))
+        if 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
+            linked += 1
+            assert top(i + 1) == top(j + 1)
+    assert linked > 80 and used
 
 
 def test_components_of_chains_and_stars(spark):
