@@ -25,6 +25,7 @@ from millrace.plans.page_sql import (
 )
 from millrace.plans.registry import query, table
 from millrace.runtime import lookup_join, materialized, scratch, spread
+from millrace.sinks.commits import CommittedTable
 from millrace.sinks.ledger import BatchKey, put_batch
 from millrace.sources.files import read_rules
 from millrace.streaming.sources import line_files
@@ -110,6 +111,24 @@ def report_upsert(spark: SparkSession, sf: str) -> DataFrame:
     return merge_reports(spark.read.parquet(path))
 
 
+@query(
+    "report_commits",
+    f"{SCRIPTED_SQL} SELECT host, {REPORT_COUNTS_SQL}, {REPORT_TIME_SQL} FROM s GROUP BY host",
+)
+def report_commits(spark: SparkSession, sf: str) -> DataFrame:
+    """The report by commits: six batches of two writers, folded on the way, the first ones replayed."""
+    scripted = _scripted(spark, sf)
+    part = F.pmod(F.coalesce(F.col("page_id"), F.lit(0)), F.lit(6))
+    root = scratch(spark, "report-commits")
+    writers = [
+        CommittedTable(spark, root, lambda rows, _: merge_reports(rows), fold_after=3) for _ in range(2)
+    ]
+    for number in (0, 1, 2, 3, 4, 5, 0, 1):
+        run = BatchKey(f"writer-{number % 2}", number // 2)
+        writers[number % 2].put(host_report(scripted.filter(part == number), _at()), run)
+    return merge_reports(writers[0].read())
+
+
 @query(
     "page_rule_match",
     f"""{VALIDATE_SQL}, r AS (SELECT DISTINCT {HOST_SQL} AS host FROM pages WHERE url LIKE 'https:%')

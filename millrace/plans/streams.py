@@ -21,8 +21,9 @@ from millrace.plans.tables import _tokens_sql
 from millrace.runtime import scratch
 from millrace.sinks.ledger import newest, read_batches, summed
 from millrace.sources.files import read_dictionary
-from millrace.streaming import jobs
+from millrace.streaming import jobs, state
 from millrace.streaming.sources import line_files, table_files
+from millrace.streaming.windows import InverseWindow
 
 STREAM_COUNT_SQL = f"""
 WITH {_tokens_sql('conversations')}
@@ -243,6 +244,20 @@ def stream_window_sum(spark: SparkSession, sf: str) -> DataFrame:
     return _stamped(windows)
 
 
+@query("stream_window_inverse", WINDOW_SUM_SQL)
+def stream_window_inverse(spark: SparkSession, sf: str) -> DataFrame:
+    """The same windows by adding the slide that enters and subtracting the one that leaves.
+
+    Files are not in time order, so most batches bring rows of windows that are closed already.
+    """
+    events = table(spark, sf, "events").select("ts", "event_type")
+    path, per_trigger = staged_stream(events, "inverse-events", "parquet")
+    sums = InverseWindow(spark, scratch(spark, "window-inverse"), "event_type", 4 * 3600, 2 * 3600, fold_after=3)
+    _run(sums.start, table_files(spark, path, events.schema, per_trigger), scratch(spark, "inverse-checkpoint"))
+    sums.close()
+    return _stamped(sums.totals())
+
+
 @query(
     "stream_union_count",
     """

@@ -31,6 +31,7 @@ from millrace.plans.inputs import (
 )
 from millrace.plans.registry import query, table
 from millrace.runtime import materialized, scratch
+from millrace.sinks.commits import CommittedTable
 from millrace.sinks import files as sinks
 from millrace.sinks import keyed
 from millrace.sources import catalog, files
@@ -724,6 +725,26 @@ def kv_range_scan(spark: SparkSession, sf: str) -> DataFrame:
     return keyed.range_scan(keyed.open_table(spark, path), "spark_write_10", "spark_write_3")
 
 
+REGION_SPLITS = [f"spark_load_{k}" for k in ("15", "2", "4", "45", "7", "9x")]
+
+_REGION = " + ".join(f"CAST(rowkey >= '{s}' AS INTEGER)" for s in REGION_SPLITS)
+
+
+@query(
+    "kv_region_build",
+    f"""WITH k AS (SELECT DISTINCT 'spark_load_' || l_orderkey AS rowkey FROM lineitem)
+SELECT {_REGION} AS region, count(*) AS n, min(rowkey) AS first_key, max(rowkey) AS last_key, true AS in_order
+FROM k GROUP BY 1""",
+)
+def kv_region_build(spark: SparkSession, sf: str) -> DataFrame:
+    """Regions by given split points, built over an older table and published; bounds as stored."""
+    keys = table(spark, sf, "lineitem").select(K.prefixed_key("spark_load", "l_orderkey").alias("rowkey"))
+    built = CommittedTable(spark, scratch(spark, "regions"))
+    keyed.region_build(keys.limit(0), [], built)
+    keyed.region_build(keys, REGION_SPLITS, built)
+    return keyed.region_bounds(built.read())
+
+
 @query(
     "offset_reconcile",
     """
