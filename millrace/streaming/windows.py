@@ -92,7 +92,9 @@ class InverseWindow:
             return
         before = at.note[HORIZON]
         rows = self.state.read(at)
-        after = max(before, rows.agg(F.max("slot")).first()[0] or before)
+        after = rows.agg(F.max("slot")).first()[0]
+        if after is None or after <= before:
+            return
         key = BatchKey("close", after)
         put_batch(self._closed(rows, before, after), self.out, key)
         self.state.put(rows.limit(0), key, {HORIZON: after})
