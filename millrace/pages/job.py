@@ -15,13 +15,13 @@ from millrace.pages.elements import with_tree
 from millrace.pages.extract import outcome_of, ruled_content
 from millrace.pages.mining import mined
 from millrace.pages.records import OK, parse_records, validate
+from millrace.pages.rule_index import PAGE, page_keys, with_met_rules
 from millrace.pages.report import documents, host_report, merge_reports, storage_rows
 from millrace.pages.templates import choose_rules, counter_deltas, host_rules
 from millrace.runtime import (
     BROADCAST_LIMIT_BYTES,
     materialized,
     measured_bytes,
-    salted_join,
 )
 from millrace.sinks.ledger import BatchKey, put_batch
 from millrace.streaming.jobs import RefreshedLookup, start
@@ -49,21 +49,38 @@ def page_results(
     limit_bytes: int = BROADCAST_LIMIT_BYTES,
     size: int | None = None,
 ) -> DataFrame:
-    """One row per record with `mined`, `content` and `outcome`; each page is parsed once.
+    """One row per record with `mined`, `content` and `outcome`.
 
-    Filtered records skip the parser. With a known `size`, `rules` are host rules already. Those within the
-    limit are broadcast to the parsed pages. Larger ones are joined before parsing, salted by
-    host, so that the shuffle carries the html and not the much larger trees.
+    Filtered records skip the parser. Rules within the limit, measured before they are gathered by host
+    (or of known `size`), are broadcast to the parsed pages. Larger ones are met through an index.
     """
+    if (measured_bytes(rules) if size is None else size) <= limit_bytes:
+        return _extracted(parsed_valid(records).join(F.broadcast(host_rules(rules)), "host", "left"))
+    return _indexed_results(records, rules)
+
+
+def _indexed_results(records: DataFrame, rules: DataFrame) -> DataFrame:
+    """The same with rules of any number. Pages are stored once; their facts and keys, then the rules
+    they meet, are short rows. The second parse is for the text."""
+    pages = materialized(records.withColumn(PAGE, F.monotonically_increasing_id()), "pages")
+    html = F.when(F.col("status") == OK, F.col("html")).alias("html")
+    facts = materialized(
+        with_tree(pages.select(PAGE, "host", html)).select(
+            PAGE, "host", mined().alias("mined"), page_keys().alias("keys")
+        ),
+        "page-facts",
+    )
+    ruled = with_met_rules(pages, facts, rules).join(facts.select(PAGE, "mined"), PAGE, "left")
+    return _extracted(parsed_valid(ruled)).drop(PAGE)
+
+
+def _extracted(ruled: DataFrame) -> DataFrame:
+    """Parsed pages with their rules, reduced to facts, content and outcome."""
     ok = F.col("status") == OK
-    by_host = rules if size is not None else host_rules(rules)
-    if (measured_bytes(by_host) if size is None else size) <= limit_bytes:
-        ruled = parsed_valid(records).join(F.broadcast(by_host), "host", "left")
-    else:
-        ruled = parsed_valid(salted_join(records, by_host, ["host"], "left"))
+    if "mined" not in ruled.columns:
+        ruled = ruled.withColumn("mined", F.when(ok, mined()))
     return (
-        ruled.withColumn("mined", F.when(ok, mined()))
-        .withColumn("content", F.when(ok, ruled_content()))
+        ruled.withColumn("content", F.when(ok, ruled_content()))
         .withColumn("outcome", F.when(ok, outcome_of(F.col("content"))))
         .drop("nodes", "pieces", "positive", "negative", "negative_keys", "usable", "n_fields")
     )
@@ -105,8 +122,7 @@ def run_batch(
     """Run the whole job on one set of validated records and store its tables under `key`.
 
     The per-page results are written first; documents, storage rows, counters and report are
-    derived from that table, so no page is parsed twice. With a known `size`, `rules` are host rules
-    already.
+    derived from that table, so no page is parsed twice. `size` is that of the rules, if known.
     """
     spark = records.sparkSession
     moment = F.lit(at).cast("timestamp_ntz")
@@ -148,10 +164,10 @@ def start_stream(
 
     Rules are read again once they are older than the refresh interval; empty batches are
     skipped; the batch's tables replace those of an earlier attempt with the same key, and the
-    source offsets are committed after them. A refresh takes a snapshot of the rules by host, so
+    source offsets are committed after them. A refresh takes a snapshot of the rules, so
     rule files may be replaced or removed at any time.
     """
-    lookup = RefreshedLookup(lambda spark: host_rules(load_rules(spark)), refresh_seconds, clock)
+    lookup = RefreshedLookup(load_rules, refresh_seconds, clock)
 
     def on_batch(batch: DataFrame, key: BatchKey) -> None:
         rules, size = lookup.current(batch.sparkSession)

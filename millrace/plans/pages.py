@@ -13,6 +13,7 @@ from millrace.pages import job, templates
 from millrace.pages.elements import elements, with_tree
 from millrace.pages.extract import EMPTY, EXTRACT, NO_MATCH
 from millrace.pages.records import OK, parse_records, validate
+from millrace.pages.rule_index import host_flags
 from millrace.pages.report import documents, host_report, merge_reports, storage_rows
 from millrace.plans.inputs import PAGE_LINES_SQL, page_lines, staged, staged_stream
 from millrace.plans.page_sql import (
@@ -141,7 +142,7 @@ def page_rule_match(spark: SparkSession, sf: str) -> DataFrame:
         url_host("url").alias("host"), F.lit("//html/body/article").alias("xpath"),
         F.lit(True).alias("is_positive"), F.lit("machine").alias("origin"),
     )
-    matched = lookup_join(_records(spark, sf), templates.host_rules(rules), ["host"])
+    matched = lookup_join(_records(spark, sf), host_flags(rules), ["host"])
     return matched.select("page_id", "host", F.col("usable").isNotNull().alias("has_rules"))
 
 
@@ -232,6 +233,12 @@ def _results(spark: SparkSession, sf: str) -> DataFrame:
     return materialized(job.page_results(records, job.learn_rules(records)), "page-results")
 
 
+def _indexed_page_results(spark: SparkSession, sf: str) -> DataFrame:
+    """The same rules through the index, whatever their size."""
+    records = _records(spark, sf)
+    return job.page_results(records, materialized(job.learn_rules(records), "rules"), limit_bytes=-1)
+
+
 EXTRACTED_SQL = f"{RULES_SQL}, {EXTRACT_CTES.strip()}\n"
 
 
@@ -243,6 +250,14 @@ def page_extract_text(spark: SparkSession, sf: str) -> DataFrame:
     return _results(spark, sf).filter(F.col("content").isNotNull()).select("page_id", "content")
 
 
+@query(
+    "page_indexed_rules",
+    f"{EXTRACTED_SQL} SELECT page_id, host, status, outcome, content FROM outcomes",
+)
+def page_indexed_rules(spark: SparkSession, sf: str) -> DataFrame:
+    return _indexed_page_results(spark, sf).select("page_id", "host", "status", "outcome", "content")
+
+
 @query("page_outcome", f"{EXTRACTED_SQL} SELECT page_id, host, status, outcome FROM outcomes")
 def page_outcome(spark: SparkSession, sf: str) -> DataFrame:
     return _results(spark, sf).select("page_id", "host", "status", "outcome")

@@ -9,8 +9,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.runtime import scratch  # noqa: F401
-
 
 def last_batch(spark: SparkSession, checkpoint: str) -> int | None:
     """Number of the last finished batch, by the checkpoint's commits."""

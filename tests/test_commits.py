@@ -188,3 +188,23 @@ def test_windows_wait_for_the_delay(spark, tmp_path):
     assert window_values(sums, spark) == {(0, "a"): 1, (1, "a"): 1}
     with pytest.raises(ValueError):
         InverseWindow(spark, str(tmp_path / "x"), "k", 30, 20)
+
+
+def test_totals_and_changes_from_the_state(spark, tmp_path):
+    from millrace.streaming import jobs, state
+    from millrace.streaming.sources import line_files
+
+    source = tmp_path / "in"
+    source.mkdir()
+    checkpoint = str(tmp_path / "cp")
+    assert state.last_batch(spark, checkpoint) is None
+    for number, text in enumerate(("a a b", "b c", "c")):
+        (source / f"{number}.txt").write_text(text + "\n")
+        jobs.running_total(
+            line_files(spark, str(source)), str(tmp_path / "out"), checkpoint, state_partitions=3
+        ).awaitTermination()
+    totals = {r.word: r.n for r in state.totals(spark, checkpoint, ["word"], {"n": 0}).collect()}
+    assert totals == {"a": 2, "b": 2, "c": 2}
+    last = state.last_batch(spark, checkpoint)
+    changed = state.changed(spark, checkpoint, ["word"], {"n": 0}, last)
+    assert [tuple(r) for r in changed.collect()] == [("c", 2)]
