@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.text import suffix_route
 from millrace.functions import keys as K
 from millrace.operators.counts import lines_of
 from millrace.operators.joins import union_many
-from millrace.operators.offsets import saved_offsets
+from millrace.operators.offsets import as_mapping, reconcile, saved_offsets
 from millrace.plans.inputs import (
     conversation_lines,
     event_lines,
@@ -18,9 +18,11 @@ from millrace.plans.inputs import (
 )
 from millrace.plans.registry import query, table
 from millrace.plans.tables import _tokens_sql
-from millrace.runtime import scratch
+from millrace.runtime import materialized, scratch
 from millrace.sinks.ledger import newest, read_batches, summed
 from millrace.sources.files import read_dictionary
+from millrace.sources.partition_log import append_log, read_log
+from millrace.sources.queue import offsets_json
 from millrace.streaming import jobs, state
 from millrace.streaming.sources import line_files, table_files
 from millrace.streaming.windows import InverseWindow
@@ -440,3 +442,61 @@ def offset_ledger(spark: SparkSession, sf: str) -> DataFrame:
     work = jobs.to_ledger(scratch(spark, "work"))
     _run(jobs.offset_ledger, stream, work, ledger, checkpoint)
     return saved_offsets(read_batches(spark, ledger))
+
+
+#: Events of a log partition, and offsets of a segment.
+LOG_EVENTS, LOG_SEGMENT = 5_000, 1_000
+
+
+@query(
+    "stream_log_offsets",
+    f"""
+WITH e AS (SELECT event_type AS topic, CAST(coalesce(floor(event_id / {LOG_EVENTS}), 0) AS INTEGER) AS partition FROM events),
+c AS (SELECT topic, partition, count(*) AS n FROM e GROUP BY ALL),
+s AS (SELECT *, CASE WHEN partition % 2 = 0 THEN n // 3 ELSE 0 END AS first_offset FROM c)
+SELECT topic, partition, first_offset, n - 1 AS last_offset, n - first_offset AS n, n - first_offset AS n_offsets,
+       n AS saved FROM s
+""",
+)
+def stream_log_offsets(spark: SparkSession, sf: str) -> DataFrame:
+    """A log read from saved offsets, ended when it has read all, and gone on with when more has come.
+
+    Even partitions have saved offsets, a third into what is there; the others start at their earliest. The
+    second query takes over from the ledger that the first one has written.
+    """
+    events = table(spark, sf, "events")
+    place = F.coalesce(F.floor(F.col("event_id") / LOG_EVENTS), F.lit(0)).cast("int")
+    by_id = Window.partitionBy("topic", "partition").orderBy("event_id")  # at most LOG_EVENTS rows
+    records = materialized(
+        events.select(
+            F.col("event_type").alias("topic"), place.alias("partition"), "event_id",
+            F.col("user_id").cast("string").alias("key"), F.col("event_id").cast("string").alias("value"),
+        ).withColumn("offset", (F.row_number().over(by_id) - 1).cast("long")).drop("event_id"),
+        "log-records",
+    )
+    counts = records.groupBy("topic", "partition").agg(F.count("*").alias("n"))
+    saved = counts.filter("partition % 2 = 0").select("topic", "partition", F.floor(F.col("n") / 3).alias("offset"))
+    earliest = counts.select("topic", "partition", F.lit(0).cast("long").alias("offset"))
+    starts = as_mapping(reconcile(saved, earliest))
+    path, (out, checkpoint) = scratch(spark, "log"), _out(spark, "log-read")
+    ledger = scratch(spark, "log-ledger")
+    if not starts:
+        return spark.createDataFrame([], "topic string, partition int, first_offset long, last_offset long, "
+                                         "n long, n_offsets long, saved long")
+    limit = max(1, records.count() // 3)
+    for arriving in (F.col("offset") < LOG_SEGMENT // 2, F.col("offset") >= LOG_SEGMENT // 2):
+        append_log(records.filter(arriving), path, LOG_SEGMENT)
+        lines = read_log(
+            spark, path, subscribe=",".join(starts), startingOffsets=offsets_json(starts),
+            maxOffsetsPerTrigger=str(limit), segment=str(LOG_SEGMENT),
+        )
+        running = jobs.offset_ledger(lines, jobs.to_ledger(out), ledger, checkpoint, {"processingTime": "0 seconds"})
+        running.processAllAvailable()
+        running.stop()
+        starts = as_mapping(saved_offsets(read_batches(spark, ledger)))
+    read = read_batches(spark, out).groupBy("topic", "partition").agg(
+        F.min("offset").alias("first_offset"), F.max("offset").alias("last_offset"),
+        F.count("*").alias("n"), F.countDistinct("offset").alias("n_offsets"),
+    )
+    reached = saved_offsets(read_batches(spark, ledger)).withColumnRenamed("offset", "saved")
+    return read.join(reached, ["topic", "partition"])

@@ -292,11 +292,13 @@ def hourly_append(
     return start(lines, store, checkpoint)
 
 
-def offset_ledger(records: DataFrame, work: BatchWork, ledger: str, checkpoint: str) -> StreamingQuery:
+def offset_ledger(
+    records: DataFrame, work: BatchWork, ledger: str, checkpoint: str, trigger: dict | None = None
+) -> StreamingQuery:
     """Do the batch's work, then store its offset ranges: at least once, never ahead of the work."""
 
     def both(batch: DataFrame, key: BatchKey) -> None:
         work(batch, key)
         put_batch(offset_ranges(batch), ledger, key)
 
-    return start(records, both, checkpoint)
+    return start(records, both, checkpoint, trigger=trigger)
