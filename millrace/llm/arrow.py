@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -35,6 +37,13 @@ def pieces(batch: pa.RecordBatch, weigh: str, limit: int = CHUNK_BYTES) -> Itera
     yield batch.slice(start)
 
 
+def release() -> None:
+    """Give memory that a task no longer uses back to the machine; workers live on for other tasks."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):  # other C libraries have no such call
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def carry_map(
     df: DataFrame,
     start: Callable[[], Callable[[pa.RecordBatch], list]],
@@ -72,7 +81,7 @@ def carry_map(
                 yield pa.RecordBatch.from_arrays(
                     [part.column(i) for i in range(n)] + made, names=carried + shape.names
                 )
-        pa.default_memory_pool().release_unused()
+        release()
 
     return sent.mapInArrow(work, out)
 

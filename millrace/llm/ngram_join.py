@@ -8,6 +8,7 @@
    has T empty parts; those that do send keys for their empty parts too, so nothing is lost. Of keys
    that many sets have (a shared passage), a set leaves out its T - 1 hottest: with T in common
    one is left to both.
+   Chains that are too large for a block even so are chained anew by the rarest shingles of their sets.
 3. Chains of candidates are gathered into blocks of bounded size: many small chains share one, a
    large chain is split by set size and hash into blocks that are met in pairs.
 4. In a block, inverted lists from shingle to sets answer each set's query with DivideSkip: the
@@ -36,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import as_bytes, pieces
+from millrace.llm.arrow import as_bytes, pieces, release
 from millrace.llm.graph import components
 from millrace.runtime import lookup_join, materialized, owned_scratch, scratch
 
@@ -54,6 +55,8 @@ USUAL_SIZE = 256
 #: Text bytes shingled at once, or one text.
 PIECE_BYTES = 1 << 20
 BLOCK_SHINGLES = 1 << 21
+#: Slots of the sketch that orders shingles by frequency, and how many travel in one row.
+SLOTS, SLOT_CHUNK = 1 << 20, 1 << 16
 #: Names from which on a key is hot: sets leave out as many of their hottest keys as they can spare.
 HOT_NAMES = 16
 #: Entries of short lists up to which a heap merges them; more are sorted at once.
@@ -327,6 +330,7 @@ def candidates(docs: DataFrame, buckets: int, width: int, parts: Parts) -> DataF
                 )
                 where = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
                 yield packs(KEYS, where, np.hstack([low_bytes(keys, KEY_BYTES), low_bytes(names, NAME_BYTES), tags]))
+        release()
 
     def bytes_of(table: pa.Table, kind: int, width: int) -> np.ndarray:
         packed = table.filter(pa.compute.equal(table.column("kind"), kind)).column("payload").to_pylist()
@@ -340,7 +344,9 @@ def candidates(docs: DataFrame, buckets: int, width: int, parts: Parts) -> DataF
             rows = bytes_of(table, kind, row_bytes)
             if not len(rows):
                 return rest
-            return pa.concat_tables([rest, pa.Table.from_batches(work(rows)).cast(table.schema)])
+            made = pa.Table.from_batches(work(rows)).cast(table.schema)
+            release()
+            return pa.concat_tables([rest, made])
 
         return meet
 
@@ -485,6 +491,134 @@ def linked_in_block(
     return found
 
 
+def sketched(sets: DataFrame) -> np.ndarray:
+    """Shingles counted in SLOTS slots over all sets: an order of shingles, about by their frequency."""
+
+    def count(batches):
+        slots = np.zeros(SLOTS, np.uint16)
+        for batch in batches:
+            rows = [np.frombuffer(b, np.uint64) for b in batch.column("shingles").to_pylist()]
+            if rows:
+                at, n = np.unique(slot_of(np.concatenate(rows)), return_counts=True)
+                slots[at] = np.minimum(slots[at].astype(np.int64) + n, 65_535)
+        for i in range(0, SLOTS, SLOT_CHUNK):
+            part = slots[i : i + SLOT_CHUNK]
+            yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([part.tobytes()])], names=["at", "counts"])
+
+    def add(table: pa.Table) -> pa.Table:
+        total = np.zeros(SLOT_CHUNK, np.int64)
+        for b in table.column("counts").to_pylist():
+            total += np.frombuffer(b, np.uint16)
+        return pa.table({"at": table.column("at").slice(0, 1), "counts": [total.tobytes()]})
+
+    parts = sets.select("shingles").mapInArrow(count, "at long, counts binary")
+    out = np.zeros(SLOTS, np.int64)  # a fixed size, whatever the input's
+    for r in parts.groupBy("at").applyInArrow(add, "at long, counts binary").toLocalIterator():
+        out[r["at"] : r["at"] + SLOT_CHUNK] = np.frombuffer(r["counts"], np.int64)
+    return out
+
+
+def slot_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> np.uint64(64 - SLOTS.bit_length() + 1)).astype(np.int64)
+
+
+def rarest(shingles: np.ndarray, counts: np.ndarray, percent: int, over: int) -> np.ndarray:
+    """The shingles left when a set leaves out as many of its commonest as it can spare.
+
+    A set of n shingles shares at least n * percent / over with a partner, so of those m shared ones
+    both may leave out the m - 1 commonest: all sets order shingles alike.
+    """
+    keep = len(shingles) - -(-percent * len(shingles) // over) + 1
+    order = np.lexsort((shingles, counts[slot_of(shingles)]))
+    return shingles[order[:keep]]
+
+
+def rare_edges(sets: DataFrame, buckets: int, percent: int, over: int) -> DataFrame:
+    """Stored candidate edges (a, b) of names of sets that share one of their rarest shingles."""
+    counts = sets.sparkSession.sparkContext.broadcast(sketched(sets))
+
+    def send(batches):
+        for batch in batches:
+            own = [
+                rarest(np.frombuffer(b, np.uint64), counts.value, percent, over)
+                for b in batch.column("shingles").to_pylist()
+            ]
+            if not own:
+                continue
+            keys = np.concatenate(own)
+            names = np.repeat(batch.column("name").to_numpy(), [len(k) for k in own])
+            where = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+            yield packs(KEYS, where, np.hstack([low_bytes(keys, KEY_BYTES), low_bytes(names, NAME_BYTES)]))
+
+    def meet(table: pa.Table) -> pa.Table:
+        rows = np.frombuffer(b"".join(table.column("payload").to_pylist()), np.uint8)
+        rows = rows.reshape(-1, KEY_BYTES + NAME_BYTES)
+        keys, names = from_bytes(rows[:, :KEY_BYTES]), from_bytes(rows[:, KEY_BYTES:])
+        order = np.lexsort((names, keys))
+        keys, names = keys[order], names[order]
+        first = np.r_[True, keys[1:] != keys[:-1]]
+        low = names[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
+        other = names != low
+        return pa.Table.from_batches([edge_rows(names[other], low[other], buckets)]).select(["a", "b"])
+
+    met = sets.mapInArrow(send, FOUND).groupBy("bucket").applyInArrow(meet, "a long, b long")
+    return materialized(met, "join-rare")
+
+
+def with_shingles(docs: DataFrame, wanted: DataFrame, width: int, carry: dict[str, str]) -> DataFrame:
+    """Shingles of wanted sets (id, digest and carried columns); a row of the same id with another text
+    is not meant."""
+    texts = lookup_join(docs.filter("id IS NOT NULL"), wanted, ["id"], "inner")
+    names = [*carry]
+
+    def gather(batches):
+        for batch in batches:
+            for part in pieces(batch, "text", PIECE_BYTES):
+                made = shingle_sets(as_bytes(part.column("text")), width)
+                keep = [
+                    i for i, (s, d) in enumerate(zip(made, part.column("digest").to_pylist()))
+                    if len(s) and xxhash.xxh3_128_digest(s.tobytes()) == d
+                ]
+                rest = part.select(names).take(pa.array(keep, pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [*rest.columns, pa.array([made[i].tobytes() for i in keep], pa.binary())],
+                    names=[*names, "shingles"],
+                )
+        release()
+
+    shape = ", ".join([*(f"{c} {t}" for c, t in carry.items()), "shingles binary"])
+    return texts.select("text", "digest", *names).mapInArrow(gather, shape)
+
+
+def refined(docs: DataFrame, chained: DataFrame, width: int, percent: int, over: int) -> DataFrame:
+    """Chains too large for a block are chained anew, by the rarest shingles of their sets alone.
+
+    Sets that were linked stay in one chain; the others mostly part. What stays too large after its
+    sets have stopped becoming fewer is met in pairs of blocks.
+    """
+    columns, last = chained.columns, None
+    while True:
+        mass = chained.groupBy("cluster").agg(F.sum("n").alias("mass")).filter(F.col("mass") > BLOCK_SHINGLES)
+        mass = materialized(mass, "join-mass")
+        total = mass.agg(F.sum("mass")).first()[0] or 0
+        if not total or (last is not None and 2 * total > last):
+            return chained
+        last = total
+        marked = chained.join(F.broadcast(mass.select("cluster", F.lit(True).alias("large"))), "cluster", "left")
+        marked = materialized(marked, "join-marked")  # fewer large chains than blocks
+        large = marked.filter("large")
+        sets = materialized(
+            with_shingles(
+                docs, materialized(large.select("id", "digest", "name"), "join-large"), width, {"name": "long"}
+            ),
+            "join-large-sets",
+        )
+        edges = rare_edges(sets, max(8, total // 4 // BUCKET_ENTRIES), percent, over)
+        parts = components(edges).select(F.col("node").alias("name"), F.col("component").alias("part"))
+        again = large.join(parts, "name").withColumn("cluster", F.col("part")).select(*columns)
+        chained = materialized(marked.filter("large IS NULL").select(*columns).unionByName(again), "join-refined")
+
+
 def block_table(chains: DataFrame) -> tuple[DataFrame, int]:
     """Blocks (cluster, step, slots) of chains too large for one block; packs for the others.
 
@@ -511,10 +645,11 @@ def links(
     step = F.floor(F.log("n") / math.log(CLASS_FACTOR)).cast("int")
     chained_sets = materialized(
         sets.join(chains, "name").select(
-            "rep", "id", "digest", "n", "copies", "cluster", step.alias("step")
+            "rep", "id", "digest", "n", "copies", "name", "cluster", step.alias("step")
         ),
         "join-chains",
     )
+    chained_sets = refined(docs, chained_sets, width, percent, over)
     blocks, packs = block_table(chained_sets)
     blocks = materialized(blocks, "join-blocks")
     one = blocks.select("cluster", "step", "low", "high",
@@ -550,27 +685,8 @@ def links(
         .select("rep", "id", "digest", "copies", "seats")
     )
     wanted = materialized(packed.unionByName(split), "join-wanted")
-    texts = lookup_join(docs.filter("id IS NOT NULL"), wanted, ["id"], "inner").select(
-        "rep", "text", "digest", "copies", "seats"
-    )
-
-    def gather(batches):
-        """Shingles of the wanted sets; a row of the same id with another text is not meant."""
-        for batch in batches:
-            for part in pieces(batch, "text", PIECE_BYTES):
-                made = shingle_sets(as_bytes(part.column("text")), width)
-                keep = [
-                    i for i, (s, d) in enumerate(zip(made, part.column("digest").to_pylist()))
-                    if len(s) and xxhash.xxh3_128_digest(s.tobytes()) == d
-                ]
-                rest = part.select(["rep", "copies", "seats"]).take(pa.array(keep, pa.int64()))
-                yield pa.RecordBatch.from_arrays(
-                    [*rest.columns, pa.array([made[i].tobytes() for i in keep], pa.binary())],
-                    names=["rep", "copies", "seats", "shingles"],
-                )
-
-    seated = texts.mapInArrow(
-        gather, "rep long, copies long, seats array<struct<task string, side int>>, shingles binary"
+    seated = with_shingles(
+        docs, wanted, width, {"rep": "long", "copies": "long", "seats": "array<struct<task string, side int>>"}
     ).select("rep", "copies", "shingles", F.explode("seats").alias("seat")).select(
         "rep", "copies", "shingles", "seat.task", "seat.side"
     )
@@ -585,6 +701,8 @@ def links(
         found = linked_in_block([r[2] for r in order], percent, over, copies, side)
         counts, some = found.counts, np.flatnonzero(found.counts)
         pairs = np.array(found.pairs, np.int64).reshape(-1, 2)
+        del found, rows, order
+        release()
         return pa.table({
             "a": pa.array(np.r_[ids[pairs[:, 0]], ids[some]]),
             "b": pa.array([*ids[pairs[:, 1]].tolist(), *[None] * len(some)], pa.int64()),

@@ -265,6 +265,25 @@ def test_poor_sets_share_keys_of_empty_parts():
     assert np.intersect1d(parts.keys(crowded)[0], parts.keys(crowded + np.uint64(3))[0]).size
 
 
+def test_linked_sets_share_one_of_their_rarest_shingles():
+    rng = np.random.default_rng(11)
+    counts = rng.integers(0, 5, ngram_join.SLOTS)
+    tried = 0
+    for size in (1, 2, 5, 9, 10, 40, 300):
+        for _ in range(80):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            out = rng.integers(0, size // 4 + 1)
+            gone = rng.integers(0, out + 1)
+            b = np.unique(np.r_[rng.permutation(a)[gone:], rng.integers(0, 2**64, out - gone, dtype=np.uint64)])
+            shared = len(np.intersect1d(a, b))
+            if len(b) and 100 * shared >= 80 * (len(a) + len(b) - shared):
+                tried += 1
+                kept = [ngram_join.rarest(x, counts, 80, 100) for x in (a, b)]
+                assert len(np.intersect1d(*kept))
+                assert len(kept[0]) <= len(a) // 5 + 1
+    assert tried > 200
+
+
 def test_merge_skip_equals_counting():
     rng = random.Random(2)
     for _ in range(300):
