@@ -33,7 +33,7 @@ from millrace.plans.registry import query, table
 from millrace.runtime import materialized, scratch
 from millrace.sinks.commits import CommittedTable
 from millrace.sinks import files as sinks
-from millrace.sinks import keyed
+from millrace.sinks import keyed, puts
 from millrace.sources import catalog, files
 from millrace.sources import queue as Q
 
@@ -703,6 +703,16 @@ def kv_put_partitions(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema(rows.schema).json(folder)
 
 
+@query("kv_put_commit", UPSERT_SQL)
+def kv_put_commit(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sets of puts through committing writers; the table is the newest row of each key."""
+    folder = scratch(spark, "committed-puts")
+    first, second = _puts(spark, sf)
+    for rows in (first, second):
+        puts.put_rows(rows, folder)
+    return keyed.latest(puts.read_puts(spark, folder, first.schema))
+
+
 @query(
     "kv_bulk_sorted",
     "SELECT DISTINCT 'spark_load_' || l_orderkey AS rowkey FROM lineitem",
