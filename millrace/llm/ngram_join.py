@@ -1,14 +1,12 @@
 """N-gram Jaccard join by T-occurrence search.
 
 1. Texts become sets of word-shingle digests; equal sets are one node from then on.
-2. A link leaves at most H different shingles between two sets, so of H + T parts of the digest
-   space at least T hold equal shingles in both. Each set sends one key per part (and size class it
-   may meet a partner in); keys meet in buckets, each sorted alone, and sets with a common key
-   are candidates, chained to the smallest instead of paired. T is chosen so that hardly any set
-   has T empty parts; those that do send keys for their empty parts too, so nothing is lost. Of keys
-   that many sets have (a shared passage), a set leaves out its T - 1 hottest: with T in common
-   one is left to both.
-   Chains that are too large for a block even so are chained anew by the rarest shingles of their sets.
+2. A set of n shingles shares at least n * percent / over of them with a partner, so it can leave out
+   all but one of that number. Sets order shingles alike, about by frequency, and leave out their commonest:
+   the rarest common one is left to both. The order comes from a sketch of fixed size, counted over all
+   sets; any order gives all links, a good one few candidates. Shingles meet in buckets, each sorted
+   alone, and sets that share one are candidates, chained to the smallest instead of paired.
+   Chains that are too large for a block are chained anew, by an order of their own shingles.
 3. Chains of candidates are gathered into blocks of bounded size: many small chains share one, a
    large chain is split by set size and hash into blocks that are met in pairs.
 4. In a block, inverted lists from shingle to sets answer each set's query with DivideSkip: the
@@ -44,10 +42,6 @@ from millrace.runtime import lookup_join, materialized, owned_scratch, scratch
 WORDS_PER_SHINGLE = 3
 #: A link needs OVER * shared >= PERCENT * united shingles.
 PERCENT, OVER = 90, 100
-#: Sizes below this have a class of their own; above, a class spans this factor.
-SINGLE_SIZES, CLASS_FACTOR = 64, 1.12
-#: A set has T empty parts with at most this probability.
-POOR = 1e-5
 #: Entries per bucket and shingles per block, about.
 BUCKET_ENTRIES = 1 << 20
 #: A usual number of shingles of a text, for the number of buckets.
@@ -57,8 +51,8 @@ PIECE_BYTES = 1 << 20
 BLOCK_SHINGLES = 1 << 21
 #: Slots of the sketch that orders shingles by frequency, and how many travel in one row.
 SLOTS, SLOT_CHUNK = 1 << 20, 1 << 16
-#: Names from which on a key is hot: sets leave out as many of their hottest keys as they can spare.
-HOT_NAMES = 16
+#: Ratio of the sizes in a step; a chain too large for a block is split by steps.
+STEP_FACTOR = 1.12
 #: Entries of short lists up to which a heap merges them; more are sorted at once.
 HEAP_ENTRIES = 1 << 10
 
@@ -132,77 +126,6 @@ def needed(size: int, other: int, percent: int = PERCENT, over: int = OVER) -> i
     return -(-percent * (size + other) // (over + percent))
 
 
-class Parts:
-    """How sets of a size class are cut: differences allowed, parts, and needed equal parts."""
-
-    def __init__(self, percent: int, over: int):
-        self.percent, self.over = percent, over
-        self.bounds = [*range(1, SINGLE_SIZES)]
-        self.cuts: dict[int, tuple[int, int]] = {}
-
-    def class_of(self, size: int) -> int:
-        while self.bounds[-1] <= size:
-            self.bounds.append(
-                self.bounds[-1] + 1 if len(self.bounds) < SINGLE_SIZES
-                else max(self.bounds[-1] + 1, int(self.bounds[-1] * CLASS_FACTOR))
-            )
-        return int(np.searchsorted(self.bounds, size, "right")) - 1
-
-    def classes(self, size: int) -> range:
-        """Classes in which a set of this size may be the larger one, and its own."""
-        smallest = -(-self.percent * size // self.over)
-        return range(self.class_of(max(smallest, 1)), self.class_of(size) + 1)
-
-    def cut(self, c: int) -> tuple[int, int]:
-        """Parts and needed equal parts T of class c."""
-        if c not in self.cuts:
-            self.class_of(self.bounds[c])
-            low, high = self.bounds[c], self.bounds[c + 1] - 1
-            differences = high * (self.over - self.percent) // self.percent
-            best = None
-            for t in range(1, 100):
-                parts = differences + t
-                mean = parts * math.exp(-low / parts)
-                tail = 1.0 - sum(
-                    math.exp(k * math.log(mean) - mean - math.lgamma(k + 1)) for k in range(t)
-                )
-                if best is None or tail < best[0]:
-                    best = (tail, parts, t)
-                if tail <= POOR:
-                    break
-            self.cuts[c] = best[1:]
-        return self.cuts[c]
-
-    def rate(self, size: int) -> float:
-        """Keys per shingle of a set of this size, about."""
-        cuts = [self.cut(c)[0] for c in self.classes(size)]
-        return sum(parts * -math.expm1(-size / parts) for parts in cuts) / size
-
-    def keys(self, shingles: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """One key per non-empty part and class, also for empty parts where T or more are empty; and a
-        tag of two bytes for each: its class, and how many keys of that class the set can do without.
-
-        Linked sets have T equal parts. At most the empty ones of those have no key, so a set with
-        e < T empty parts has T - e keys in common with any partner.
-        """
-        out, tags, scrambled = [], [], mixed(shingles)
-        high = shingles >> np.uint64(32)
-        for c in self.classes(len(shingles)):
-            parts, t = self.cut(c)
-            part = (high * np.uint64(parts)) >> np.uint64(32)
-            first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
-            sums = np.add.reduceat(scrambled, first)
-            names = part[first]
-            spare = t - (parts - len(names)) - 1
-            if spare < 0:
-                empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), names)
-                names = np.r_[names, empty]
-                sums = np.r_[sums, np.zeros(len(empty), np.uint64)]
-            out.append(mixed(sums + mixed(names + np.uint64((c + 1) << 32))))
-            tags.append(np.full((len(names), 2), (c % 256, max(spare, 0)), np.uint8))
-        return np.concatenate(out), np.concatenate(tags)
-
-
 def set_name(digest: bytes) -> int:
     """A 48-bit name of a set for candidate search; two sets of one name only add a candidate."""
     return int.from_bytes(digest[:NAME_BYTES], "little")
@@ -220,7 +143,7 @@ def from_bytes(rows: np.ndarray) -> np.ndarray:
 
 
 FOUND = "kind int, bucket int, id long, n long, digest binary, payload binary, a long, b long"
-MEMBER, KEYS, EDGE, HOT = 0, 1, 2, 3
+MEMBER, KEYS, EDGE = 0, 1, 2
 #: Bytes of a key (besides its bucket) and of a set's name, as sent.
 KEY_BYTES, NAME_BYTES = 5, 6
 
@@ -254,64 +177,54 @@ def edge_rows(a: np.ndarray, b: np.ndarray, buckets: int) -> pa.RecordBatch:
     return _found(EDGE, len(a), a=a, b=b, bucket=np.arange(len(a), dtype=np.int32) % buckets)
 
 
-def met_keys(rows: np.ndarray, buckets: int) -> list[pa.RecordBatch]:
-    """One bucket of (key, name, tag): edges from the names of a key to its smallest one. Of a key with
-    many names, each name is sent on to decide whether it keeps the key."""
-    keys, names = from_bytes(rows[:, :KEY_BYTES]), from_bytes(rows[:, KEY_BYTES:-2])
+def met_keys(rows: np.ndarray, buckets: int) -> pa.RecordBatch:
+    """Edges of one bucket of (key, name): from the names of a key to its smallest one."""
+    keys, names = from_bytes(rows[:, :KEY_BYTES]), from_bytes(rows[:, KEY_BYTES:])
     order = np.lexsort((names, keys))
-    keys, names, tags = keys[order], names[order], rows[order, -2:]
-    new_key = np.r_[True, keys[1:] != keys[:-1]]
-    once = new_key | np.r_[True, names[1:] != names[:-1]]
-    keys, names, tags, new_key = keys[once], names[once], tags[once], new_key[once]
-    first = np.flatnonzero(new_key)
-    group = np.cumsum(new_key) - 1
-    count = np.diff(np.r_[first, len(keys)])[group]
-    low = names[first][group]
-    few = (count < HOT_NAMES) & (names != low)
-    out = [edge_rows(names[few], low[few], buckets)]
-    many = count >= HOT_NAMES
-    if many.any():
-        names = names[many]
-        heat = np.log2(count[many]).astype(np.uint8)[:, None]
-        sent = np.hstack([
-            low_bytes(names, NAME_BYTES), low_bytes(low[many], NAME_BYTES), heat,
-            low_bytes(keys[many], KEY_BYTES), tags[many],
-        ])
-        out.append(packs(HOT, names % buckets, sent))
-    return out
+    keys, names = keys[order], names[order]
+    first = np.r_[True, keys[1:] != keys[:-1]]
+    low = names[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
+    other = names != low
+    return edge_rows(names[other], low[other], buckets)
 
 
-def kept_keys(rows: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Edges of the hot keys that their sets keep.
+def sent_keys(
+    names: np.ndarray, sets: list[np.ndarray], counts: np.ndarray, buckets: int, percent: int, over: int
+) -> pa.RecordBatch:
+    """The rarest shingles of sets, each with the set's name, by bucket."""
+    own = [rarest(s, counts, percent, over) for s in sets]
+    keys = np.concatenate(own)
+    names = np.repeat(names, [len(k) for k in own])
+    where = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
+    return packs(KEYS, where, np.hstack([low_bytes(keys, KEY_BYTES), low_bytes(names, NAME_BYTES)]))
 
-    With m common keys, two sets still share one when each leaves out its m - 1 hottest: all sets
-    order keys alike, and the coldest common key is behind the others. A tie leaves out fewer.
-    """
-    n = NAME_BYTES
-    names, low = from_bytes(rows[:, :n]), from_bytes(rows[:, n : 2 * n])
-    order_of = (255 - rows[:, 2 * n]).astype(np.int64) << 40 | from_bytes(rows[:, 2 * n + 1 : -2])
-    kind, spare = rows[:, -2].astype(np.int64), rows[:, -1].astype(np.int64)
-    order = np.lexsort((order_of, kind, names))
-    names, low, order_of, kind, spare = (x[order] for x in (names, low, order_of, kind, spare))
-    new = np.r_[True, (names[1:] != names[:-1]) | (kind[1:] != kind[:-1])]
-    first = np.flatnonzero(new)
-    sizes, spare = np.diff(np.r_[first, len(names)]), np.minimum.reduceat(spare, first)
-    # The key at place `spare` is the first one kept, with all that tie with it.
-    bound = np.where(spare < sizes, order_of[np.minimum(first + spare, first + sizes - 1)], 1 << 62)
-    kept = (order_of >= bound[np.cumsum(new) - 1]) & (names != low)
-    return edge_rows(names[kept], low[kept], buckets)
-
-
-def candidates(docs: DataFrame, buckets: int, width: int, parts: Parts) -> DataFrame:
+
+def packed_keys(table: pa.Table) -> np.ndarray:
+    payloads = table.filter(pa.compute.equal(table.column("kind"), KEYS)).column("payload").to_pylist()
+    return np.frombuffer(b"".join(payloads), np.uint8).reshape(-1, KEY_BYTES + NAME_BYTES)
+
+
+def sets_of_texts(batch: pa.RecordBatch, width: int):
+    """Pieces of a batch of (id, text), with all their sets and digests."""
+    for part in pieces(batch, "text", PIECE_BYTES):
+        sets = shingle_sets(as_bytes(part.column(1)), width)
+        yield part, sets, [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
+
+
+def candidates(docs: DataFrame, buckets: int, width: int, percent: int, over: int) -> DataFrame:
     """Stored rows of two kinds: members (id, n, digest and a, the set's name), and edges (a, b)
     between set names."""
 
+    def distinct(batch):
+        for _, sets, digests in sets_of_texts(batch, width):
+            yield [*{d: s for d, s in zip(digests, sets) if d}.values()]
+
+    counts = docs.sparkSession.sparkContext.broadcast(sketched(docs, distinct))
+
     def send(batches):
         for batch in batches:
-            for part in pieces(batch, "text", PIECE_BYTES):
+            for part, sets, digests in sets_of_texts(batch, width):
                 ids = part.column(0)
-                sets = shingle_sets(as_bytes(part.column(1)), width)
-                digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 place = [int.from_bytes(d[:4], "little") * buckets >> 32 if d else 0 for d in digests]
                 yield _found(
                     MEMBER, len(sets), bucket=pa.array(place, pa.int32()), id=ids,
@@ -321,44 +234,22 @@ def candidates(docs: DataFrame, buckets: int, width: int, parts: Parts) -> DataF
                 seen = {
                     d: s for d, s, i in zip(digests, sets, ids.is_valid().to_pylist()) if d and i
                 }
-                if not seen:
-                    continue
-                own = [parts.keys(s) for s in seen.values()]
-                keys, tags = (np.concatenate(x) for x in zip(*own))
-                names = np.repeat(
-                    np.array([set_name(d) for d in seen], np.int64), [len(k) for k, _ in own]
-                )
-                where = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-                yield packs(KEYS, where, np.hstack([low_bytes(keys, KEY_BYTES), low_bytes(names, NAME_BYTES), tags]))
+                if seen:
+                    names = np.array([set_name(d) for d in seen], np.int64)
+                    yield sent_keys(names, [*seen.values()], counts.value, buckets, percent, over)
         release()
 
-    def bytes_of(table: pa.Table, kind: int, width: int) -> np.ndarray:
-        packed = table.filter(pa.compute.equal(table.column("kind"), kind)).column("payload").to_pylist()
-        return np.frombuffer(b"".join(packed), np.uint8).reshape(-1, width)
-
-    def meeting(kind: int, row_bytes: int, work):
-        """One bucket: rows of the kind meet there alone, the others pass."""
-
-        def meet(table: pa.Table) -> pa.Table:
-            rest = table.filter(pa.compute.not_equal(table.column("kind"), kind))
-            rows = bytes_of(table, kind, row_bytes)
-            if not len(rows):
-                return rest
-            made = pa.Table.from_batches(work(rows)).cast(table.schema)
-            release()
-            return pa.concat_tables([rest, made])
-
-        return meet
+    def meet(table: pa.Table) -> pa.Table:
+        """One bucket: its keys are met alone; members, spread by digest, pass."""
+        rest = table.filter(pa.compute.not_equal(table.column("kind"), KEYS))
+        rows = packed_keys(table)
+        if not len(rows):
+            return rest
+        made = pa.Table.from_batches([met_keys(rows, buckets)]).cast(table.schema)
+        release()
+        return pa.concat_tables([rest, made])
 
-    sent = docs.mapInArrow(send, FOUND)
-    # Members and edges need no meeting: they only ride along, spread by digest and by number.
-    met = sent.groupBy("bucket").applyInArrow(
-        meeting(KEYS, KEY_BYTES + NAME_BYTES + 2, lambda rows: met_keys(rows, buckets)), FOUND
-    )
-    kept = met.groupBy("bucket").applyInArrow(
-        meeting(HOT, KEY_BYTES + 2 * NAME_BYTES + 3, lambda rows: [kept_keys(rows, buckets)]), FOUND
-    )
-    return materialized(kept, "join-found")
+    return materialized(docs.mapInArrow(send, FOUND).groupBy("bucket").applyInArrow(meet, FOUND), "join-found")
 
 
 def merge_skip(lists: list[list[int]], least: int) -> tuple[list[int], list[int]]:
@@ -491,19 +382,21 @@ def linked_in_block(
     return found
 
 
-def sketched(sets: DataFrame) -> np.ndarray:
-    """Shingles counted in SLOTS slots over all sets: an order of shingles, about by their frequency."""
+def sketched(rows: DataFrame, sets_of) -> np.ndarray:
+    """Shingles counted in SLOTS slots over all sets: an order of shingles, about by their frequency.
+    `sets_of` gives the lists of sets of a batch."""
 
     def count(batches):
         slots = np.zeros(SLOTS, np.uint16)
         for batch in batches:
-            rows = [np.frombuffer(b, np.uint64) for b in batch.column("shingles").to_pylist()]
-            if rows:
-                at, n = np.unique(slot_of(np.concatenate(rows)), return_counts=True)
-                slots[at] = np.minimum(slots[at].astype(np.int64) + n, 65_535)
+            for sets in sets_of(batch):
+                if sets:
+                    at, n = np.unique(slot_of(np.concatenate(sets)), return_counts=True)
+                    slots[at] = np.minimum(slots[at].astype(np.int64) + n, 65_535)
         for i in range(0, SLOTS, SLOT_CHUNK):
             part = slots[i : i + SLOT_CHUNK]
             yield pa.RecordBatch.from_arrays([pa.array([i]), pa.array([part.tobytes()])], names=["at", "counts"])
+        release()
 
     def add(table: pa.Table) -> pa.Table:
         total = np.zeros(SLOT_CHUNK, np.int64)
@@ -511,7 +404,7 @@ def sketched(sets: DataFrame) -> np.ndarray:
             total += np.frombuffer(b, np.uint16)
         return pa.table({"at": table.column("at").slice(0, 1), "counts": [total.tobytes()]})
 
-    parts = sets.select("shingles").mapInArrow(count, "at long, counts binary")
+    parts = rows.mapInArrow(count, "at long, counts binary")
     out = np.zeros(SLOTS, np.int64)  # a fixed size, whatever the input's
     for r in parts.groupBy("at").applyInArrow(add, "at long, counts binary").toLocalIterator():
         out[r["at"] : r["at"] + SLOT_CHUNK] = np.frombuffer(r["counts"], np.int64)
@@ -534,32 +427,22 @@ def rarest(shingles: np.ndarray, counts: np.ndarray, percent: int, over: int) ->
 
 
 def rare_edges(sets: DataFrame, buckets: int, percent: int, over: int) -> DataFrame:
-    """Stored candidate edges (a, b) of names of sets that share one of their rarest shingles."""
-    counts = sets.sparkSession.sparkContext.broadcast(sketched(sets))
+    """Stored candidate edges (a, b) of stored sets, by an order of their own shingles alone."""
+
+    def stored(batch):
+        yield [np.frombuffer(b, np.uint64) for b in batch.column("shingles").to_pylist()]
+
+    counts = sets.sparkSession.sparkContext.broadcast(sketched(sets.select("shingles"), stored))
 
     def send(batches):
         for batch in batches:
-            own = [
-                rarest(np.frombuffer(b, np.uint64), counts.value, percent, over)
-                for b in batch.column("shingles").to_pylist()
-            ]
-            if not own:
-                continue
-            keys = np.concatenate(own)
-            names = np.repeat(batch.column("name").to_numpy(), [len(k) for k in own])
-            where = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-            yield packs(KEYS, where, np.hstack([low_bytes(keys, KEY_BYTES), low_bytes(names, NAME_BYTES)]))
+            own = next(stored(batch))
+            if own:
+                yield sent_keys(batch.column("name").to_numpy(), own, counts.value, buckets, percent, over)
+        release()
 
     def meet(table: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(table.column("payload").to_pylist()), np.uint8)
-        rows = rows.reshape(-1, KEY_BYTES + NAME_BYTES)
-        keys, names = from_bytes(rows[:, :KEY_BYTES]), from_bytes(rows[:, KEY_BYTES:])
-        order = np.lexsort((names, keys))
-        keys, names = keys[order], names[order]
-        first = np.r_[True, keys[1:] != keys[:-1]]
-        low = names[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
-        other = names != low
-        return pa.Table.from_batches([edge_rows(names[other], low[other], buckets)]).select(["a", "b"])
+        return pa.Table.from_batches([met_keys(packed_keys(table), buckets)]).select(["a", "b"])
 
     met = sets.mapInArrow(send, FOUND).groupBy("bucket").applyInArrow(meet, "a long, b long")
     return materialized(met, "join-rare")
@@ -642,7 +525,7 @@ def links(
     """Stored verified links: connecting pairs (a, b) of sets, by `rep`, and per set (a) how many
     documents it is linked to (`links`, b null)."""
     chains = components(edges).select(F.col("node").alias("name"), F.col("component").alias("cluster"))
-    step = F.floor(F.log("n") / math.log(CLASS_FACTOR)).cast("int")
+    step = F.floor(F.log("n") / math.log(STEP_FACTOR)).cast("int")
     chained_sets = materialized(
         sets.join(chains, "name").select(
             "rep", "id", "digest", "n", "copies", "name", "cluster", step.alias("step")
@@ -736,10 +619,9 @@ def similarity_join(
 def _joined(docs: DataFrame, key: str, text: str, width: int, percent: int, over: int) -> DataFrame:
     read = docs.select(F.col(f"`{key}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text"))
     size = read.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    # About one shingle in eight bytes, and one key for four shingles or more, as texts of usual sizes send.
-    parts = Parts(percent, over)
-    buckets = max(8, int(size / 8 * max(0.25, parts.rate(USUAL_SIZE))) // BUCKET_ENTRIES)
-    found = candidates(read, buckets, width, parts)
+    # About one shingle in eight bytes, of which a set sends those it cannot spare.
+    buckets = max(8, int(size / 8 * (1 - percent / over + 1 / USUAL_SIZE)) // BUCKET_ENTRIES)
+    found = candidates(read, buckets, width, percent, over)
     members = found.filter(F.col("kind") == MEMBER).select("id", "n", "digest", "a")
     edges = found.filter(F.col("kind") == EDGE).select("a", "b")
     sets = materialized(
