@@ -490,15 +490,15 @@ def refined(docs: DataFrame, chained: DataFrame, width: int, percent: int, over:
         marked = chained.join(F.broadcast(mass.select("cluster", F.lit(True).alias("large"))), "cluster", "left")
         marked = materialized(marked, "join-marked")  # fewer large chains than blocks
         large = marked.filter("large")
-        sets = materialized(
-            with_shingles(
-                docs, materialized(large.select("id", "digest", "name"), "join-large"), width, {"name": "long"}
-            ),
-            "join-large-sets",
-        )
-        edges = rare_edges(sets, max(8, total // 4 // BUCKET_ENTRIES), percent, over)
-        parts = components(edges).select(F.col("node").alias("name"), F.col("component").alias("part"))
-        again = large.join(parts, "name").withColumn("cluster", F.col("part")).select(*columns)
+        path = scratch(docs.sparkSession, "join-parts")
+        with owned_scratch(docs.sparkSession, "refine"):
+            wanted = materialized(large.select("id", "digest", "name"), "join-large")
+            sets = materialized(with_shingles(docs, wanted, width, {"name": "long"}), "join-large-sets")
+            edges = rare_edges(sets, max(8, total // 4 // BUCKET_ENTRIES), percent, over)
+            components(edges).write.parquet(path)
+        parts = docs.sparkSession.read.schema("node long, component long").parquet(path)
+        again = large.join(parts.withColumnRenamed("node", "name"), "name")
+        again = again.withColumn("cluster", F.col("component")).select(*columns)
         chained = materialized(marked.filter("large IS NULL").select(*columns).unionByName(again), "join-refined")
 
 
