@@ -62,6 +62,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 
 
 def id_range(df: DataFrame, key: str, partitions: int | None = None) -> DataFrame:
-    """All whole numbers between the least and greatest key, generated on the executors."""
+    """All whole numbers between the least and greatest key, generated on the executors; none without keys."""
     low, high = df.agg(F.min(key), F.max(key)).first()
+    if low is None:
+        return df.sparkSession.range(0)
     return df.sparkSession.range(low, high + 1, 1, partitions)
