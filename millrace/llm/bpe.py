@@ -11,8 +11,9 @@ taken out of the raw text. Merges are applied in rank order, as such files are t
 
 Cases: null text counts as empty (no tokens, empty decoded text); empty texts and texts of white
 space have no tokens; repeated rows are encoded alike; an empty table gives an empty result; carried
-columns named like a result are left out; a text of any length is encoded whole. Letters newer than
-the Unicode tables of the running Python are classed as that Python knows them.
+columns named like a result are left out; a text of any length is encoded whole. Every code point is
+lower-cased and classed as by the library; compositions that are newer than the running
+Python's own tables are left apart.
 """
 
 from __future__ import annotations
@@ -39,6 +40,32 @@ WORDS_AT_ONCE = 8192
 # Fixed value: the word rule of the tokenizer file.
 WORD_RULE = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
+# The library lower-cases by Unicode 17.0 and classes by Unicode 16.0. Capitals that came
+# with 16.0 and 17.0, and what they become in lower case; Python's own tables may be older.
+NEW_CAPITALS = {
+    0x1C89: 0x1C8A, 0xA7CB: 0x0264, 0xA7CC: 0xA7CD, 0xA7CE: 0xA7CF, 0xA7D2: 0xA7D3, 0xA7D4: 0xA7D5,
+    0xA7DA: 0xA7DB, 0xA7DC: 0x019B,
+    **{c: c + 0x20 for c in range(0x10D50, 0x10D66)},
+    **{c: c + 0x1B for c in range(0x16EA0, 0x16EB9)},
+}
+# Code points that version 16.0 leaves unassigned, so that they are neither letters nor
+# digits, and that newer tables, as those behind the word rule, may class as such.
+AFTER_16 = (
+    "558 58B-58C 88F C5C CDC 208F 209D-209F A7CE-A7CF A7D2 A7D4 A7DD A7E2 A7F1 AB6C-AB6D 107BB-107BF "
+    "10940-10959 10EC5-10EC7 10ED9-10EEE 11B0A 11DB0-11DDB 11DF1 16EA0-16EB8 16EBB-16ED3 16FF2-16FF3 "
+    "187F8-187FF 18CD6-18CDA 18D09-18D20 18D80-18DF2 18E00-19191 191A0-191D2 1B123-1B128 1B168 1D6A6 "
+    "1DF1F-1DF24 1DF2B-1DF81 1DF90-1DF96 1DFCD-1DFFF 1E6C0-1E6DE 1E6E0-1E6E2 1E6E4-1E6E5 1E6E7-1E6ED "
+    "1E6F0-1E6F4 1E6FE-1E6FF 2B73A-2B73F 2B81E 2CEA2-2CEAD 323B0-33479 3D000-3FC3F"
+)
+AFTER = "".join(
+    f"\\U{int(r.split('-')[0], 16):08X}-\\U{int(r.split('-')[-1], 16):08X}" for r in AFTER_16.split()
+)
+#: The word rule with those code points taken out of its letters and digits.
+RULE_OF_16 = (
+    WORD_RULE.split("|[", 1)[0]
+    + rf"|(?:(?![{AFTER}])\p{{L}})+|(?![{AFTER}])\p{{N}}|(?:[^\s\p{{L}}\p{{N}}]|[{AFTER}])+"
+)
+
 RESULT = T.StructType(
     [
         T.StructField("n_tokens", T.LongType()),
@@ -144,7 +171,8 @@ class Encoder:
 
     def __init__(self, model: dict):
         self.model = model
-        self.rule = regex.compile(WORD_RULE)
+        self.rule, self.rule_of_16 = regex.compile(WORD_RULE), regex.compile(RULE_OF_16)
+        self.newer = regex.compile(f"[{AFTER}{''.join(map(chr, NEW_CAPITALS))}]")
         special = sorted(model["special"], key=len, reverse=True)
         self.special = regex.compile("|".join(map(regex.escape, special))) if special else None
         self.known: dict[str, tuple[bytes, bytes]] = {}
@@ -165,6 +193,8 @@ class Encoder:
         if not text.isascii():
             # Lower-casing goes character by character: a final sigma is like any other.
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            if self.newer.search(text):
+                return self.rule_of_16.findall(text.translate(NEW_CAPITALS).lower())
         return self.rule.findall(text.lower())
 
     def learn(self, words: set[str]) -> None:

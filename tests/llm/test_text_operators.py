@@ -4,6 +4,7 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -85,6 +86,16 @@ def test_bpe_on_odd_texts():
             assert decoded.decode() == library.decode(wanted, skip_special_tokens=False)
 
 
+def test_every_code_point_is_encoded_as_by_the_library():
+    texts = [f"a{chr(c)}b" for c in [*range(1, 0xD800), *range(0xE000, 0x40000)]]
+    library = Tokenizer.from_file(WORD_BPE)
+    encoder = bpe.Encoder(bpe.load_model(WORD_BPE))
+    packed = encoder.encode(texts)[1]
+    wanted = library.encode_batch(texts, add_special_tokens=False)
+    off = [t for t, p, w in zip(texts, packed, wanted) if p != np.array(w.ids, "<u4").tobytes()]
+    assert off == []
+
+
 def greedy(word: bytes, vocab: set[bytes], longest: int) -> int:
     count, at = 0, 0
     while at < len(word):
