@@ -12,21 +12,22 @@ last, so a bucket ends within about a word of its share and no source passes thr
 Nothing depends on the order or partitioning of rows, so reruns agree.
 
 Cases: null and empty texts have size 0, rate 1 and take no words; a null source is a source of its
-own, after all others; rows equal in id, source and text get equal copies; an empty table gives an
-empty result;
-other columns of the input are not read. The driver holds one row per
-source (the table of weights is as long) and nothing per document.
+own, after all others; rows equal in id, source and text are one run, counted before the shuffle: it takes
+what is owed as a whole, so some of its rows may get one copy more than the rest (they are
+interchangeable); an empty table gives an empty result; other columns of the input are not read. The
+driver holds one row per source (the table of weights is as long) and nothing per document.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.runtime import lookup_join, materialized
@@ -38,6 +39,8 @@ SHARE = 1.5
 CAP = 2
 #: Documents per bucket in which copies are rounded, about.
 BUCKET_DOCS = 4096
+#: Equal rows made from one by a task at once.
+REPEATED = 1 << 14
 MAX_STEPS = 60
 TOLERANCE = 1e-7
 RESULTS = ("size", "source_size", "target", "rate", "copies", "taken")
@@ -137,29 +140,38 @@ def solve(histogram: DataFrame, sources: list[Source], cap: float) -> None:
             if tilt == s.tilt:
                 todo.discard(i)
             s.tilt = tilt
+    if todo:
+        warnings.warn(f"{len(todo)} sources miss the tolerance after {MAX_STEPS} Newton steps", stacklevel=2)
 
 
 def round_copies(rows: pd.DataFrame, cap: int) -> pd.DataFrame:
-    """Whole copies for one bucket: `size` and `rate` per row, `u1` and `u2` name equal rows."""
+    """Whole copies for one bucket of runs: `size`, `rate` and `n` (equal rows) per run, named by `u1` and
+    `u2`. Every row of a run gets `low` copies, `more` of them one copy more."""
     rows = rows.sort_values(["size", "u1", "u2"], ascending=[False, True, True], kind="stable")
-    sizes, wanted = rows["size"].to_numpy(), rows["rate"].to_numpy()
-    same = np.r_[True, (np.diff(rows["u1"]) != 0) | (np.diff(rows["u2"]) != 0)]
-    starts = np.flatnonzero(same)
-    numbers = np.diff(np.r_[starts, len(rows)])
-    copies, owed = np.zeros(len(rows), np.int64), 0.0
-    for start, number in zip(starts.tolist(), numbers.tolist()):
-        mass = float(sizes[start]) * number
-        rate = wanted[start]
-        base = min(int(rate), cap)
-        owed += (rate - base) * mass
-        if base < cap and mass and owed >= mass / 2:
-            base += 1
-            owed -= mass
-        elif base > 0 and mass and owed < -mass / 2:
-            base -= 1
-            owed += mass
-        copies[start : start + number] = base
-    return rows.assign(copies=copies)
+    low, more, owed = [], [], 0.0
+    for size, rate, n in zip(rows["size"].tolist(), rows["rate"].tolist(), rows["n"].tolist()):
+        base, extra = min(int(rate), cap), 0
+        owed += (rate - base) * size * n
+        if size:
+            extra = math.floor(owed / size + 0.5)
+            extra = max(-n if base else 0, min(n if base < cap else 0, extra))
+            owed -= extra * size
+        if extra < 0:
+            base, extra = base - 1, extra + n
+        elif extra == n:
+            base, extra = base + 1, 0
+        low.append(base)
+        more.append(extra)
+    return rows.assign(low=np.array(low, np.int64), more=np.array(more, np.int64))
+
+
+def repeated(rows: DataFrame, times: Column, to: str) -> DataFrame:
+    """Every row `times` times, numbered from 0 in `to`; large numbers are dealt out in blocks."""
+    blocks = rows.withColumn("__times", times.cast("long")).filter("__times > 0").withColumn(
+        "__first", F.explode(F.sequence(F.lit(0).cast("long"), F.col("__times") - 1, F.lit(REPEATED).cast("long")))
+    )
+    last = F.least(F.col("__first") + REPEATED, F.col("__times")) - 1
+    return blocks.withColumn(to, F.explode(F.sequence("__first", last))).drop("__times", "__first")
 
 
 def sized_rows(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
@@ -178,7 +190,8 @@ def sized_rows(docs: DataFrame, key: str, source: str, text: str) -> DataFrame:
 def plan_mix(
     sized: DataFrame, weights: Sequence[float], share: float, cap: int
 ) -> DataFrame:
-    """Adds source_size, target, rate, copies and taken to the (stored) narrow rows."""
+    """One row per run of equal (stored) narrow rows: n of them, with source_size, target, rate, and copies
+    as `low` and `more`."""
     spark = sized.sparkSession
     found = sized.groupBy("source").agg(F.count("*").alias("docs"), F.sum("size").alias("size"))
     sources = [Source(*row) for row in sorted(found.collect())]  # one row per source
@@ -212,20 +225,17 @@ def plan_mix(
         .when(tilt == -math.inf, 0.0)
         .otherwise(rates(x, tilt, cap))
     )
-    rated = sized.join(F.broadcast(table), "source").select(
-        *sized.columns, "source_size", "target", rate.alias("rate"),
+    runs = sized.groupBy(*sized.columns).agg(F.count("*").alias("n"))
+    rated = runs.join(F.broadcast(table), "source").select(
+        *runs.columns, "source_size", "target", rate.alias("rate"),
         F.pmod(F.col("u1"), F.col("buckets")).alias("bucket"),
     )
-    return (
-        rated.groupBy("source", "bucket")
-        .applyInPandas(
-            lambda rows: round_copies(rows, cap),
-            "key {}, source string, size long, u1 long, u2 long, source_size long, "
-            "target double, rate double, bucket long, copies long".format(
-                sized.schema["key"].dataType.simpleString()
-            ),
-        )
-        .withColumn("taken", F.col("copies") * F.col("size"))
+    return rated.groupBy("source", "bucket").applyInPandas(
+        lambda rows: round_copies(rows, cap),
+        "key {}, source string, size long, u1 long, u2 long, n long, source_size long, "
+        "target double, rate double, bucket long, low long, more long".format(
+            sized.schema["key"].dataType.simpleString()
+        ),
     )
 
 
@@ -241,9 +251,13 @@ def mix(
     """One row per document: its id and source, and the columns of `RESULTS`."""
     if cap < 2 or not all(w > 0 for w in weights):
         raise ValueError("weights are positive and the cap is a whole number of at least 2")
-    planned = plan_mix(
+    runs = plan_mix(
         materialized(sized_rows(docs, key, source, text), "mix-rows"), weights, share, cap
     )
+    copies = F.col("low") + (F.col("__i") < F.col("more")).cast("long")
+    planned = repeated(runs, F.col("n"), "__i").withColumn("copies", copies).withColumn(
+        "taken", F.col("copies") * F.col("size")
+    )
     back = F.when(F.col("source") != "b", F.substring("source", 2, 2**31 - 1))
     return planned.select(
         F.col("key").alias(key),
@@ -263,8 +277,8 @@ def mixed_documents(
 ) -> DataFrame:
     """The mix itself: every document as often as its copies say, with the columns of `docs`."""
     sized = materialized(sized_rows(docs, key, source, text), "mix-rows")
-    decided = plan_mix(sized, weights, share, cap).select("u1", "u2", "copies").distinct()
-    kept = materialized(decided.filter("copies > 0"), "mix-copies")
+    decided = plan_mix(sized, weights, share, cap).select("u1", "u2", "low", "more")
+    kept = materialized(decided.filter("low + more > 0"), "mix-copies")
     k, s, t = (F.col(f"`{c}`") for c in (key, source, text))
     parts = [k.cast("string"), source_key(s), t]
     named = docs.select(
@@ -272,7 +286,23 @@ def mixed_documents(
         F.xxhash64(*parts).alias("u1"),
         F.xxhash64(F.lit("second"), *parts).alias("u2"),
     )
-    taken = lookup_join(named, kept, ["u1", "u2"], "inner")
-    return taken.select(
-        "__row", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("__copy")
+    taken = repeated(
+        lookup_join(named, kept.filter("more = 0"), ["u1", "u2"], "inner"), F.col("low"), "__copy"
     ).select("__row.*")
+    split = kept.filter("more > 0")
+    if split.isEmpty():
+        return taken
+    # Runs of which only some rows get one copy more: rows equal in every column are counted, and the
+    # copies go to them in the order of their digests.
+    alike = materialized(
+        lookup_join(named, split, ["u1", "u2"], "inner")
+        .withColumn("__digest", F.xxhash64(F.to_json("__row")))
+        .groupBy("u1", "u2", "__digest", "low", "more")
+        .agg(F.first("__row").alias("__row"), F.count("*").alias("__n")),
+        "mix-alike",
+    )
+    earlier = Window.partitionBy("u1", "u2").orderBy("__digest").rowsBetween(Window.unboundedPreceding, -1)
+    left = F.col("more") - F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+    share_of = F.col("low") * F.col("__n") + F.greatest(F.lit(0), F.least(F.col("__n"), left))
+    counted = alike.withColumn("__copies", share_of.cast("long"))
+    return taken.unionByName(repeated(counted, F.col("__copies"), "__copy").select("__row.*"))

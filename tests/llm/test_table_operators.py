@@ -7,6 +7,7 @@ import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
+import pandas as pd
 import pytest
 import regex
 from pyspark.sql import functions as F
@@ -109,6 +110,34 @@ def test_mixed_documents_repeat_rows(spark):
     assert Counter((r.doc_id, len(words_of(r.text))) for r in out.collect()) == +decided
 
 
+def test_equal_rows_come_near_their_target(spark):
+    """1,000 equal rows of a source whose target lies between one and two copies of all."""
+    same = "ten words in a text that every row has alike"
+    rows = [(1, same, None, "a")] * 1000 + [(i, same, None, "b") for i in range(2, 1500)]
+    out = mixing.mix(docs(spark, rows)).collect()
+    taken, targets, smallest = check_mix(rows, out)
+    for s, target in targets.items():
+        assert abs(taken[s] - target) <= 2 + smallest[s]
+    # Equal rows of one id may differ in a column the mix does not read.
+    mixed = [(i, t, str(n % 3), s) for n, (i, t, _, s) in enumerate(rows)]
+    made = mixing.mixed_documents(docs(spark, mixed))
+    assert made.columns == docs(spark, []).columns
+    decided = Counter()
+    for r in out:
+        decided[r.doc_id] += r.copies
+    got = made.collect()
+    assert Counter(r.doc_id for r in got) == +decided
+    most = Counter((r.doc_id, r.lang) for r in got)
+    rows_of = Counter((i, lang) for i, _, lang, _ in mixed)
+    assert all(n <= 2 * rows_of[k] for k, n in most.items())
+
+
+def test_a_run_of_equal_rows_is_split():
+    rows = pd.DataFrame({"size": [10, 10, 0], "rate": [1.25, 0.4, 1.0], "n": [1000, 5, 3], "u1": [1, 2, 3], "u2": [1, 2, 3]})
+    out = mixing.round_copies(rows, 2)
+    assert out[["low", "more"]].values.tolist() == [[1, 250], [0, 2], [1, 0]]
+
+
 # Suffix-array dedup
 
 
