@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,8 +27,8 @@ from millrace.llm import (
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-#: Folder of the public tokenizer files on the driver; the files are broadcast, never copied here.
-TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+#: Files of public tokenizers on the driver; they are broadcast, never copied here.
+WORD_BPE, BYTE_BPE = map(public_tokenizers.path, ("word_bpe_49k.json", "byte_bpe_50k.json"))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -47,6 +47,7 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("n_bytes") - F.octet_length("kept")).alias("n_removed"),
         F.size("spans").cast("long").alias("n_spans"),
         F.sha2("kept", 256).alias("kept_sha256"),
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept_text"),
     )
 
 
@@ -74,7 +75,7 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return token_counts.token_counts(docs, f"{TOKENIZERS}/byte_bpe_50k.json")
+    return token_counts.token_counts(docs, BYTE_BPE)
 
 
 def encoded_digests(encoded: DataFrame) -> DataFrame:
@@ -86,7 +87,7 @@ def encoded_digests(encoded: DataFrame) -> DataFrame:
 
 def op8_bpe_encode_decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return encoded_digests(bpe.encode_decode(docs, f"{TOKENIZERS}/word_bpe_49k.json"))
+    return encoded_digests(bpe.encode_decode(docs, WORD_BPE))
 
 
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
