@@ -17,13 +17,14 @@ from millrace.plans.inputs import (
     staged_stream,
 )
 from millrace.plans.registry import query, table
-from millrace.plans.tables import _tokens_sql
+from millrace.plans.tables import COGROUP_SQL, COGROUP_WIDTH, _tokens_sql, cogroup_columns, cogroup_sides
 from millrace.runtime import materialized, scratch
 from millrace.sinks.ledger import newest, read_batches, summed
 from millrace.sources.files import read_dictionary
 from millrace.sources.partition_log import append_log, read_log
 from millrace.sources.queue import offsets_json
 from millrace.streaming import jobs, state
+from millrace.streaming.cogroup import cogroup_stream, newest_chunks
 from millrace.streaming.sources import line_files, table_files
 from millrace.streaming.windows import InverseWindow
 
@@ -335,6 +336,21 @@ def stream_code_name_join(spark: SparkSession, sf: str) -> DataFrame:
     return read_batches(spark, out).select("code", "name", "n")
 
 
+@query("stream_cogroup", COGROUP_SQL)
+def stream_cogroup(spark: SparkSession, sf: str) -> DataFrame:
+    """Both sides arrive in several files; a chunk is given out anew by each batch that changes it."""
+    streams = []
+    for name, side in zip(("left", "right"), cogroup_sides(spark, sf)):
+        path, per_trigger = staged_stream(side, f"cogroup-{name}", "parquet")
+        streams.append(table_files(spark, path, side.schema, per_trigger))
+    out, checkpoint = _out(spark, "cogroup")
+    _run(
+        cogroup_stream, *streams, out, checkpoint, "nation", "id", COGROUP_WIDTH,
+        state_partitions=_cores(spark),
+    )
+    return cogroup_columns(newest_chunks(read_batches(spark, out), "nation"))
+
+
 @query(
     "stream_interval_join",
     """SELECT a.event_id AS first_id, b.event_id AS second_id

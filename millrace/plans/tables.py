@@ -162,9 +162,8 @@ def collect_by_key(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query(
-    "cogroup_lists",
-    """
+COGROUP_WIDTH = 512
+COGROUP_SQL = """
 WITH s AS (
   SELECT c_nationkey AS nation, c_custkey AS id, 1 AS l FROM customer
   UNION ALL SELECT s_nationkey, s_suppkey, 0 FROM supplier),
@@ -176,16 +175,19 @@ SELECT nation, id // 512 AS chunk,
        coalesce(string_agg(CASE WHEN l = 0 THEN CAST(n AS VARCHAR) END, ',' ORDER BY id), '') AS supplier_copies,
        CAST(sum(l * n) AS BIGINT) AS n_customers, CAST(sum((1 - l) * n) AS BIGINT) AS n_suppliers
 FROM d GROUP BY 1, 2
-""",
-)
-def cogroup_lists(spark: SparkSession, sf: str) -> DataFrame:
-    customers = table(spark, sf, "customer").select(
-        F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("id")
-    )
-    suppliers = table(spark, sf, "supplier").select(
-        F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("id")
+"""
+
+
+def cogroup_sides(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Customers and suppliers as (nation, id)."""
+    return (
+        table(spark, sf, "customer").select(F.col("c_nationkey").alias("nation"), F.col("c_custkey").alias("id")),
+        table(spark, sf, "supplier").select(F.col("s_nationkey").alias("nation"), F.col("s_suppkey").alias("id")),
     )
-    both = J.chunked_cogroup(customers, suppliers, "nation", "id", 512)
+
+
+def cogroup_columns(both: DataFrame) -> DataFrame:
+    """A cogroup's lists as text."""
     return both.select(
         "nation", "chunk",
         F.array_join(F.col("left_values").cast("array<string>"), ",").alias("customers"),
@@ -197,6 +199,11 @@ def cogroup_lists(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query("cogroup_lists", COGROUP_SQL)
+def cogroup_lists(spark: SparkSession, sf: str) -> DataFrame:
+    return cogroup_columns(J.chunked_cogroup(*cogroup_sides(spark, sf), "nation", "id", COGROUP_WIDTH))
+
+
 @query(
     "sum_count_mean",
     "SELECT sum(l_quantity) AS total, count(l_quantity) AS n, round(avg(l_quantity), 6) AS mean FROM lineitem",
