@@ -4,8 +4,11 @@
 2. A link leaves at most H different shingles between two sets, so of H + T parts of the digest
    space at least T hold equal shingles in both; one is enough to make a candidate. Each set sends one key per part (and size class it
    may meet a partner in); keys meet in buckets, each sorted alone, and sets with a common key
-   are candidates, chained to the smallest instead of paired. T is chosen so that hardly any set
-   has T empty parts; those that do send keys for their empty parts too, so nothing is lost.
+   are candidates, chained to the smallest instead of paired. Parts that hold nothing but shingles
+   of very many documents (counted first, over all of them) or nothing at all are weak: a common
+   line would chain all its documents through them. T is chosen so that hardly any set has T empty
+   parts. Two linked sets with T equal parts share one that is not weak, or both have T weak ones;
+   sets with T weak parts send the keys of those too, so nothing is lost.
 3. Chains of candidates are gathered into blocks of bounded size: many small chains share one, a
    large chain is split by set size and hash into blocks that are met in pairs.
 4. In a block, inverted lists from shingle to sets answer each set's query with DivideSkip: the
@@ -44,7 +47,13 @@ PERCENT, OVER = 90, 100
 #: Sizes below this have a class of their own; above, a class spans this factor.
 SINGLE_SIZES, CLASS_FACTOR = 64, 1.12
 #: A set has T empty parts with at most this probability.
-POOR = 1e-5
+POOR = 1e-3
+#: Shingles in one of so many documents are frequent. One in twice as many may be taken for it, so
+#: there are at most twice this times the mean set size of them; of more than the second number
+#: the most frequent count, which changes the work and no result.
+FREQUENT, FREQUENT_MOST = 256, 1 << 17
+#: No shingle of fewer documents is frequent, and shingles counted at once in a task.
+FREQUENT_LEAST, LOT_SHINGLES = 64, 1 << 19
 #: Entries per bucket and shingles per block, about.
 BUCKET_ENTRIES = 1 << 20
 #: A usual number of shingles of a text, for the number of buckets.
@@ -125,6 +134,9 @@ def needed(size: int, other: int, percent: int = PERCENT, over: int = OVER) -> i
     return -(-percent * (size + other) // (over + percent))
 
 
+NONE = np.empty(0, np.uint64)
+
+
 class Parts:
     """How sets of a size class are cut: differences allowed, parts, and needed equal parts."""
 
@@ -171,9 +183,15 @@ class Parts:
         cuts = [self.cut(c)[0] for c in self.classes(size)]
         return sum(parts * -math.expm1(-size / parts) for parts in cuts) / size
 
-    def keys(self, shingles: np.ndarray) -> np.ndarray:
-        """One key per non-empty part and class; also for empty parts where T or more are empty."""
+    def keys(self, shingles: np.ndarray, frequent: np.ndarray = NONE) -> np.ndarray:
+        """One key per class and part that is not weak; also for weak ones where T or more are.
+
+        `frequent` is sorted and the same for all sets.
+        """
         out, scrambled = [], mixed(shingles)
+        rare = np.ones(len(shingles), bool)
+        if len(frequent):
+            rare = frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] != shingles
         high = shingles >> np.uint64(32)
         for c in self.classes(len(shingles)):
             parts, t = self.cut(c)
@@ -181,7 +199,10 @@ class Parts:
             first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             sums = np.add.reduceat(scrambled, first)
             names = part[first]
-            if parts - len(names) >= t:
+            strong = np.logical_or.reduceat(rare, first)
+            if parts - np.count_nonzero(strong) < t:
+                names, sums = names[strong], sums[strong]
+            else:
                 empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), names)
                 names = np.r_[names, empty]
                 sums = np.r_[sums, np.zeros(len(empty), np.uint64)]
@@ -221,7 +242,57 @@ def chained(keys: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return keys[first], names[first], edges
 
 
-def candidates(docs: DataFrame, buckets: int, width: int, parts: Parts) -> DataFrame:
+def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
+    """Sorted digests of the shingles that at least one of FREQUENT documents holds.
+
+    Every document is counted. A task counts lots of sets and passes on what one of 2 * FREQUENT
+    documents of a lot holds: what falls out of the lots is less than half of a frequent shingle's
+    count, so none is missed, and few rows leave the tasks.
+    """
+
+    def lots(batches):
+        held: list[np.ndarray] = []
+
+        def counted():
+            shingles, n = np.unique(np.concatenate(held), return_counts=True)
+            often = n >= max(2, len(held) // (2 * FREQUENT))
+            # A row without a shingle tells how many documents the lot has.
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([None, *shingles[often].view(np.int64).tolist()], pa.int64()),
+                 pa.array(np.r_[len(held), n[often]], pa.int64())],
+                names=["shingle", "n"],
+            )
+            held.clear()
+
+        mass = 0
+        for batch in batches:
+            for part in pieces(batch, "text", PIECE_BYTES):
+                made = [s for s in shingle_sets(as_bytes(part.column("text")), width) if len(s)]
+                held += made
+                mass += sum(map(len, made))
+                if mass > LOT_SHINGLES:
+                    yield from counted()
+                    mass = 0
+        if held:
+            yield from counted()
+        release()
+
+    counts = materialized(
+        docs.select("text").mapInArrow(lots, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")),
+        "join-frequent",
+    )
+    documents = counts.filter("shingle IS NULL").agg(F.sum("n")).first()[0] or 0
+    least = max(FREQUENT_LEAST, documents // (2 * FREQUENT))
+    rows = (
+        counts.filter((F.col("n") >= least) & F.col("shingle").isNotNull())
+        .orderBy(F.desc("n"), "shingle").limit(FREQUENT_MOST).collect()
+    )
+    return np.sort(np.array([r["shingle"] for r in rows], np.int64).view(np.uint64))
+
+
+def candidates(
+    docs: DataFrame, buckets: int, width: int, parts: Parts, frequent: np.ndarray
+) -> DataFrame:
     """Stored rows of two kinds: members (id, n, digest and a, the set's name), and edges (a, b)
     between set names."""
 
@@ -242,7 +313,7 @@ def candidates(docs: DataFrame, buckets: int, width: int, parts: Parts) -> DataF
                 }
                 if not seen:
                     continue
-                own = [parts.keys(s) for s in seen.values()]
+                own = [parts.keys(s, frequent) for s in seen.values()]
                 names = np.repeat(
                     np.array([set_name(d) for d in seen], np.int64), [len(k) for k in own]
                 )
@@ -549,7 +620,7 @@ def _joined(docs: DataFrame, key: str, text: str, width: int, percent: int, over
     # About one shingle in eight bytes, and one key for four shingles or more, as texts of usual sizes send.
     parts = Parts(percent, over)
     buckets = max(8, int(size / 8 * max(0.25, parts.rate(USUAL_SIZE))) // BUCKET_ENTRIES)
-    found = candidates(read, buckets, width, parts)
+    found = candidates(read, buckets, width, parts, frequent_shingles(read, width))
     members = found.filter(F.col("kind") == MEMBER).select("id", "n", "digest", "a")
     edges = found.filter(F.col("kind") == EDGE).select("a", "b")
     sets = materialized(

@@ -294,6 +294,66 @@ def test_poor_sets_share_keys_of_empty_parts():
     assert np.intersect1d(parts.keys(crowded), parts.keys(crowded + np.uint64(3))).size
 
 
+def test_linked_sets_share_a_key_whatever_is_frequent():
+    rng = np.random.default_rng(1)
+    parts = ngram_join.Parts(80, 100)
+    tried = 0
+    for size in (9, 16, 40, 64, 150, 700):
+        for share in (0.05, 0.5, 0.9, 1.0):
+            for _ in range(20):
+                a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+                out = rng.integers(0, size // 4 + 1)
+                b = np.unique(np.r_[rng.permutation(a)[out // 2 :], rng.integers(0, 2**64, out // 2, dtype=np.uint64)])
+                shared = len(np.intersect1d(a, b))
+                frequent = np.sort(rng.permutation(np.union1d(a, b))[: int(share * size)])
+                if 100 * shared >= 80 * (len(a) + len(b) - shared):
+                    tried += 1
+                    assert len(np.intersect1d(parts.keys(a, frequent), parts.keys(b, frequent)))
+    assert tried > 300
+
+
+def test_parts_of_a_common_line_send_no_key():
+    rng = np.random.default_rng(3)
+    parts = ngram_join.Parts(80, 100)
+    line = np.unique(rng.integers(0, 2**64, 12, dtype=np.uint64))
+    sets = [np.union1d(line, rng.integers(0, 2**64, 140, dtype=np.uint64)) for _ in range(2000)]
+
+    def met(frequent):
+        keys = np.concatenate([np.unique(parts.keys(s, frequent)) for s in sets])
+        return np.count_nonzero(np.unique(keys, return_counts=True)[1] > 1)
+
+    assert met(ngram_join.NONE) > 10 * met(line)
+
+
+def common_line_rows():
+    """Near copies, and texts that share a line with all others and little else."""
+    rng = random.Random(11)
+    line = random_text(rng, 12)
+    rows = [(i, f"{t}\n{line}" if i % 2 else t, None, None) for i, t, _, _ in near_copies(5)]
+    return rows + [(1000 + i, f"{line} {random_text(rng, 25)} {line}", None, None) for i in range(40)]
+
+
+def test_frequent_shingles_are_counted_over_all_documents(spark, monkeypatch):
+    monkeypatch.setattr(ngram_join, "FREQUENT", 4)
+    monkeypatch.setattr(ngram_join, "FREQUENT_LEAST", 3)
+    monkeypatch.setattr(ngram_join, "LOT_SHINGLES", 500)
+    rows = common_line_rows()
+    got = set(ngram_join.frequent_shingles(docs(spark, rows).repartition(3), 3).tolist())
+    counts = Counter(s for r in rows for s in ngram_join.shingle_sets([r[1].encode()])[0].tolist())
+    least = len(rows) / 4
+    assert {s for s, n in counts.items() if n >= least} <= got
+    assert got <= {s for s, n in counts.items() if n >= len(rows) // 8}
+    assert not len(ngram_join.frequent_shingles(docs(spark, []), 3))
+
+
+@pytest.mark.parametrize("most", [5, 1 << 17])
+def test_join_with_a_common_line(spark, monkeypatch, most):
+    monkeypatch.setattr(ngram_join, "FREQUENT_LEAST", 3)
+    monkeypatch.setattr(ngram_join, "FREQUENT_MOST", most)
+    rows = common_line_rows()
+    assert join_rows(ngram_join.similarity_join(docs(spark, rows).repartition(4))) == plain_join(rows)
+
+
 def test_merge_skip_equals_counting():
     rng = random.Random(2)
     for _ in range(300):
