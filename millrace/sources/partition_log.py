@@ -1,7 +1,10 @@
 """A log of topics and partitions kept in files, as a stream with an offset per partition.
 
-The log is append-only Parquet under topic=, partition= and segment= folders; a segment holds a fixed
-range of offsets. `append_log` writes it with Spark, the data source `partition_log` streams it:
+The log is append-only Parquet: an append adds a folder of records under data/, in files of bounded size
+that hold many partitions, and then one under index/, which has a row per file and segment (a fixed
+range of a partition's offsets) with its first offset and the one after its last. Files, tasks and planning
+thus grow with the records, not with the number of partitions, and records are seen once their index is
+whole. `append_log` writes it with Spark, the data source `partition_log` streams it:
 subscribe to topics or assign partitions, start at the earliest or latest offset or at given ones, and take
 at most so many offsets a trigger. Offsets of a batch are kept by the checkpoint, as with any source;
 started anew from a ledger's offsets it goes on where the ledger ends.
@@ -14,9 +17,14 @@ from __future__ import annotations
 
 import json
 import sys
+import uuid
+from collections import defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.parquet as pq
 from pyarrow.fs import FileSelector, FileSystem, FileType
@@ -33,31 +41,71 @@ FORMAT = "partition_log"
 SCHEMA = "topic STRING, partition INT, offset BIGINT, key STRING, value STRING"
 #: Offsets of a segment.
 SEGMENT = 100_000
+#: Records of a file, and about those that a task reads.
+FILE_RECORDS = TASK_RECORDS = 100_000
 
 Offsets = dict[str, dict[str, int]]
 
 
 def append_log(records: DataFrame, path: str, segment: int = SEGMENT) -> None:
     """Append records (topic, partition, offset, key, value); offsets of a partition go on without gaps."""
-    cut = records.withColumn("segment", F.floor(F.col("offset") / segment).cast("long"))
+    spark, name = records.sparkSession, uuid.uuid4().hex
+    cut = records.select(
+        "topic", F.col("partition").cast("int"), F.col("offset").cast("long"), "key", "value",
+        F.floor(F.col("offset") / segment).cast("long").alias("segment"),
+    )
     keys = ["topic", "partition", "segment"]
-    cut.hint("rebalance", *keys).write.mode("append").partitionBy(*keys).parquet(path)
+    ordered = cut.hint("rebalance", *keys).sortWithinPartitions("topic", "partition", "offset")
+    ordered.write.option("maxRecordsPerFile", FILE_RECORDS).parquet(f"{path}/data/{name}")
+    written = spark.read.schema(ordered.schema).parquet(f"{path}/data/{name}")
+    file = F.concat(F.lit(f"{name}/"), F.col("_metadata.file_name"))
+    index = written.groupBy(*keys, file.alias("file")).agg(
+        F.min("offset").alias("first"), (F.max("offset") + 1).alias("until")
+    )
+    index.write.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", "true").parquet(f"{path}/index/{name}")
 
 
-@dataclass
-class Stretch(InputPartition):
-    """Offsets from `first` up to `until` of one segment."""
+@dataclass(frozen=True)
+class Stretch:
+    """Offsets from `first` up to `until` of one segment, and the files that hold any of them."""
 
     topic: str
     partition: int
     segment: int
     first: int
     until: int
+    files: tuple[str, ...]
+
+
+@dataclass
+class Share(InputPartition):
+    """The stretches that one task reads."""
+
+    stretches: list[Stretch]
 
     def __post_init__(self) -> None:
         super().__init__(None)
 
 
+def shares(stretches: list[Stretch], records: int = TASK_RECORDS) -> list[Share]:
+    """Stretches of the same files together, about `records` offsets a task."""
+    out, held = [], records
+    for s in sorted(stretches, key=lambda s: (s.files, s.topic, s.partition, s.first)):
+        if held >= records:
+            out.append(Share([]))
+            held = 0
+        out[-1].stretches.append(s)
+        held += s.until - s.first
+    return out
+
+
+def segment_names(topic, partition, segment) -> pa.Array:
+    """One text per (topic, partition, segment), the topic last, as it may hold any character."""
+    return pc.binary_join_element_wise(
+        pc.cast(partition, pa.string()), pc.cast(segment, pa.string()), pc.cast(topic, pa.string()), "/"
+    )
+
+
 class LogReader(DataSourceStreamReader):
     def __init__(self, options: dict[str, str]) -> None:
         options = {k.lower(): v for k, v in options.items()}
@@ -70,47 +118,50 @@ class LogReader(DataSourceStreamReader):
         self.limit = int(options.get("maxoffsetspertrigger", 0))
         self.segment = int(options.get("segment", SEGMENT))
         self.reached: Offsets | None = None
+        self.appends: set[str] = set()
+        # Per topic and partition: per segment, its files with their first offset and the one after the last.
+        self.index: dict[str, dict[str, dict[int, list[tuple[str, int, int]]]]] = {}
 
     # What is there
 
     def _store(self) -> tuple[FileSystem, str]:
         return FileSystem.from_uri(self.root)
 
-    def _children(self, path: str, name: str) -> list[str]:
+    def _refresh(self) -> None:
+        """Take in the index of appends that have ended since; what is known of the others stays."""
         store, root = self._store()
-        found = store.get_file_info(FileSelector(f"{root}/{path}".rstrip("/"), allow_not_found=True))
-        folders = [f.base_name for f in found if f.type == FileType.Directory]
-        return [f.removeprefix(f"{name}=") for f in folders if f.startswith(f"{name}=")]
+        found = store.get_file_info(FileSelector(f"{root}/index", allow_not_found=True))
+        for folder in found:
+            if folder.base_name in self.appends:
+                continue
+            if store.get_file_info(f"{folder.path}/_SUCCESS").type != FileType.File:
+                continue
+            for f in store.get_file_info(FileSelector(folder.path)):
+                if f.type != FileType.File or f.base_name[0] in "._":
+                    continue
+                rows = pq.read_table(f.path, filesystem=store, partitioning=None).to_pydict()
+                for topic, partition, segment, file, first, until in zip(
+                    *(rows[c] for c in ("topic", "partition", "segment", "file", "first", "until"))
+                ):
+                    segments = self.index.setdefault(topic, {}).setdefault(str(partition), defaultdict(list))
+                    segments[segment].append((file, first, until))
+            self.appends.add(folder.base_name)
 
     def _partitions(self) -> dict[str, list[str]]:
         if self.assigned:
             return {t: sorted(map(str, ps)) for t, ps in self.assigned.items()}
-        return {t: sorted(self._children(f"topic={t}", "partition")) for t in self.topics}
-
-    def _segments(self, topic: str, partition: str) -> list[int]:
-        return sorted(map(int, self._children(f"topic={topic}/partition={partition}", "segment")))
-
-    def _bounds(self, topic: str, partition: str, segment: int) -> tuple[int, int]:
-        """First offset and the one after the last, by the statistics of a segment's files."""
-        store, root = self._store()
-        folder = f"{root}/topic={topic}/partition={partition}/segment={segment}"
-        low, high = [], []
-        for f in store.get_file_info(FileSelector(folder)):
-            if f.type != FileType.File or f.base_name[0] in "._":
-                continue
-            meta = pq.read_metadata(f.path, filesystem=store)
-            at = meta.schema.names.index("offset")
-            for group in range(meta.num_row_groups):
-                stats = meta.row_group(group).column(at).statistics
-                low.append(stats.min)
-                high.append(stats.max + 1)
-        return min(low, default=segment * self.segment), max(high, default=segment * self.segment)
+        return {t: sorted(self.index.get(t, ())) for t in self.topics}
 
     def _edge(self, topic: str, partition: str, last: bool) -> int:
-        segments = self._segments(topic, partition)
-        return self._bounds(topic, partition, segments[-1 if last else 0])[last] if segments else 0
+        segments = self.index.get(topic, {}).get(partition)
+        if not segments:
+            return 0
+        if last:
+            return max(until for _, _, until in segments[max(segments)])
+        return min(first for _, first, _ in segments[min(segments)])
 
     def _ends(self, last: bool) -> Offsets:
+        self._refresh()
         return {
             t: {p: self._edge(t, p, last) for p in ps} for t, ps in self._partitions().items()
         }
@@ -135,7 +186,8 @@ class LogReader(DataSourceStreamReader):
             for t, ps in latest.items()
         }
 
-    def partitions(self, start: Offsets, end: Offsets) -> list[Stretch]:
+    def partitions(self, start: Offsets, end: Offsets) -> list[Share]:
+        self._refresh()
         self.reached, out = end, []
         for topic, ends in end.items():
             for partition, until in ends.items():
@@ -144,32 +196,40 @@ class LogReader(DataSourceStreamReader):
                 first = self._edge(topic, partition, False) if first is None else first
                 if until < first:
                     raise RuntimeError(f"{topic}/{partition}: the log ends at {until}, before offset {first}")
+                segments = self.index.get(topic, {}).get(partition, {})
                 for s in range(first // self.segment, -(-until // self.segment)):
                     low, high = max(first, s * self.segment), min(until, (s + 1) * self.segment)
                     if low < high:
-                        out.append(Stretch(topic, int(partition), s, low, high))
-        return out
+                        files = (f for f, begin, end_ in segments.get(s, ()) if begin < high and low < end_)
+                        out.append(Stretch(topic, int(partition), s, low, high, tuple(sorted(files))))
+        return shares(out)
 
-    def read(self, part: Stretch) -> Iterator:
+    def read(self, part: Share) -> Iterator:
+        """The records of the stretches, file by file; each must be there once."""
         store, root = self._store()
-        folder = f"{root}/topic={part.topic}/partition={part.partition}/segment={part.segment}"
-        inside = (ds.field("offset") >= part.first) & (ds.field("offset") < part.until)
-        rows = 0
-        scan = ds.dataset(folder, filesystem=store, format="parquet").scanner(
-            columns={
-                "topic": ds.scalar(part.topic), "partition": ds.scalar(part.partition).cast("int32"),
-                "offset": ds.field("offset"), "key": ds.field("key"), "value": ds.field("value"),
-            },
-            filter=inside,
+        given = part.stretches
+        names = segment_names(
+            pa.array([s.topic for s in given], pa.string()), pa.array([s.partition for s in given], pa.int32()),
+            pa.array([s.segment for s in given], pa.int64()),
         )
-        for batch in scan.to_batches():
-            rows += batch.num_rows
-            if batch.num_rows:
-                yield batch
-        if rows != part.until - part.first:
-            raise RuntimeError(
-                f"{part.topic}/{part.partition}: {rows} records in offsets {part.first} to {part.until}"
-            )
+        first, until = (np.array([getattr(s, at) for s in given], np.int64) for at in ("first", "until"))
+        rows = np.zeros(len(given), np.int64)
+        near = (ds.field("offset") >= int(first.min())) & (ds.field("offset") < int(until.max()))
+        for file in sorted({f for s in given for f in s.files}):
+            scan = ds.dataset(f"{root}/data/{file}", filesystem=store, format="parquet").scanner(filter=near)
+            for batch in scan.to_batches():
+                at = pc.index_in(
+                    segment_names(batch.column("topic"), batch.column("partition"), batch.column("segment")), names
+                )
+                at = pc.fill_null(at, -1).to_numpy(zero_copy_only=False)
+                offset = batch.column("offset").to_numpy()
+                inside = np.flatnonzero((at >= 0) & (offset >= first[at]) & (offset < until[at]))
+                if len(inside):
+                    rows += np.bincount(at[inside], minlength=len(given))
+                    yield batch.select(["topic", "partition", "offset", "key", "value"]).take(pa.array(inside))
+        for s, n in zip(given, rows.tolist()):
+            if n != s.until - s.first:
+                raise RuntimeError(f"{s.topic}/{s.partition}: {n} records in offsets {s.first} to {s.until}")
 
     def commit(self, end: Offsets) -> None:
         self.reached = end

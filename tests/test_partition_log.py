@@ -76,3 +76,33 @@ def test_an_empty_log(spark, tmp_path):
     assert reader.latestOffset() == {"a": {}} and reader.partitions({"a": {}}, {"a": {}}) == []
     assert read_log(spark, log, subscribe="a").columns == ["topic", "partition", "offset", "key", "value"]
     assert records(spark, 1).filter(F.col("offset") > 5).count() == 0
+
+
+def test_files_and_tasks_follow_the_records_not_the_partitions(spark, tmp_path):
+    """A log of many small partitions is a few files, read by a few tasks."""
+    log = str(tmp_path / "log")
+    rows = spark.range(6_000).select(
+        F.lit("a").alias("topic"), (F.col("id") % 600).cast("int").alias("partition"),
+        F.floor(F.col("id") / 600).alias("offset"), F.lit(None).cast("string").alias("key"),
+        F.col("id").cast("string").alias("value"),
+    )
+    append_log(rows, log, 10)
+    assert len(list((tmp_path / "log").rglob("*.parquet"))) <= 20
+    reader = LogReader({"path": log, "subscribe": "a", "segment": "10"})
+    assert len(reader.partitions(reader.initialOffset(), reader.latestOffset())) == 1
+    got, _ = drained(spark, log, tmp_path, subscribe="a", startingOffsets=json.dumps({"a": {"7": 9}}))
+    assert len(got) == 6_000 - 9 and ("a", 7, 9) in got and ("a", 7, 8) not in got
+
+
+def test_an_append_is_seen_when_its_index_is_whole(spark, tmp_path):
+    log = str(tmp_path / "log")
+    append_log(records(spark, 5, parts=1), log, 10)
+    reader = LogReader({"path": log, "subscribe": "b", "segment": "10"})
+    append_log(records(spark, 9, parts=1, first=5), log, 10)
+    (mark,) = [f for f in (tmp_path / "log" / "index").glob("*/_SUCCESS")
+               if f.stat().st_mtime == max(g.stat().st_mtime for g in (tmp_path / "log" / "index").glob("*/_SUCCESS"))]
+    kept = mark.read_bytes()
+    mark.unlink()
+    assert reader.latestOffset() == {"b": {"0": 5}}
+    mark.write_bytes(kept)
+    assert reader.latestOffset() == {"b": {"0": 9}}
