@@ -49,13 +49,12 @@ def matching(nodes: Column, steps: Column) -> Column:
     return F.filter(nodes, lambda n: selects(nodes, steps, n))
 
 
-def met_rules(nodes: Column, rules: Column, keys: Column) -> Column:
-    """The rules that can select an element of the page, by the keys of their last steps.
+def met_rules(own: Column, rules: Column, keys: Column) -> Column:
+    """The rules that can select an element of the page, by its distinct keys and those of their last steps.
 
     The keys of page and host are intersected as sets, so unrelated rules cost a look-up each and
     are never tried on an element.
     """
-    own = F.array_distinct(F.flatten(F.transform(nodes, element_keys)))
     return let(
         F.array_intersect(own, keys),
         lambda hits: F.filter(rules, lambda _, i: F.array_contains(hits, F.get(keys, i))),
@@ -117,13 +116,29 @@ def content(nodes: Column, pieces: Column, positive: Column, negative: Column) -
     )
 
 
+@built_once
+def page_keys() -> Column:
+    """The distinct keys of a page's `nodes`."""
+    return F.array_distinct(F.flatten(F.transform(F.col("nodes"), element_keys)))
+
+
 @built_once
 def ruled_content() -> Column:
     """Content by the columns `nodes`, `pieces` and those of the host's rules.
 
     Null without rules, empty when a rule of the host is not a path.
     """
-    negative = met_rules(F.col("nodes"), F.col("negative"), F.col("negative_keys"))
+    return _content_by(page_keys())
+
+
+@built_once
+def keyed_content() -> Column:
+    """The same where the page's keys are stored as `keys`."""
+    return _content_by(F.col("keys"))
+
+
+def _content_by(keys: Column) -> Column:
+    negative = met_rules(keys, F.col("negative"), F.col("negative_keys"))
     text = let(
         negative, lambda met: content(F.col("nodes"), F.col("pieces"), F.col("positive"), met)
     )

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from millrace.pages.elements import with_tree
-from millrace.pages.extract import outcome_of, ruled_content
+from millrace.pages.extract import keyed_content, outcome_of, ruled_content
 from millrace.pages.mining import mined
 from millrace.pages.records import OK, parse_records, validate
 from millrace.pages.rule_index import PAGE, page_keys, with_met_rules
@@ -43,6 +43,16 @@ def parsed_valid(records: DataFrame) -> DataFrame:
     return with_tree(records, "html", keep_html=True, wanted=F.col("status") == OK)
 
 
+def mined_pages(records: DataFrame) -> DataFrame:
+    """Records stored with a number, `mined` and the distinct `keys` of their elements.
+
+    Rules are learned from them and their results made without splitting or mining a page again.
+    """
+    numbered = records.withColumn(PAGE, F.monotonically_increasing_id())
+    facts = [F.when(F.col("status") == OK, mined()).alias("mined"), page_keys().alias("keys")]
+    return materialized(parsed_valid(numbered).select(*numbered.columns, *facts), "mined-pages")
+
+
 def page_results(
     records: DataFrame,
     rules: DataFrame,
@@ -51,7 +61,7 @@ def page_results(
 ) -> DataFrame:
     """One row per record with `mined`, `content` and `outcome`.
 
-    Filtered records skip the parser. Rules within the limit, measured before they are gathered by host
+    Filtered records skip the parser; `mined_pages` are not mined again. Rules within the limit, measured before they are gathered by host
     (or of known `size`), are broadcast to the parsed pages. Larger ones are met through an index.
     """
     if (measured_bytes(rules) if size is None else size) <= limit_bytes:
@@ -60,18 +70,10 @@ def page_results(
 
 
 def _indexed_results(records: DataFrame, rules: DataFrame) -> DataFrame:
-    """The same with rules of any number. Pages are stored once; their facts and keys, then the rules
-    they meet, are short rows. The second parse is for the text."""
-    pages = materialized(records.withColumn(PAGE, F.monotonically_increasing_id()), "pages")
-    html = F.when(F.col("status") == OK, F.col("html")).alias("html")
-    facts = materialized(
-        with_tree(pages.select(PAGE, "host", html)).select(
-            PAGE, "host", mined().alias("mined"), page_keys().alias("keys")
-        ),
-        "page-facts",
-    )
-    ruled = with_met_rules(pages, facts, rules).join(facts.select(PAGE, "mined"), PAGE, "left")
-    return _extracted(parsed_valid(ruled)).drop(PAGE)
+    """The same with rules of any number. Pages are stored once with their facts and keys; the rules
+    they meet are short rows. The second parse is for the text."""
+    pages = records if PAGE in records.columns else mined_pages(records)
+    return _extracted(parsed_valid(with_met_rules(pages, pages.select(PAGE, "host", "keys"), rules)))
 
 
 def _extracted(ruled: DataFrame) -> DataFrame:
@@ -79,20 +81,21 @@ def _extracted(ruled: DataFrame) -> DataFrame:
     ok = F.col("status") == OK
     if "mined" not in ruled.columns:
         ruled = ruled.withColumn("mined", F.when(ok, mined()))
+    text = keyed_content() if "keys" in ruled.columns else ruled_content()
     return (
-        ruled.withColumn("content", F.when(ok, ruled_content()))
+        ruled.withColumn("content", F.when(ok, text))
         .withColumn("outcome", F.when(ok, outcome_of(F.col("content"))))
-        .drop("nodes", "pieces", "positive", "negative", "negative_keys", "usable", "n_fields")
+        .drop("nodes", "pieces", "positive", "negative", "negative_keys", "usable", "n_fields", "keys", PAGE)
     )
 
 
 def learn_rules(records: DataFrame, k: int = 2) -> DataFrame:
-    """Rules learned from a set of validated records; the pages are parsed once.
+    """Rules learned from a set of validated records or `mined_pages`; the pages are parsed once.
 
     The learned facts are stored before they are filtered: a filter on an unstored `mined`
     would be pushed below it and compute it twice.
     """
-    facts = materialized(learned(records), "learned")
+    facts = records if "mined" in records.columns else materialized(learned(records), "learned")
     return choose_rules(materialized(counter_deltas(facts), "counters"), k)
 
 

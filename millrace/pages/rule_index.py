@@ -12,8 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millrace.pages.elements import built_once
-from millrace.pages.templates import element_keys, path_steps, step_key
+from millrace.pages.extract import page_keys  # noqa: F401  (the keys that pages send)
+from millrace.pages.templates import path_steps, step_key
 from millrace.runtime import lookup_join, materialized, salted_join
 
 PAGE = "__page"
@@ -39,25 +39,20 @@ def host_flags(rules: DataFrame) -> DataFrame:
     )
 
 
-@built_once
-def page_keys() -> Column:
-    """The distinct keys of a page's `nodes`."""
-    return F.array_distinct(F.flatten(F.transform(F.col("nodes"), element_keys)))
-
-
 def met_rules(keyed_pages: DataFrame, rules: DataFrame) -> DataFrame:
     """Stored rules per page that meets any: positive and negative paths in path order, with the last
     steps' keys. `keyed_pages` has PAGE, host and the page's `keys`.
 
     Keys of a host with very many pages are salted.
     """
-    index = materialized(rule_index(rules), "rule-index")
+    # A path is taken apart once, not on every page that meets it.
+    index = materialized(rule_index(rules).withColumn("steps", path_steps(F.col("xpath"))), "rule-index")
     asked = keyed_pages.select(PAGE, "host", F.explode("keys").alias("key"))
     found = salted_join(asked, index, ["host", "key"], "inner")
 
     def side(flag: Column) -> Column:
-        paths = F.array_sort(F.array_distinct(F.collect_list(F.when(flag, F.col("xpath")))))
-        return F.transform(paths, path_steps)
+        paths = F.array_sort(F.array_distinct(F.collect_list(F.when(flag, F.struct("xpath", "steps")))))
+        return F.transform(paths, lambda p: p["steps"])
 
     met = found.groupBy(PAGE).agg(
         side(F.col("is_positive")).alias("positive"), side(~F.col("is_positive")).alias("negative")

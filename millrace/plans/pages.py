@@ -229,14 +229,14 @@ def top_templates(spark: SparkSession, sf: str) -> DataFrame:
 
 def _results(spark: SparkSession, sf: str) -> DataFrame:
     """Stored, so that filters above do not evaluate the extraction again."""
-    records = _records(spark, sf)
-    return materialized(job.page_results(records, job.learn_rules(records)), "page-results")
+    pages = job.mined_pages(_records(spark, sf))
+    return materialized(job.page_results(pages, job.learn_rules(pages)), "page-results")
 
 
 def _indexed_page_results(spark: SparkSession, sf: str) -> DataFrame:
     """The same rules through the index, whatever their size."""
-    records = _records(spark, sf)
-    return job.page_results(records, materialized(job.learn_rules(records), "rules"), limit_bytes=-1)
+    pages = job.mined_pages(_records(spark, sf))
+    return job.page_results(pages, materialized(job.learn_rules(pages), "rules"), limit_bytes=-1)
 
 
 EXTRACTED_SQL = f"{RULES_SQL}, {EXTRACT_CTES.strip()}\n"
@@ -292,10 +292,10 @@ SELECT host, {REPORT_COUNTS_SQL}, {REPORT_TIME_SQL} FROM outcomes GROUP BY host"
 @query("page_report", PAGE_REPORT_SQL)
 def page_report(spark: SparkSession, sf: str) -> DataFrame:
     """The batch job end to end: learn rules, store all tables, read the report."""
-    records = _records(spark, sf)
-    rules = materialized(job.learn_rules(records), "rules")
+    pages = job.mined_pages(_records(spark, sf))
+    rules = materialized(job.learn_rules(pages), "rules")
     tables = job.PageTables(scratch(spark, "page-job"))
-    job.run_batch(records, rules, SCAN_TIME, tables, job.run_key(SCAN_TIME))
+    job.run_batch(pages, rules, SCAN_TIME, tables, job.run_key(SCAN_TIME))
     return job.total_report(spark, tables)
 
 

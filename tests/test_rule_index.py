@@ -68,3 +68,17 @@ def test_no_rules_and_no_pages(spark):
     got = job.page_results(records, none, -1).groupBy("outcome").count().collect()
     assert {r["outcome"]: r["count"] for r in got} == {"no_match": 12, None: 1}
     assert job.page_results(records.limit(0), rule_rows(spark, 2), -1).count() == 0
+
+
+def test_pages_are_split_and_mined_once(spark):
+    """Results of pages stored with their facts are those of the records, and do not mine again."""
+    records = validate(parse_records(page_records(spark)))
+    pages = job.mined_pages(records)
+    rules = materialized(job.learn_rules(pages), "rules")
+    assert sorted(map(str, rules.collect())) == sorted(map(str, job.learn_rules(records).collect()))
+    for limit in (1 << 30, -1):
+        again = job.page_results(pages, rules, limit)
+        whole = job.page_results(records, rules, limit)
+        assert sorted(again.columns) == sorted(whole.columns)
+        assert sorted(map(str, again.collect())) == sorted(map(str, whole.select(again.columns).collect()))
+        assert "block_len" not in again.select("content")._jdf.queryExecution().optimizedPlan().toString()
