@@ -19,12 +19,20 @@ Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 #: Folder of the public tokenizer files on the driver.
 TOKENIZERS = os.environ.get("TOKENIZERS_DIR", "/opt/tokenizers")
+#: Rows of a batch between Spark and Python: texts of 2 kB make about a megabyte, on either side.
+BATCH_ROWS = 512
 #: Near copies share 80 % of their five-word shingles; op4_ngram_join has its own, narrower terms.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bounded batches for what a stage returns; the setting stays, as Spark reads it when the result is written."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+
+
 def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a language stay; those without text or without a letter go."""
+    small_batches(spark)
     judged = language_id.identify_split(docs, carry=docs.columns)
     return judged.filter(F.col("lang_pred") != language_id.UNKNOWN).select(*docs.columns)
 
@@ -40,6 +48,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     Rows are told apart by a number of their own, which is stored, so rows of one doc_id are judged
     and removed each by its own text. Rows without a doc_id have no links and stay.
     """
+    small_batches(spark)
     rows = materialized(docs.withColumn("__row", F.monotonically_increasing_id()), "pipeline-rows")
     named = rows.select(F.when(F.col("doc_id").isNotNull(), F.col("__row")).alias("__row"), "text")
     joined = ngram_join.similarity_join(named, "__row", width=NEAR_WORDS, percent=NEAR_PERCENT)
@@ -69,6 +78,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encoded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, source, n_tokens, the packed ids, and digests of ids and decoded text."""
+    small_batches(spark)
     made = bpe.encode_decode(docs, f"{TOKENIZERS}/word_bpe_49k.json", carry=["doc_id", "source"])
     return made.withColumns(
         {"ids_sha256": F.sha2("ids", 256), "decoded_sha256": F.sha2("decoded", 256)}

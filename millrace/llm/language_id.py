@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from millrace.llm.arrow import as_bytes, carry_map, pieces
+from millrace.llm.arrow import as_bytes, carry_map, pieces, released
 
 UNKNOWN = "und"
 #: Hash slots per n-gram order, and the orders in bytes.
@@ -133,8 +133,8 @@ def language_counts(rows: DataFrame, languages: list[str]) -> np.ndarray:
         )
 
     shape = "block long, counts binary"
-    found = rows.select("__lang", "__text").mapInArrow(count, shape)
-    added = found.repartition("block").mapInArrow(add, shape)
+    found = rows.select("__lang", "__text").mapInArrow(released(count), shape)
+    added = found.repartition("block").mapInArrow(released(add), shape)
     counts = np.zeros((len(languages) * WIDTH // BLOCK, BLOCK), np.int64)
     for block, packed in added.collect():  # the model: languages x WIDTH numbers
         counts[block] = np.frombuffer(packed, np.int64)
@@ -184,7 +184,7 @@ def calibration(
         )
 
     found = rows.select("__lang", "__text").mapInArrow(
-        measure, "bit long, size double, wrong double, n long"
+        released(measure), "bit long, size double, wrong double, n long"
     )
     sums = found.groupBy("bit").agg(*[F.sum(c).alias(c) for c in ("size", "wrong", "n")])
     size, error = np.ones(code.shape[1]), np.full(code.shape[1], 0.5)

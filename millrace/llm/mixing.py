@@ -30,6 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from millrace.llm.arrow import released_group
 from millrace.runtime import lookup_join, materialized
 
 WORD = r"[^\x20\x09-\x0D]+"
@@ -231,7 +232,7 @@ def plan_mix(
         F.pmod(F.col("u1"), F.col("buckets")).alias("bucket"),
     )
     return rated.groupBy("source", "bucket").applyInPandas(
-        lambda rows: round_copies(rows, cap),
+        released_group(lambda rows: round_copies(rows, cap)),
         "key {}, source string, size long, u1 long, u2 long, n long, source_size long, "
         "target double, rate double, bucket long, low long, more long".format(
             sized.schema["key"].dataType.simpleString()

@@ -37,7 +37,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from millrace.llm.arrow import as_bytes, pieces, release
+from millrace.llm.arrow import as_bytes, pieces, released, released_group
 from millrace.llm.graph import components
 from millrace.runtime import lookup_join, materialized, owned_scratch, scratch
 
@@ -275,10 +275,9 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
                     mass = 0
         if held:
             yield from counted()
-        release()
 
     counts = materialized(
-        docs.select("text").mapInArrow(lots, "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")),
+        docs.select("text").mapInArrow(released(lots), "shingle long, n long").groupBy("shingle").agg(F.sum("n").alias("n")),
         "join-frequent",
     )
     documents = counts.filter("shingle IS NULL").agg(F.sum("n")).first()[0] or 0
@@ -347,9 +346,9 @@ def candidates(
                 ).cast(table.schema))
         return pa.concat_tables(out)
 
-    sent = docs.mapInArrow(send, FOUND)
+    sent = docs.mapInArrow(released(send), FOUND)
     # Members and local edges need no meeting: they only ride along, spread by digest.
-    return materialized(sent.groupBy("bucket").applyInArrow(meet, FOUND), "join-found")
+    return materialized(sent.groupBy("bucket").applyInArrow(released_group(meet), FOUND), "join-found")
 
 
 def merge_skip(lists: list[list[int]], least: int) -> tuple[list[int], list[int]]:
@@ -567,7 +566,7 @@ def links(
                 )
 
     seated = texts.mapInArrow(
-        gather, "rep long, copies long, seats array<struct<task string, side int>>, shingles binary"
+        released(gather), "rep long, copies long, seats array<struct<task string, side int>>, shingles binary"
     ).select("rep", "copies", "shingles", F.explode("seats").alias("seat")).select(
         "rep", "copies", "shingles", "seat.task", "seat.side"
     )
@@ -583,7 +582,6 @@ def links(
         counts, some = found.counts, np.flatnonzero(found.counts)
         pairs = np.array(found.pairs, np.int64).reshape(-1, 2)
         del found, rows, order
-        release()
         return pa.table({
             "a": pa.array(np.r_[ids[pairs[:, 0]], ids[some]]),
             "b": pa.array([*ids[pairs[:, 1]].tolist(), *[None] * len(some)], pa.int64()),
@@ -591,7 +589,7 @@ def links(
         })
 
     return materialized(
-        seated.groupBy("task").applyInArrow(search, "a long, b long, links long"), "join-links"
+        seated.groupBy("task").applyInArrow(released_group(search), "a long, b long, links long"), "join-links"
     )
 
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import weakref
 from collections import Counter
 
 import numpy as np
@@ -10,7 +11,7 @@ import regex
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from millrace.llm import bpe, language_id, license_scan, quality_rules, queries, token_counts
+from millrace.llm import arrow, bpe, language_id, license_scan, quality_rules, queries, token_counts
 from tests.llm.common import DOCS, TOKENIZERS, ascii_lower, docs, hard_rows, random_text, words_of
 
 SMOKE = "/root/testdata/sf0.001"
@@ -243,3 +244,30 @@ def test_many_languages_are_told_apart(spark):
 
 def test_schema_of_documents_is_kept(spark):
     assert docs(spark).schema == DOCS
+
+
+def test_what_a_task_holds_is_freed_before_memory_is_given_back(monkeypatch):
+    """A release while the task's own objects live would leave them with an idle worker."""
+    class Held:
+        pass
+
+    alive, refs = [], []
+
+    def holding():
+        held = Held()
+        refs.append(weakref.ref(held))
+        return held
+
+    def task(batches):
+        held = holding()
+        for batch in batches:
+            yield held and batch
+
+    def group(rows):
+        held = holding()
+        return held and rows
+
+    monkeypatch.setattr(arrow, "release", lambda: alive.append(refs[-1]() is not None))
+    assert list(arrow.released(task)(iter([1, 2]))) == [1, 2]
+    assert arrow.released_group(group)([3]) == [3]
+    assert alive == [False, False]
