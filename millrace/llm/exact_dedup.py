@@ -23,7 +23,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.runtime import lookup_join, materialized, scratch
+from millrace.runtime import freed_shuffles, lookup_join, materialized, owned_scratch, scratch
 
 #: Micro-batches that a stored table is replayed in.
 BATCHES = 4
@@ -197,25 +197,29 @@ def survivors(
     Only dropped rows are looked up, by id and digest. Of rows equal in both, dropped by count, the
     surplus goes: one of them stays when the group keeps that id.
     """
-    judged = materialized(dedup(docs, key, text, width=width), "dedup-judged")
-    repeated = (
-        judged.groupBy(key, "text_sha256")
-        .agg(F.count("*").alias("rows"), F.max("kept").alias("any_kept"))
-        .filter("rows > 1 OR NOT any_kept")
-        .select(
-            F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__id"),
-            F.col(key).isNull().alias("__null"),
-            F.col("text_sha256").alias("__sha"), "any_kept",
+    spark, path = docs.sparkSession, scratch(docs.sparkSession, "dedup-repeated")
+    with owned_scratch(spark, "dedup"):  # the stream's tables and state go with it
+        judged = materialized(dedup(docs, key, text, width=width), "dedup-judged")
+        listed = (
+            judged.groupBy(key, "text_sha256")
+            .agg(F.count("*").alias("rows"), F.max("kept").alias("any_kept"))
+            .filter("rows > 1 OR NOT any_kept")
+            .select(
+                F.coalesce(F.col(key).cast("string"), F.lit("")).alias("__id"),
+                F.col(key).isNull().alias("__null"),
+                F.col("text_sha256").alias("__sha"), "any_kept",
+            )
         )
-    )
+        with freed_shuffles(spark):
+            listed.write.parquet(path)
+    repeated = spark.read.schema(listed.schema).parquet(path)
     marked = docs.select(
         F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
         F.coalesce(F.col(f"`{key}`").cast("string"), F.lit("")).alias("__id"),
         F.col(f"`{key}`").isNull().alias("__null"),
         sha256(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("__sha"),
     )
-    found = lookup_join(marked, materialized(repeated, "dedup-repeated"),
-                        ["__id", "__null", "__sha"], "left")
+    found = lookup_join(marked, repeated, ["__id", "__null", "__sha"], "left")
     once = found.filter("any_kept").groupBy("__id", "__null", "__sha").agg(
         F.first("__row").alias("__row")
     )

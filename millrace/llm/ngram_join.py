@@ -3,12 +3,15 @@
 1. Texts become sets of word-shingle digests; equal sets are one node from then on.
 2. A link leaves at most H different shingles between two sets, so of H + T parts of the digest
    space at least T hold equal shingles in both; one is enough to make a candidate. Each set sends one key per part (and size class it
-   may meet a partner in); keys meet in buckets, each sorted alone, and sets with a common key
-   are candidates, chained to the smallest instead of paired. Parts that hold nothing but shingles
+   may meet a partner in); keys meet in buckets, each sorted alone. Parts that hold nothing but shingles
    of very many documents (counted first, over all of them) or nothing at all are weak: a common
    line would chain all its documents through them. T is chosen so that hardly any set has T empty
    parts. Two linked sets with T equal parts share one that is not weak, or both have T weak ones;
    sets with T weak parts send the keys of those too, so nothing is lost.
+   A key of few sets makes pairs. A pair stays when the parity bits of the two sets (per set a bit for
+   each place of about half a shingle) differ in no more places than linked sets have differences: a
+   difference turns one bit, so no link is lost and chance pairs go. The sets of a key of many sets are
+   chained to the smallest, but only those with so many such keys that a partner may share no other.
 3. Chains of candidates are gathered into blocks of bounded size: many small chains share one, a
    large chain is split by set size and hash into blocks that are met in pairs.
 4. In a block, inverted lists from shingle to sets answer each set's query with DivideSkip: the
@@ -39,13 +42,25 @@ from pyspark.sql import functions as F
 
 from millrace.llm.arrow import as_bytes, pieces, released, released_group
 from millrace.llm.graph import components
-from millrace.runtime import lookup_join, materialized, owned_scratch, scratch
+from millrace.runtime import (
+    BROADCAST_LIMIT_BYTES,
+    freed_shuffles,
+    lookup_join,
+    materialized,
+    measured_bytes,
+    owned_scratch,
+    scratch,
+)
 
 WORDS_PER_SHINGLE = 3
 #: A link needs OVER * shared >= PERCENT * united shingles.
 PERCENT, OVER = 90, 100
-#: Sizes below this have a class of their own; above, a class spans this factor.
+#: Sizes below this have a class of their own; above, a class spans this factor, or what a link spans.
 SINGLE_SIZES, CLASS_FACTOR = 64, 1.12
+#: Sets of a key that are paired; keys of more sets are hot.
+PAIRED_SETS = 8
+#: Parity bits per shingle, at least; keys that a task packs at once, and bytes of a packed key or name.
+PARITY_BITS, LOT_KEYS, PACKED = 2, 1 << 19, 6
 #: A set has T empty parts with at most this probability.
 POOR = 1e-3
 #: Shingles in one of so many documents are frequent. One in twice as many may be taken for it, so
@@ -142,6 +157,7 @@ class Parts:
 
     def __init__(self, percent: int, over: int):
         self.percent, self.over = percent, over
+        self.factor = max(CLASS_FACTOR, over / percent)
         self.bounds = [*range(1, SINGLE_SIZES)]
         self.cuts: dict[int, tuple[int, int]] = {}
 
@@ -149,7 +165,7 @@ class Parts:
         while self.bounds[-1] <= size:
             self.bounds.append(
                 self.bounds[-1] + 1 if len(self.bounds) < SINGLE_SIZES
-                else max(self.bounds[-1] + 1, int(self.bounds[-1] * CLASS_FACTOR))
+                else max(self.bounds[-1] + 1, int(self.bounds[-1] * self.factor))
             )
         return int(np.searchsorted(self.bounds, size, "right")) - 1
 
@@ -184,45 +200,85 @@ class Parts:
         return sum(parts * -math.expm1(-size / parts) for parts in cuts) / size
 
     def keys(self, shingles: np.ndarray, frequent: np.ndarray = NONE) -> np.ndarray:
-        """One key per class and part that is not weak; also for weak ones where T or more are.
+        """One key per class and part that is not weak; also for weak ones where T or more are."""
+        return self.sent(shingles, frequent)[0]
 
-        `frequent` is sorted and the same for all sets.
+    def sent(self, shingles: np.ndarray, frequent: np.ndarray = NONE) -> tuple[np.ndarray, bytes]:
+        """The keys, whose last byte is the class, and per class the fewest keys shared with a linked set.
+
+        `frequent` is sorted and the same for all sets. Linked sets have T equal parts; those that
+        either of them does not send are weak in both. The first byte names the first class.
         """
         out, scrambled = [], mixed(shingles)
         rare = np.ones(len(shingles), bool)
         if len(frequent):
             rare = frequent[np.minimum(np.searchsorted(frequent, shingles), len(frequent) - 1)] != shingles
         high = shingles >> np.uint64(32)
-        for c in self.classes(len(shingles)):
+        classes = self.classes(len(shingles))
+        least = [classes[0] & 0xFF]
+        for c in classes:
             parts, t = self.cut(c)
             part = (high * np.uint64(parts)) >> np.uint64(32)
             first = np.flatnonzero(np.r_[True, part[1:] != part[:-1]])
             sums = np.add.reduceat(scrambled, first)
             names = part[first]
             strong = np.logical_or.reduceat(rare, first)
-            if parts - np.count_nonzero(strong) < t:
+            weak = parts - np.count_nonzero(strong)
+            least.append(max(t - weak, 1))
+            if weak < t:
                 names, sums = names[strong], sums[strong]
             else:
                 empty = np.setdiff1d(np.arange(parts, dtype=np.uint64), names)
                 names = np.r_[names, empty]
                 sums = np.r_[sums, np.zeros(len(empty), np.uint64)]
-            out.append(mixed(sums + mixed(names + np.uint64((c + 1) << 32))))
-        return np.concatenate(out)
+            keys = mixed(sums + mixed(names + np.uint64((c + 1) << 32)))
+            out.append((keys & ~np.uint64(0xFF)) | np.uint64(c & 0xFF))
+        return np.concatenate(out), bytes(least)
+
+
+def parity(shingles: np.ndarray) -> bytes:
+    """Bits that tell, for each place of the digest space, whether it holds an odd number of shingles."""
+    bits = max(64, 1 << (PARITY_BITS * len(shingles) - 1).bit_length())
+    odd = np.bincount((shingles & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def may_link(
+    sizes: np.ndarray, others: np.ndarray, left: list[bytes], right: list[bytes], percent: int, over: int
+) -> np.ndarray:
+    """Which pairs of sets may be linked, by their sizes and parity bits; every linked pair may."""
+    low, high = np.minimum(sizes, others), np.maximum(sizes, others)
+    out = percent * high <= over * low
+    most = sizes + others - 2 * -(-percent * (sizes + others) // (over + percent))
+    widths = np.array([*map(len, left)]) * (1 << 32) + np.array([*map(len, right)])
+    for width in np.unique(widths[out]).tolist():
+        at = np.flatnonzero(out & (widths == width))
+        bits = [
+            np.frombuffer(b"".join(side[i] for i in at.tolist()), np.uint64).reshape(len(at), -1)
+            for side in (left, right)
+        ]
+        for k in (0, 1):  # the wider bits folded to the narrower
+            while bits[k].shape[1] > bits[1 - k].shape[1]:
+                half = bits[k].shape[1] // 2
+                bits[k] = bits[k][:, :half] ^ bits[k][:, half:]
+        out[at] = np.bitwise_count(bits[0] ^ bits[1]).sum(1, dtype=np.int64) <= most[at]
+    return out
 
 
 def set_name(digest: bytes) -> int:
-    """A 64-bit name of a set for candidate search; two sets of one name only add a candidate."""
-    return int.from_bytes(digest[:8], "little", signed=True)
+    """A short name of a set for candidate search; two sets of one name only add a candidate."""
+    return int.from_bytes(digest[:PACKED], "little")
 
 
-FOUND = "kind int, bucket int, id long, n long, digest binary, payload binary, a long, b long"
-MEMBER, KEYS, EDGE = 0, 1, 2
+FOUND = "kind int, bucket int, id long, n long, digest binary, payload binary, least binary, a long, b long"
+MEMBER, KEYS, PAIR, HOT = 0, 1, 2, 3
 
 
 def _found(kind: int, rows: int, **columns) -> pa.RecordBatch:
     types = {
         "kind": pa.int32(), "bucket": pa.int32(), "id": pa.int64(), "n": pa.int64(),
-        "digest": pa.binary(), "payload": pa.binary(), "a": pa.int64(), "b": pa.int64(),
+        "digest": pa.binary(), "payload": pa.binary(), "least": pa.binary(),
+        "a": pa.int64(), "b": pa.int64(),
     }
     columns |= {"kind": np.full(rows, kind, np.int32)}
     return pa.RecordBatch.from_arrays(
@@ -231,15 +287,46 @@ def _found(kind: int, rows: int, **columns) -> pa.RecordBatch:
     )
 
 
-def chained(keys: np.ndarray, names: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct (key, smallest name) and the distinct edges from other names of a key to it."""
-    order = np.lexsort((names, keys))
-    keys, names = keys[order], names[order]
-    first = np.r_[True, keys[1:] != keys[:-1]]
-    low = names[np.maximum.accumulate(np.where(first, np.arange(len(keys)), 0))]
-    other = names != low
-    edges = np.unique(np.stack([names[other], low[other]]), axis=1) if other.any() else None
-    return keys[first], names[first], edges
+def packed(numbers: np.ndarray) -> np.ndarray:
+    """The low bytes of each number, one row each."""
+    return numbers.view(np.uint8).reshape(-1, 8)[:, :PACKED]
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    rows = np.frombuffer(raw, np.uint8).reshape(-1, PACKED)
+    return np.pad(rows, ((0, 0), (0, 8 - PACKED))).view(np.uint64).ravel()
+
+
+def distinct(*columns: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """The distinct rows of equally long columns, and how often each occurs."""
+    order = np.lexsort(columns)
+    columns = [c[order] for c in columns]
+    new = np.zeros(len(order), bool)
+    new[:1] = True
+    for c in columns:
+        new[1:] |= c[1:] != c[:-1]
+    first = np.flatnonzero(new)
+    return [c[first] for c in columns], np.diff(np.r_[first, len(order)])
+
+
+def met_names(keys: np.ndarray, names: np.ndarray) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray]:
+    """Distinct pairs (a, b) of names of one key; for hot keys distinct (name, smallest name of
+    the key, class), the smallest with itself too, and the number of keys of each."""
+    (names, keys), _ = distinct(names, keys)
+    first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.empty(0, np.int64)
+    count = np.diff(np.r_[first, len(keys)])
+    a, b = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+    for n in range(2, PAIRED_SETS + 1):
+        at = first[count == n]
+        for i in range(n if len(at) else 0):
+            for j in range(i + 1, n):
+                a.append(names[at + i])
+                b.append(names[at + j])
+    pairs, _ = distinct(np.concatenate(a), np.concatenate(b))
+    hot = np.repeat(count > PAIRED_SETS, count)
+    low = np.repeat(names[first], count)[hot]
+    links, times = distinct(names[hot], low, (keys[hot] & np.uint64(0xFF)).astype(np.int64))
+    return pairs, links, times
 
 
 def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
@@ -292,65 +379,115 @@ def frequent_shingles(docs: DataFrame, width: int) -> np.ndarray:
 def candidates(
     docs: DataFrame, buckets: int, width: int, parts: Parts, frequent: np.ndarray
 ) -> DataFrame:
-    """Stored rows of two kinds: members (id, n, digest and a, the set's name), and edges (a, b)
-    between set names."""
+    """Stored rows of three kinds: members (id, n, digest, a, the set's name, payload, its parity bits, and
+    least, see `Parts.sent`), pairs (a, b) of set names, and of hot keys (a, b, bucket, the class,
+    and n, the number of such keys) with b the smallest name of the key."""
 
     def send(batches):
+        held: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def lot():
+            """The keys held, a row per bucket."""
+            keys, names = (np.concatenate(x) for x in zip(*held))
+            held.clear()
+            where = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int32)
+            order = np.argsort(where, kind="stable")
+            keys, names, where = packed(keys[order]), packed(names[order]), where[order]
+            cut = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
+            ends = np.r_[cut[1:], len(keys)]
+            return _found(
+                KEYS, len(cut), bucket=where[cut],
+                payload=[keys[i:j].tobytes() + names[i:j].tobytes() for i, j in zip(cut, ends)],
+            )
+
+        mass = 0
         for batch in batches:
             for part in pieces(batch, "text", PIECE_BYTES):
                 ids = part.column(0)
                 sets = shingle_sets(as_bytes(part.column(1)), width)
                 digests = [xxhash.xxh3_128_digest(s.tobytes()) if len(s) else None for s in sets]
                 place = [int.from_bytes(d[:4], "little") * buckets >> 32 if d else 0 for d in digests]
-                yield _found(
-                    MEMBER, len(sets), bucket=pa.array(place, pa.int32()), id=ids,
-                    n=[*map(len, sets)], digest=digests,
-                    a=[set_name(d) if d else None for d in digests],
-                )
                 seen = {
                     d: s for d, s, i in zip(digests, sets, ids.is_valid().to_pylist()) if d and i
                 }
-                if not seen:
-                    continue
-                own = [parts.keys(s, frequent) for s in seen.values()]
-                names = np.repeat(
-                    np.array([set_name(d) for d in seen], np.int64), [len(k) for k in own]
-                )
-                keys, names, edges = chained(np.concatenate(own), names)
-                if edges is not None:
-                    yield _found(
-                        EDGE, edges.shape[1], a=edges[0], b=edges[1],
-                        bucket=np.arange(edges.shape[1], dtype=np.int32) % buckets,
-                    )
-                where = (((keys >> np.uint64(32)) * np.uint64(buckets)) >> np.uint64(32)).astype(np.int64)
-                cut = np.flatnonzero(np.r_[True, where[1:] != where[:-1]])
-                ends = np.r_[cut[1:], len(keys)]
+                own = {d: parts.sent(s, frequent) for d, s in seen.items()}
+                bits = {d: parity(s) for d, s in seen.items()}
                 yield _found(
-                    KEYS, len(cut), bucket=where[cut].astype(np.int32),
-                    payload=[keys[i:j].tobytes() + names[i:j].tobytes() for i, j in zip(cut, ends)],
+                    MEMBER, len(sets), bucket=pa.array(place, pa.int32()), id=ids,
+                    n=[*map(len, sets)], digest=digests, payload=[bits.get(d) for d in digests],
+                    least=[own[d][1] if d in own else None for d in digests],
+                    a=[set_name(d) if d else None for d in digests],
                 )
+                for d, (keys, _) in own.items():
+                    held.append((keys, np.full(len(keys), set_name(d), np.int64)))
+                    mass += len(keys)
+                if mass > LOT_KEYS:
+                    yield lot()
+                    mass = 0
+        if held:
+            yield lot()
 
     def meet(table: pa.Table) -> pa.Table:
-        """One bucket: its keys are sorted alone; members and edges pass."""
+        """One bucket: its keys are sorted alone; members pass."""
         kinds = table.column("kind")
-        packed = table.filter(pa.compute.equal(kinds, KEYS)).column("payload").to_pylist()
+        rows = table.filter(pa.compute.equal(kinds, KEYS)).column("payload").to_pylist()
         out = [table.filter(pa.compute.not_equal(kinds, KEYS))]
-        if packed:
-            keys = np.frombuffer(b"".join(p[: len(p) // 2] for p in packed), np.uint64)
-            names = np.frombuffer(b"".join(p[len(p) // 2 :] for p in packed), np.int64)
-            del packed
-            edges = chained(keys, names)[2]
-            if edges is not None:
-                out.append(pa.Table.from_batches(
-                    [_found(EDGE, edges.shape[1], a=edges[0], b=edges[1])]
-                ).cast(table.schema))
+        if rows:
+            keys = unpacked(b"".join(p[: len(p) // 2] for p in rows))
+            names = unpacked(b"".join(p[len(p) // 2 :] for p in rows)).view(np.int64)
+            del rows
+            (a, b), (name, low, kind), times = met_names(keys, names)
+            out += [
+                pa.Table.from_batches([made]).cast(table.schema) for made in (
+                    _found(PAIR, len(a), a=a, b=b),
+                    _found(HOT, len(name), a=name, b=low, bucket=kind.astype(np.int32), n=times),
+                )
+            ]
         return pa.concat_tables(out)
 
     sent = docs.mapInArrow(released(send), FOUND)
-    # Members and local edges need no meeting: they only ride along, spread by digest.
+    # Members need no meeting: they only ride along, spread by digest.
     return materialized(sent.groupBy("bucket").applyInArrow(released_group(meet), FOUND), "join-found")
 
 
+def edges_of(found: DataFrame, sets: DataFrame, percent: int, over: int) -> DataFrame:
+    """Edges (a, b) between names: pairs that may be linked, and the chains of hot keys.
+
+    Sets that share nothing but hot keys share as many of them as `least` says, in one class; who has fewer leaves the
+    chains, as all its partners have met it in pairs.
+    """
+    pairs = found.filter(F.col("kind") == PAIR).select("a", "b").distinct()
+    bits = sets.select(F.col("name").alias("a"), F.col("n").alias("na"), F.col("bits").alias("left"))
+    other = sets.select(F.col("name").alias("b"), F.col("n").alias("nb"), F.col("bits").alias("right"))
+
+    def near(batches):
+        for batch in batches:
+            for part in pieces(batch, "left", PIECE_BYTES):
+                fits = may_link(
+                    *(part.column(c).to_numpy() for c in ("na", "nb")),
+                    *(part.column(c).to_pylist() for c in ("left", "right")), percent, over,
+                )
+                yield part.select(["a", "b"]).filter(pa.array(fits))
+
+    near_pairs = pairs.join(bits, "a").join(other, "b").select("a", "b", "na", "nb", "left", "right").mapInArrow(
+        released(near), "a long, b long"
+    )
+    hot = found.filter(F.col("kind") == HOT).select("a", "b", "n", F.col("bucket").alias("class"))
+
+    def byte(at):
+        return F.conv(F.hex(F.substring("least", at, F.lit(1))), 16, 10).cast("int")
+
+    chained = (
+        hot.groupBy("a", "class").agg(F.sum("n").alias("times"))
+        .join(sets.select(F.col("name").alias("a"), "least"), "a")
+        .filter(F.col("times") >= byte(F.col("class") - byte(F.lit(1)) + 2))
+        .select("a", "class").distinct()
+    )
+    return materialized(
+        near_pairs.unionByName(hot.join(chained, ["a", "class"]).filter("a != b").select("a", "b").distinct()), "join-edges"
+    )
+
+
 def merge_skip(lists: list[list[int]], least: int) -> tuple[list[int], list[int]]:
     """Ids in at least `least` of the sorted lists, and in how many, by one heap over the lists.
 
@@ -546,7 +683,11 @@ def links(
         .select("rep", "id", "digest", "copies", "seats")
     )
     wanted = materialized(packed.unionByName(split), "join-wanted")
-    texts = lookup_join(docs.filter("id IS NOT NULL"), wanted, ["id"], "inner").select(
+    asked, size = docs.filter("id IS NOT NULL"), measured_bytes(wanted)
+    if size > BROADCAST_LIMIT_BYTES:  # then texts move, but only those of the wanted sets
+        ids = materialized(wanted.select("id").distinct(), "join-ids")
+        asked = lookup_join(asked, ids, ["id"], "inner", size=2 * 8 * ids.count())
+    texts = lookup_join(asked, wanted, ["id"], "inner", size=size).select(
         "rep", "text", "digest", "copies", "seats"
     )
 
@@ -608,7 +749,8 @@ def similarity_join(
     spark, path = docs.sparkSession, scratch(docs.sparkSession, "join-result")
     with owned_scratch(spark, "join"):  # the tables of the search go with it
         joined = _joined(docs, key, text, width, percent, over)
-        joined.write.parquet(path)
+        with freed_shuffles(spark):
+            joined.write.parquet(path)
     return spark.read.schema(joined.schema).parquet(path)
 
 
@@ -619,22 +761,21 @@ def _joined(docs: DataFrame, key: str, text: str, width: int, percent: int, over
     parts = Parts(percent, over)
     buckets = max(8, int(size / 8 * max(0.25, parts.rate(USUAL_SIZE))) // BUCKET_ENTRIES)
     found = candidates(read, buckets, width, parts, frequent_shingles(read, width))
-    members = found.filter(F.col("kind") == MEMBER).select("id", "n", "digest", "a")
-    edges = found.filter(F.col("kind") == EDGE).select("a", "b")
+    members = found.filter(F.col("kind") == MEMBER).select("id", "n", "digest", "a", "payload", "least")
     sets = materialized(
         members.filter("id IS NOT NULL AND n > 0")
         .withColumn("row", F.monotonically_increasing_id())
         .groupBy("digest")
         .agg(F.min("row").alias("rep"), F.min("id").alias("id"), F.max("n").alias("n"), F.count("*").alias("copies"),
-             F.max("a").alias("name")),
+             F.max("a").alias("name"), F.max("payload").alias("bits"), F.max("least").alias("least")),
         "join-sets",
     )
-    found_links = links(read, sets, edges, width, percent, over)
+    found_links = links(read, sets, edges_of(found, sets, percent, over), width, percent, over)
     joined = components(found_links.filter("b IS NOT NULL")).withColumnRenamed("node", "rep")
     counts = found_links.filter("b IS NULL").groupBy(F.col("a").alias("rep")).agg(
         F.sum("links").alias("links")
     )
-    grouped = materialized(sets.join(joined, "rep"), "join-grouped")
+    grouped = materialized(sets.select("rep", "id").join(joined, "rep"), "join-grouped")
     lowest = grouped.groupBy("component").agg(F.min("id").alias("lowest"))
     special = materialized(
         sets.join(grouped.select("rep", "component").join(lowest, "component"), "rep", "left")
@@ -646,7 +787,7 @@ def _joined(docs: DataFrame, key: str, text: str, width: int, percent: int, over
         ),
         "join-special",
     )
-    return lookup_join(members, special, ["digest"], "left").select(
+    return lookup_join(members.drop("payload", "least"), special, ["digest"], "left").select(
         F.col("id").alias(key),
         F.col("n").alias("n_shingles"),
         F.when(F.col("id").isNotNull(), F.coalesce("component", "id")).alias("component_id"),

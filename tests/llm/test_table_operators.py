@@ -2,6 +2,7 @@
 
 import hashlib
 import itertools
+import os
 import random
 import tracemalloc
 from collections import Counter, defaultdict
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from millrace.llm import exact_dedup, graph, mixing, ngram_join, suffix_dedup, url_filter
+from millrace.runtime import SHUFFLE_CLEANUP_KEY, materialized, shared_base
 from tests.llm.common import ascii_lower, docs, hard_rows, random_text, words_of
 
 SMOKE = "/root/testdata/sf0.001"
@@ -354,6 +356,78 @@ def test_join_with_a_common_line(spark, monkeypatch, most):
     assert join_rows(ngram_join.similarity_join(docs(spark, rows).repartition(4))) == plain_join(rows)
 
 
+def test_parity_bits_lose_no_link_and_tell_chance_pairs_apart():
+    rng = np.random.default_rng(12)
+    linked, apart = 0, 0
+    for size in (1, 2, 9, 31, 33, 64, 300, 1500):
+        for _ in range(60):
+            a = np.unique(rng.integers(0, 2**64, size, dtype=np.uint64))
+            out, added = rng.integers(0, size // 8 + 1), rng.integers(0, size // 8 + 1)
+            b = np.unique(np.r_[rng.permutation(a)[out:], rng.integers(0, 2**64, added, dtype=np.uint64)])
+            other = np.unique(np.r_[a[: size // 3], rng.integers(0, 2**64, size - size // 3, dtype=np.uint64)])
+            sets = [a, b, a, other]
+            sizes, bits = np.array([*map(len, sets)]), [ngram_join.parity(s) for s in sets]
+            near, far = ngram_join.may_link(sizes[::2], sizes[1::2], bits[::2], bits[1::2], 80, 100)
+            shared = len(np.intersect1d(a, b))
+            if 100 * shared >= 80 * (len(a) + len(b) - shared):
+                linked += 1
+                assert near
+            apart += size >= 64 and not far
+    assert linked > 300 and apart == 180
+
+
+def test_hot_keys_make_chains_and_others_pairs():
+    keys = np.repeat(np.array([1 << 8 | 3, 2 << 8 | 4, 3 << 8 | 4], np.uint64), [3, 20, 1])
+    names = np.r_[[7, 5, 7], np.arange(20)[::-1], 9]
+    (a, b), (name, low, kind), times = ngram_join.met_names(keys, names)
+    assert [*zip(a.tolist(), b.tolist())] == [(5, 7)]
+    assert sorted(zip(name.tolist(), low.tolist(), kind.tolist(), times.tolist())) == [(i, 0, 4, 1) for i in range(20)]
+    assert all(not len(x) for x in ngram_join.met_names(keys[:0], names[:0])[0])
+
+
+def test_chance_matches_make_no_chains(spark, monkeypatch):
+    """Texts that share half of their words, and a passage of many texts: candidates, but no edges."""
+    monkeypatch.setattr(ngram_join, "PAIRED_SETS", 4)
+    rng = random.Random(21)
+    passage = random_text(rng, 8)
+    rows = [(i, f"{passage}\n{random_text(rng, 80)}", None, None) for i in range(150)]
+    rows += [(1000 + i, " ".join([*r[1].split()[:60], random_text(rng, 40)]), None, None) for i, r in enumerate(rows)]
+    edges, whole = [], ngram_join.edges_of
+
+    def counted(*args):
+        edges.append(whole(*args))
+        assert not edges[-1].count()
+        return edges[-1]
+
+    monkeypatch.setattr(ngram_join, "edges_of", counted)
+    assert join_rows(ngram_join.similarity_join(docs(spark, rows).repartition(4))) == plain_join(rows)
+    assert len(edges) == 1
+
+
+@pytest.mark.parametrize("paired", [1, 3])
+def test_join_by_hot_keys(spark, monkeypatch, paired):
+    """Keys of more sets than are paired lead to the same links."""
+    monkeypatch.setattr(ngram_join, "PAIRED_SETS", paired)
+    monkeypatch.setattr(ngram_join, "LOT_KEYS", 500)
+    for rows in (near_copies(8), common_line_rows()):
+        assert join_rows(ngram_join.similarity_join(docs(spark, rows).repartition(4))) == plain_join(rows)
+
+
+def test_scratch_and_shuffle_files_go_with_their_work(spark, tmp_path):
+    base = f"{shared_base(spark)}/millrace"
+    before = {*os.listdir(base)} if os.path.exists(base) else set()
+    rows = near_copies(9)
+    kept = exact_dedup.survivors(docs(spark, rows + rows))
+    left = {n.rsplit("-", 1)[0] for n in {*os.listdir(base)} - before}
+    assert left == {"dedup-repeated"} and kept.count() == len({r[1] for r in rows})
+    assert spark.conf.get(SHUFFLE_CLEANUP_KEY) == "false"
+    shuffled = spark.range(1000).groupBy((F.col("id") % 7).alias("k")).count()
+    shuffles = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    held = shuffles.shuffleStatuses().size()
+    assert materialized(shuffled, "freed").count() == 7
+    assert shuffles.shuffleStatuses().size() <= held + 1  # that of the count above, none of the table
+
+
 def test_merge_skip_equals_counting():
     rng = random.Random(2)
     for _ in range(300):
