@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from millrace.pages.extract import page_keys  # noqa: F401  (the keys that pages send)
 from millrace.pages.templates import path_steps, step_key
-from millrace.runtime import lookup_join, materialized, salted_join
+from millrace.runtime import (
+    BROADCAST_LIMIT_BYTES,
+    lookup_join,
+    materialized,
+    measured_bytes,
+    salted_join,
+)
 
 PAGE = "__page"
 
@@ -48,7 +54,8 @@ def met_rules(keyed_pages: DataFrame, rules: DataFrame) -> DataFrame:
     # A path is taken apart once, not on every page that meets it.
     index = materialized(rule_index(rules).withColumn("steps", path_steps(F.col("xpath"))), "rule-index")
     asked = keyed_pages.select(PAGE, "host", F.explode("keys").alias("key"))
-    found = salted_join(asked, index, ["host", "key"], "inner")
+    moved = measured_bytes(index) > BROADCAST_LIMIT_BYTES
+    found = salted_join(asked, index, ["host", "key"], "inner", moved)
 
     def side(flag: Column) -> Column:
         paths = F.array_sort(F.array_distinct(F.collect_list(F.when(flag, F.struct("xpath", "steps")))))
@@ -62,8 +69,12 @@ def met_rules(keyed_pages: DataFrame, rules: DataFrame) -> DataFrame:
 
 
 def with_met_rules(pages: DataFrame, keyed_pages: DataFrame, rules: DataFrame) -> DataFrame:
-    """Pages with the columns that extraction reads: positive, negative, negative_keys, usable."""
-    ruled = pages.join(met_rules(keyed_pages, rules), PAGE, "left")
+    """Pages with the columns that extraction reads: positive, negative, negative_keys, usable.
+
+    Pages of a host meet the same rules, so the files of the met rules are far smaller than their rows and must
+    not lead to a broadcast: there is a row per page.
+    """
+    ruled = pages.join(met_rules(keyed_pages, rules).hint("merge"), PAGE, "left")
     flagged = lookup_join(ruled, materialized(host_flags(rules), "rule-hosts"), ["host"])
     none = F.array().cast(dict(flagged.dtypes)["positive"])
     return flagged.withColumns({

@@ -5,8 +5,15 @@ from pyspark.sql import functions as F
 from millrace.pages import job
 from millrace.pages.elements import with_tree
 from millrace.pages.records import parse_records, validate
-from millrace.pages.rule_index import PAGE, host_flags, met_rules, page_keys, rule_index
-from millrace.runtime import materialized
+from millrace.pages.rule_index import (
+    PAGE,
+    host_flags,
+    met_rules,
+    page_keys,
+    rule_index,
+    with_met_rules,
+)
+from millrace.runtime import lookup_join, materialized
 from tests.test_pages import page_records
 
 RULES = "host STRING, xpath STRING, is_positive BOOLEAN, origin STRING"
@@ -82,3 +89,21 @@ def test_pages_are_split_and_mined_once(spark):
         assert sorted(again.columns) == sorted(whole.columns)
         assert sorted(map(str, again.collect())) == sorted(map(str, whole.select(again.columns).collect()))
         assert "block_len" not in again.select("content")._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_rules_met_by_pages_are_never_broadcast(spark):
+    """A row per page, whatever its files take: equal rules of many pages are stored once."""
+    records = validate(parse_records(page_records(spark)))
+    pages = job.mined_pages(records)
+    ruled = with_met_rules(pages, pages.select(PAGE, "host", "keys"), materialized(rule_rows(spark, 20), "rules"))
+    plan = ruled._jdf.queryExecution().sparkPlan().toString()
+    assert f"SortMergeJoin [{PAGE}#" in plan
+    assert ruled.count() == records.count()
+
+
+def test_a_lookup_beyond_the_limit_is_never_broadcast(spark):
+    big = spark.range(1000).select((F.col("id") % 50).alias("k"), "id")
+    lookup = materialized(spark.range(50).select(F.col("id").alias("k"), F.lit("x" * 100).alias("v")), "lookup")
+    joined = lookup_join(big, lookup, ["k"], "left", limit_bytes=100)
+    assert "SortMergeJoin [k#" in joined._jdf.queryExecution().sparkPlan().toString()
+    assert joined.filter("length(v) = 100").count() == 1000
